@@ -4,13 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plinth.llm import langid, mixing, quality, sharding, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op2_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(read(spark, sf_dir, "pages"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_simhash_near_dedup": op6_simhash_near_dedup}
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(read(spark, sf_dir, "documents"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_warc_capture_index": op2_warc_capture_index,
+    "op4_language_id": op4_language_id,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op9_sharding": op9_sharding,
+    "op10_source_mixing": op10_source_mixing,
+}
 ORACLES: dict[str, str] = {}
