@@ -351,7 +351,7 @@ def compose(seed: int) -> str:
     return page + rng.choice(["</body></html>", ""])
 
 
-def train(pages: int = 400, seed: int = 7, rounds: int = 160, ridge: float = 0.2) -> Model:
+def train(pages: int = 400, seed: int = 7, rounds: int = 200, ridge: float = 0.2) -> Model:
     """Maximum likelihood by Adam on composed pages; both potentials' gradients are observed minus expected counts."""
     dom = Dom()
     for i in range(pages):
@@ -361,9 +361,15 @@ def train(pages: int = 400, seed: int = 7, rounds: int = 160, ridge: float = 0.2
     good = words * np.array(dom.marked)
     for level in reversed(tree.levels):
         np.add.at(good, tree.parent[level], good[level])
-    y = (good > 0.6 * np.maximum(tree.below[:, 2], 1)).astype(int)
-    has = words > 0
-    y[has] = np.array(dom.marked)[has]
+    # the smallest element around all content is content, what is around that is not, what is below is if it has any
+    roots = np.searchsorted(np.array(dom.page), np.array(dom.page))
+    around = (good >= good[roots]) & (good > 0)
+    y = (good > 0).astype(int)
+    y[around & (words == 0)] = 0
+    inmost = around.copy()
+    for level in tree.levels:
+        inmost[tree.parent[level[around[level] & (words[level] == 0)]]] = False
+    y[inmost] = 1
     kids = tree.parent >= 0
     seen = np.zeros((len(_GROUPS), 2, 2))
     np.add.at(seen, (tree.group[kids], y[tree.parent[kids]], y[kids]), 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import langid, mixing, quality, sharding, warc
+from plinth.llm import htmltext, langid, mixing, quality, sharding, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -23,6 +23,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages"), htmltext.train())
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc_capture_index": op2_warc_capture_index,
     "op4_language_id": op4_language_id,
+    "op5_html_extraction": op5_html_extraction,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
