@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +28,16 @@ def local_session(cpus: int = 8, app: str = "plinth") -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's Parquet tables, by any path Spark can read."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that Python workers can import it anywhere."""
+    context = spark.sparkContext
+    if getattr(context, "_plinth_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        base = Path(folder, "stage")
+        shutil.copytree(here, base / here.name, ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(str(Path(tempfile.mkdtemp(), "plinth-package")), "zip", base))
+    context._plinth_shipped = True
