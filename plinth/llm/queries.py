@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import htmltext, langid, mixing, quality, sharding, warc
+from plinth.llm import htmltext, imatch, langid, mixing, quality, sharding, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -31,6 +31,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return imatch.fingerprints(docs, imatch.fit(docs))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(read(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_html_extraction": op5_html_extraction,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
 }
