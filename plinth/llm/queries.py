@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import htmltext, imatch, langid, mixing, quality, sharding, warc
+from plinth.llm import htmltext, imatch, langid, mixing, quality, sharding, substrings, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -36,6 +36,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(docs, imatch.fit(docs))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(read(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(read(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op5_html_extraction": op5_html_extraction,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
 }
