@@ -99,3 +99,37 @@ def digest(docs: DataFrame) -> DataFrame:
     """One row per chosen document and epoch; texts are read for their token count only."""
     light = docs.select("doc_id", "lang", "source", tokens_of(F.col("text")).alias("n"))
     return mix(light, tokens=F.col("n"), tie_cols=("n",)).select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '(none)') AS lg, coalesce(source, '(none)') AS sc, lang, source,
+         CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) = '' THEN 'other'
+              ELSE 'd' || CAST(CAST(regexp_extract(source, '([0-9]{1,9})$', 1) AS BIGINT) % 4 AS VARCHAR) END AS dm,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+  FROM documents),
+leaf AS (SELECT dm, lg, sc, sum(tokens) AS tokens, sum(tokens) * 2.0::DOUBLE AS cap FROM d GROUP BY dm, lg, sc),
+t1 AS (SELECT dm, sum(cap) AS cap, CASE dm WHEN 'd0' THEN 0.4 WHEN 'd1' THEN 0.3 WHEN 'd2' THEN 0.2 WHEN 'd3' THEN 0.1 ELSE 0.05 END::DOUBLE AS w,
+              sum(sum(tokens)) OVER () * 0.6::DOUBLE AS b FROM leaf GROUP BY dm),
+l1 AS (SELECT *, (b - coalesce(sum(cap) OVER (ORDER BY cap / w, dm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(w) OVER (ORDER BY cap / w, dm ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM t1),
+a1 AS (SELECT dm, CASE WHEN lvl * w >= cap THEN cap ELSE greatest(0, max(CASE WHEN lvl * w < cap THEN lvl END) OVER () * w) END AS b1 FROM l1),
+t2 AS (SELECT leaf.dm, leaf.lg, sum(leaf.cap) AS cap, max(b1) AS b,
+              CASE leaf.lg WHEN 'en' THEN 0.55 WHEN 'de' THEN 0.15 WHEN 'fr' THEN 0.15 WHEN 'es' THEN 0.15 ELSE 0.05 END::DOUBLE AS w
+       FROM leaf JOIN a1 ON leaf.dm = a1.dm GROUP BY leaf.dm, leaf.lg),
+l2 AS (SELECT *, (b - coalesce(sum(cap) OVER (PARTITION BY dm ORDER BY cap / w, lg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(w) OVER (PARTITION BY dm ORDER BY cap / w, lg ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM t2),
+a2 AS (SELECT dm, lg, CASE WHEN lvl * w >= cap THEN cap ELSE greatest(0, max(CASE WHEN lvl * w < cap THEN lvl END) OVER (PARTITION BY dm) * w) END AS b2 FROM l2),
+t3 AS (SELECT leaf.*, b2 AS b, 1.0::DOUBLE AS w FROM leaf JOIN a2 ON leaf.dm = a2.dm AND leaf.lg = a2.lg),
+l3 AS (SELECT *, (b - coalesce(sum(cap) OVER (PARTITION BY dm, lg ORDER BY cap / w, sc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(w) OVER (PARTITION BY dm, lg ORDER BY cap / w, sc ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM t3),
+a3 AS (SELECT dm, lg, sc, tokens AS supply,
+              CAST(floor(CASE WHEN lvl * w >= cap THEN cap ELSE greatest(0, max(CASE WHEN lvl * w < cap THEN lvl END) OVER (PARTITION BY dm, lg) * w) END + 1e-6) AS BIGINT) AS budget FROM l3),
+pl AS (SELECT *, CASE WHEN supply = 0 THEN 0 ELSE least(CAST(floor(budget / greatest(supply, 1)) AS BIGINT), 2) END AS whole FROM a3),
+r AS (SELECT d.*, pl.whole, pl.budget - pl.whole * pl.supply AS rest,
+             sum(d.tokens) OVER (PARTITION BY d.dm, d.lg, d.sc ORDER BY md5('42|' || CAST(pl.whole AS VARCHAR) || '|' || CAST(d.doc_id AS VARCHAR)), d.doc_id ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN pl ON d.dm = pl.dm AND d.lg = pl.lg AND d.sc = pl.sc),
+c AS (SELECT *, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS times FROM r)
+SELECT doc_id, dm AS domain, lang, source, CAST(tokens AS BIGINT) AS tokens, CAST(e AS INTEGER) AS epoch
+FROM (SELECT *, unnest(range(CAST(times AS BIGINT))) AS e FROM c WHERE times > 0)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import htmltext, imatch, langid, mixing, quality, sharding, substrings, warc
+from plinth.llm import decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -18,6 +18,10 @@ def op2_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(read(spark, sf_dir, "pages"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs))
@@ -51,6 +55,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc_capture_index": op2_warc_capture_index,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_language_id": op4_language_id,
     "op5_html_extraction": op5_html_extraction,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -59,4 +64,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": decontaminate.ORACLE,
+    "op10_source_mixing": mixing.ORACLE,
+}
