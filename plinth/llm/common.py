@@ -52,3 +52,14 @@ def held_out(doc_id: Column) -> Column:
 def unit_hash(*cols: Column, seed: int) -> Column:
     """A seeded hash of the columns in [0, 1)."""
     return (F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit((1 << 52) - 1)).cast("double")) / float(1 << 52)
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id", most_broadcast: int = 2_000_000) -> DataFrame:
+    """``docs`` whose id is among (``left_semi``) or not among (``left_anti``) the distinct, saved ``ids(id)``.
+
+    Up to ``most_broadcast`` ids are broadcast, so that texts stay where they are; more are joined by a shuffle.
+    """
+    names = ids.select(F.col("id").alias("_id"))
+    if ids.count() <= most_broadcast:
+        names = F.broadcast(names)
+    return docs.join(names, F.col(id_col).eqNullSafe(F.col("_id")), how)

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.common import saved
+from plinth.llm.common import by_ids, saved
 
 SHINGLE = 5
 
@@ -78,6 +78,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, id_co
     return best.select(F.col("id").alias(id_col), "item_id", "best.n_shingles", "best.n_shared", F.round("best.containment", 6).alias("containment"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose id has a match; all columns stay."""
+    hit = saved(matches(docs, benchmark, threshold, id_col, text_col).select(F.col(id_col).alias("id")).distinct(), "contaminated")
+    return by_ids(docs, hit, "left_anti", id_col)
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),

@@ -133,3 +133,14 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double")
     return rows.select(F.col("id").alias(id_col), F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def recognised(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is ``und``; rows keep all columns and are not moved."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([profiles.predict(x.as_py())[0] != "und" for x in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.common import saved
+from plinth.llm.common import by_ids, saved
 from plinth.llm.graph import components
 
 BYTES, SHARED, MOST_BITS = 8, 5, 3
@@ -188,3 +188,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = placed.join(least, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), hexed, "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id; all columns stay.
+
+    Rows that share an id count as copies: the first by a hash of the text stays. Rows without an id cannot be named
+    and all stay.
+    """
+    named = saved(near_duplicates(docs, id_col, text_col, width).withColumnRenamed(id_col, "id").filter("id is not null"), "components")
+    gone = saved(named.filter("id <> component_id").select("id").distinct(), "near-copies")
+    kept = by_ids(docs, gone, "left_anti", id_col)
+    twice = saved(named.filter("id = component_id").groupBy("id").count().filter("count > 1").select("id"), "repeated")
+    if twice.isEmpty():
+        return kept
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
+    again = by_ids(kept, twice, "left_semi", id_col).withColumn("_row", first).filter("_row = 1").drop("_row")
+    return by_ids(kept, twice, "left_anti", id_col).unionByName(again)
