@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from plinth.plans import text_queries
+
+MODULES = (text_queries,)
+QUERIES: dict = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLES: dict = {k: v for m in MODULES for k, v in m.ORACLES.items()}
