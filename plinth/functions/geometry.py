@@ -45,34 +45,6 @@ def point_segment_distance(p: Column, a: Column, b: Column) -> Column:
     return point_distance(p, along(a, d, t))
 
 
-def segment_distance(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Distance of two finite segments.
-
-    Unless both inner closest points exist, the minimum lies at one of the four ends: the smallest of the four
-    end-to-segment distances and, where the lines are not parallel and both inner parameters are inside, that of the
-    inner points.
-    """
-    u, v, w = minus(b, a), minus(d, c), minus(a, c)
-    uu, uv, vv, uw, vw = dot(u, u), dot(u, v), dot(v, v), dot(u, w), dot(v, w)
-    den = uu * vv - uv * uv
-    skew = den > F.lit(1e-15) * uu * vv
-    safe = F.when(skew, den)
-    s, t = (uv * vw - vv * uw) / safe, (uu * vw - uv * uw) / safe
-    inside = skew & s.between(0.0, 1.0) & t.between(0.0, 1.0)
-    inner = F.when(inside, point_distance(along(a, u, s), along(c, v, t)))
-    ends = F.least(point_segment_distance(a, c, d), point_segment_distance(b, c, d), point_segment_distance(c, a, b), point_segment_distance(d, a, b))
-    return F.least(ends, inner)
-
-
-def primitive_distance(a: Column, b: Column) -> Column:
-    """Distance of two primitives ``struct(kind, s, e)``: points (``e`` unused) or lines."""
-    pa, pb = a["kind"] == "point", b["kind"] == "point"
-    return (
-        F.when(pa & pb, point_distance(a["s"], b["s"])).when(pa, point_segment_distance(a["s"], b["s"], b["e"])).when(pb, point_segment_distance(b["s"], a["s"], a["e"]))
-        .otherwise(segment_distance(a["s"], a["e"], b["s"], b["e"]))
-    )
-
-
 def decode_primitive(kind: Column, json: Column) -> Column:
     """``struct(kind, s, e)`` of a point (``point`` or ``coordinates``) or line (``start``, ``end``); null otherwise.
 

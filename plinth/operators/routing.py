@@ -24,7 +24,7 @@ def surfaces(rows: DataFrame, documents: DataFrame) -> DataFrame:
     found = kept.groupBy("entity_id", "document_id", "identity", "pdf_page", "input_scope", "x_min", "y_min", "x_max", "y_max").agg(
         F.array_sort(F.collect_set(F.concat_ws(":", "kind", "id"))).alias("source_refs"), F.array_sort(F.collect_set("reason")).alias("routing_reasons"), F.min_by("bbox_quality", F.struct("kind", "id")).alias("bbox_quality"),
     )
-    shown = [F.coalesce(F.format_number(c, "0.######"), F.lit("")) for c in cols]
+    shown = [F.coalesce(c.cast("string"), F.lit("")) for c in cols]
     return found.withColumn("candidate_id", F.concat(F.lit("candidate-"), F.sha2(F.concat_ws("\u001f", "document_id", F.col("pdf_page").cast("string"), "input_scope", *shown), 256)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.functions.geometry import boxes_touch, decode_primitive, primitive_distance, vertical_relation
+from plinth.functions.geometry import boxes_touch, clamp, decode_primitive, vertical_relation
 
 BOX = [f"{m}_{c}" for c in "xyz" for m in ("min", "max")]
 
@@ -59,8 +59,34 @@ def occurrence_status(locations: DataFrame) -> DataFrame:
 
 
 def distances(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Adds ``distance`` and ``basis`` for columns of primitives."""
-    return pairs.withColumn("distance", primitive_distance(F.col(a), F.col(b))).withColumn("basis", F.concat(F.col(f"{a}.kind"), F.lit("_to_"), F.col(f"{b}.kind")))
+    """Adds the exact ``distance`` and ``basis`` for columns of primitives (points are segments without length).
+
+    The closest points of two segments are inner points of both, or one is an end: four ends against the other segment,
+    and where the lines are not parallel and both inner parameters are inside, those. Steps are columns of their own, so
+    that no expression is repeated in the generated code.
+    """
+    kept = pairs.columns
+    p, q = F.col(a), F.col(b)
+    end = lambda x, c: F.when(x["kind"] == "point", x["s"][c]).otherwise(x["e"][c])
+    out = pairs.withColumns({f"_u{c}": end(p, c) - p["s"][c] for c in "xyz"} | {f"_v{c}": end(q, c) - q["s"][c] for c in "xyz"} | {f"_w{c}": p["s"][c] - q["s"][c] for c in "xyz"})
+    dot = lambda m, n: F.col(f"_{m}x") * F.col(f"_{n}x") + F.col(f"_{m}y") * F.col(f"_{n}y") + F.col(f"_{m}z") * F.col(f"_{n}z")
+    out = out.withColumns({f"_{m}{n}": dot(m, n) for m, n in ("uu", "uv", "vv", "uw", "vw")})
+    uu, uv, vv, uw, vw = (F.col(f"_{x}") for x in ("uu", "uv", "vv", "uw", "vw"))
+    out = out.withColumn("_den", uu * vv - uv * uv)
+    out = out.withColumn("_safe", F.when(F.col("_den") > F.lit(1e-15) * uu * vv, F.col("_den")))
+    ratio = lambda x, size: F.when(size > 0, clamp(x / F.nullif(size, F.lit(0.0)))).otherwise(0.0)
+    out = out.withColumns({"_t1": ratio(vw, vv), "_t2": ratio(vw + uv, vv), "_s3": ratio(-uw, uu), "_s4": ratio(uv - uw, uu), "_s5": (uv * vw - vv * uw) / F.col("_safe"), "_t5": (uu * vw - uv * uw) / F.col("_safe")})
+    zero, one = F.lit(0.0), F.lit(1.0)
+    places = [(zero, F.col("_t1")), (one, F.col("_t2")), (F.col("_s3"), zero), (F.col("_s4"), one), (F.col("_s5"), F.col("_t5"))]
+
+    def squared(s: Column, t: Column) -> Column:
+        x, y, z = (F.col(f"_w{c}") + s * F.col(f"_u{c}") - t * F.col(f"_v{c}") for c in "xyz")
+        return x * x + y * y + z * z
+
+    out = out.withColumns({f"_d{i}": squared(s, t) for i, (s, t) in enumerate(places)})
+    inner = F.when(F.col("_s5").between(0.0, 1.0) & F.col("_t5").between(0.0, 1.0), F.col("_d4"))
+    distance = F.sqrt(F.least("_d0", "_d1", "_d2", "_d3", F.coalesce(inner, F.lit(float("inf")))))
+    return out.select(*kept, distance.alias("distance"), F.concat(F.col(f"{a}.kind"), F.lit("_to_"), F.col(f"{b}.kind")).alias("basis"))
 
 
 def nearby(locations: DataFrame, radius: float, keys: list[str], cell: float | None = None) -> DataFrame:
@@ -78,7 +104,9 @@ def nearby(locations: DataFrame, radius: float, keys: list[str], cell: float | N
     same = F.lit(True)
     for k in keys:
         same = same & F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}"))
-    out = distances(pairs.filter(~same), "l_primitive", "r_primitive").filter(F.col("distance") <= radius)
+    out = distances(pairs.filter(~same), "l_primitive", "r_primitive")
+    # a filter would be pushed below the steps of the distance and repeat them; a generator is not
+    out = out.withColumn("distance", F.explode(F.when(F.col("distance") <= radius, F.array("distance"))))
     return out.select(*[f"l_{k}" for k in keys], *[f"r_{k}" for k in keys], "distance", "basis")
 
 
