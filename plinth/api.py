@@ -1,0 +1,222 @@
+"""Answers about one record at a time, as plain dictionaries with a status. Only this layer collects."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from plinth.operators import entities, facts, search, semantic, spatial, topology
+from plinth.operators.entities import KINDS
+from plinth.sources.store import Store
+
+_TABLE = {"level": "levels", "space": "spaces", "element_type": "element_types", "element": "elements"}
+
+
+def _rows(df: DataFrame) -> list[dict]:
+    return [r.asDict(recursive=True) for r in df.collect()]
+
+
+class Knowledge:
+    """Deterministic questions over a store; every list is in a total order."""
+
+    def __init__(self, store: Store) -> None:
+        self.store = store
+
+    def _t(self, name: str) -> DataFrame:
+        return self.store.table(name)
+
+    def _with_evidence(self, rows: DataFrame) -> DataFrame:
+        return entities.with_evidence(rows, *[self._t(t) for t in ("evidence", "documents", "sheets", "views")])
+
+    def get_entity(self, kind: str, entity_id: str) -> dict | None:
+        if kind not in KINDS:
+            raise ValueError(f"unknown entity kind: {kind}")
+        return next(iter(_rows(self._t(_TABLE[kind]).filter(F.col("id") == entity_id))), None)
+
+    def get_source_model(self, model_id: str) -> dict | None:
+        return next(iter(_rows(self._t("source_models").filter(F.col("id") == model_id))), None)
+
+    def get_link_instances(self, linked_model_id: str | None = None) -> list[dict]:
+        rows = self._t("link_instances")
+        rows = rows if linked_model_id is None else rows.filter(F.col("linked_source_model_id") == linked_model_id)
+        return _rows(entities.link_transforms(rows).orderBy("id"))
+
+    def find_entities(self, text: str, kind: str | None = None) -> list[dict]:
+        everything = entities.entities(*[self._t(_TABLE[k]) for k in KINDS])
+        return _rows(entities.find_entities(everything, text, kind).orderBy("kind_order", "id").drop("kind_order"))
+
+    def get_numeric_facts(self, kind: str, entity_id: str) -> list[dict]:
+        rows = self._t("parameters").filter((F.col("entity_kind") == kind) & (F.col("entity_id") == entity_id))
+        return _rows(self._with_evidence(entities.numeric_facts(rows)).orderBy("definition_name", "id"))
+
+    def get_appearances(self, kind: str, entity_id: str) -> list[dict]:
+        return _rows(self._t("entity_appearances").filter((F.col("entity_kind") == kind) & (F.col("entity_id") == entity_id)).orderBy("pdf_page", "id"))
+
+    def get_annotation_segments(self, annotation_id: str) -> list[dict]:
+        return _rows(entities.segments_of(self._t("annotation_segments").filter(F.col("annotation_id") == annotation_id)).orderBy("segment_index"))
+
+    def get_annotation_references(self, annotation_id: str) -> list[dict]:
+        return _rows(self._t("annotation_references").filter(F.col("annotation_id") == annotation_id).orderBy("reference_index"))
+
+    def get_entity_geometries(self, kind: str, entity_id: str) -> list[dict]:
+        rows = self._t("geometries").filter((F.col("entity_kind") == kind) & (F.col("entity_id") == entity_id))
+        return _rows(self._with_evidence(rows).orderBy("link_instance_id", "geometry_type", "id"))
+
+    def _occurrences(self, kind: str, entity_id: str) -> DataFrame:
+        own = self._t("entity_appearances").filter((F.col("entity_kind") == kind) & (F.col("entity_id") == entity_id))
+        return entities.occurrences(own, *[self._t(t) for t in ("viewports", "sheets", "views", "documents")])
+
+    def get_occurrence_evidence(self, kind: str, entity_id: str) -> list[dict]:
+        return _rows(self._occurrences(kind, entity_id).orderBy("document_identity", "pdf_page", "sheet_number", "view_name", "appearance_id"))
+
+    def get_navigation_targets(self, kind: str, entity_id: str) -> list[dict]:
+        found = self._occurrences(kind, entity_id).withColumn("can_zoom", F.col("bbox").isNotNull()).withColumnRenamed("appearance_id", "source_id")
+        place = ["document_id", "document_identity", "pdf_page", "sheet_id", "sheet_number", "view_id", "view_name", "bbox", "bbox_quality", "can_zoom"]
+        return _rows(entities.deduplicated(found, place).orderBy("document_identity", "pdf_page", "sheet_number", "view_name", "source_id"))
+
+    def search_text(self, query: str, limit: int = 20) -> list[dict]:
+        return _rows(search.search_text(self._t("search_content"), query, limit).select("record_kind", "record_id", "content"))
+
+    def search_pdf_text(self, query: str, limit: int = 20) -> list[dict]:
+        blocks = self._t("search_content").filter("record_kind = 'pdf_text_block'")
+        hits = search.search_text(blocks, query, limit).withColumn("position", F.monotonically_increasing_id())
+        b, p, d = self._t("pdf_text_blocks").alias("b"), self._t("pdf_pages").alias("p"), self._t("documents").alias("d")
+        joined = hits.join(b, F.col("record_id") == F.col("b.id")).join(p, F.col("b.page_id") == F.col("p.id")).join(d, F.col("p.document_id") == F.col("d.id"))
+        out = joined.select("position", F.col("b.id").alias("block_id"), "b.text", "b.provenance", F.struct("d.id", "d.identity", "d.source_filename", "d.source_sha256").alias("document"), F.col("p.page_number").alias("pdf_page"), entities.bbox("b.x_min", "b.y_min", "b.x_max", "b.y_max").alias("bbox"))
+        return _rows(out.orderBy("position").drop("position"))
+
+    def search_pdf_table_cells(self, query: str, limit: int = 20) -> list[dict]:
+        c, t, p, d = (self._t(n).alias(a) for n, a in (("pdf_table_cells", "c"), ("pdf_tables", "t"), ("pdf_pages", "p"), ("documents", "d")))
+        rows = c.join(t, F.col("c.table_id") == F.col("t.id")).join(p, F.col("t.page_id") == F.col("p.id")).join(d, F.col("p.document_id") == F.col("d.id"))
+        rows = rows.select("c.*", F.col("d.identity").alias("document_identity"), F.col("p.page_number").alias("pdf_page"), F.col("t.order_index").alias("table_order"))
+        return _rows(search.search_cells(rows, query, ["document_identity", "pdf_page", "table_order", "row_index", "column_index", "id"], limit))
+
+    def search_semantic_entities(self, query: str, entity_class: str | None = None, limit: int = 20) -> dict:
+        if not self.store.has("semantic_projection"):
+            return {"query": query, "entity_class": entity_class, "status": "capability_unavailable", "candidates": []}
+        asked = self.store.spark.createDataFrame([(query, entity_class)], "query string, entity_class string")
+        rows = _rows(semantic.discover(self._t("semantic_entities"), self._t("semantic_properties"), asked, limit).orderBy("position"))
+        return {"query": query, "entity_class": entity_class, "status": rows[0]["status"] if rows else "no_match", "candidates": [r for r in rows if r["position"]]}
+
+    def get_semantic_entity(self, entity_id: str) -> dict | None:
+        own = next(iter(_rows(self._t("semantic_entities").filter(F.col("id") == entity_id))), None)
+        if own is None:
+            return None
+        bindings = self._t("semantic_bindings").filter(F.col("semantic_entity_id") == entity_id)
+        properties = self._t("semantic_properties").filter(F.col("semantic_entity_id") == entity_id)
+        edges = topology.semantic_edges(entities.resolved_bindings(bindings), self._t("relationships"), self._t("semantic_relationships")).filter(F.col("semantic_entity_id") == entity_id)
+        return own | {
+            "bindings": _rows(bindings.orderBy("id")), "properties": _rows(semantic.facts_of(bindings, self._t("parameters"), properties).orderBy("fact_kind", "source_binding_id", "name", "id")),
+            "relationships": _rows(edges.orderBy("fact_kind", "id")), "resolution": next(iter(_rows(entities.binding_states(bindings))), None),
+        }
+
+    def _topology(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self._t("elements"), self._t("spaces"), self._t("relationships")
+
+    def get_containing_spaces(self, element_id: str) -> list[dict]:
+        return _rows(topology.containment(*self._topology()).filter(F.col("element_id") == element_id).orderBy("space_id", F.desc("relation_type"), "phase_source_unique_id", "relationship_id"))
+
+    def get_contained_elements(self, space_id: str) -> list[dict]:
+        return _rows(topology.containment(*self._topology()).filter(F.col("space_id") == space_id).orderBy("element_id", F.desc("relation_type"), "phase_source_unique_id", "relationship_id"))
+
+    def get_related_spaces(self, element_id: str) -> list[dict]:
+        return _rows(topology.related_spaces(*self._topology()).filter(F.col("element_id") == element_id).orderBy("space_id", "relation_type", "phase_source_unique_id", "relationship_id"))
+
+    def get_related_entities(self, kind: str, entity_id: str) -> list[dict]:
+        return _rows(self._with_evidence(topology.related(self._t("relationships")).filter((F.col("kind") == kind) & (F.col("entity_id") == entity_id))).orderBy("id", "direction"))
+
+    def get_same_type_elements(self, element_id: str) -> dict:
+        rows = _rows(topology.same_type(self._t("elements"), self._t("element_types")).filter(F.col("element_id") == element_id).orderBy("sibling_id"))
+        return {"status": rows[0]["status"] if rows else "not_found", "type_id": rows[0]["type_id"] if rows else None, "elements": [r["sibling_id"] for r in rows if r["sibling_id"]]}
+
+    def get_space_connections(self, space_id: str) -> list[dict]:
+        elements, spaces, edges = self._topology()
+        found = topology.connections_of_spaces(topology.connections(elements, spaces, edges), edges)
+        return _rows(found.filter(F.col("space_id") == space_id).orderBy("connector_id", F.coalesce("phase", F.lit("")), "first_relationship"))
+
+    def get_adjacent_spaces(self, space_id: str, link_instance_id: str | None = None) -> dict:
+        if self.get_entity("space", space_id) is None:
+            return {"status": "not_found", "adjacent_spaces": [], "warnings": []}
+        loops = self._t("spatial_boundaries")
+        several = _rows(topology.ambiguous_occurrences(loops).filter(F.col("space_id") == space_id))
+        if link_instance_id is None and several:
+            return {"status": "ambiguous_occurrence", "adjacent_spaces": [], "warnings": ["multiple_spatial_occurrences"]}
+        pairs, report = topology.adjacency(self._t("spaces"), loops, self._t("spatial_boundary_segments"))
+        own = _rows(report.filter(F.col("space_id") == space_id))
+        if link_instance_id is not None:
+            own = [r for r in own if r["link_instance_id"] == link_instance_id]
+        if not own:
+            return {"status": "insufficient_data", "adjacent_spaces": [], "warnings": ["spatial_occurrence_not_found"]}
+        found = pairs.filter((F.col("space_id") == space_id) & F.col("link_instance_id").eqNullSafe(F.lit(own[0]["link_instance_id"])))
+        rows = _rows(found.orderBy("adjacent_id", "source_model_id", "source_unique_id", "subject_segment_id", "adjacent_segment_id"))
+        return {"status": own[0]["status"], "adjacent_spaces": rows, "warnings": [own[0]["warning"]] if own[0]["warning"] else [], "coverage": own[0]}
+
+    def get_level_difference(self, a: str, b: str) -> dict:
+        pairs = self.store.spark.createDataFrame([(a, b)], "a string, b string")
+        return _rows(topology.level_differences(self._t("levels"), pairs))[0]
+
+    def get_change_impact(self, entity_id: str) -> dict:
+        element = self.get_entity("element", entity_id)
+        type_id = element["type_id"] if element else entity_id
+        places = entities.occurrences(self._t("entity_appearances"), *[self._t(t) for t in ("viewports", "sheets", "views", "documents")])
+        found = topology.change_impact(self._t("element_types").filter(F.col("id") == type_id), self._t("elements").filter(F.col("type_id") == type_id), topology.related_spaces(*self._topology()), places)
+        rows = _rows(found)
+        return {"status": "ok", **rows[0]} if rows else {"status": "insufficient_data" if element else "not_found", "warnings": "element_type_not_stored" if element else "entity_not_found"}
+
+    def _annotations(self, kind: str) -> DataFrame:
+        owners = self._t("elements").select(F.col("id").alias("entity_id"), "source_model_id", "source_unique_id")
+        pairs = entities.related_annotations(self._t("annotations").filter(F.col("kind") == kind), self._t("annotation_references"), owners)
+        return pairs.join(self._t("annotations").withColumnRenamed("id", "annotation_id"), "annotation_id").withColumnRenamed("annotation_id", "id").filter(F.col("kind") == kind)
+
+    def get_dimensions(self, entity_id: str) -> list[dict]:
+        return _rows(self._annotations("dimension").filter(F.col("entity_id") == entity_id).orderBy("id"))
+
+    def get_spot_elevations(self, entity_id: str) -> list[dict]:
+        return _rows(self._annotations("spot_elevation").filter(F.col("entity_id") == entity_id).orderBy("id"))
+
+    def get_opening_width(self, kind: str, entity_id: str) -> dict:
+        if not entity_id.strip():
+            raise ValueError("entity_id must be a non-empty string")
+        subjects = self._t(_TABLE[kind]).filter(F.col("id") == entity_id).select(F.lit(kind).alias("kind"), "id")
+        rows = _rows(facts.opening_width(subjects, self._t("elements"), self._t("parameters"), self._annotations("dimension"), self._t("relationships")))
+        return rows[0] if rows else {"status": "not_found", "id": entity_id}
+
+    def get_relative_elevation(self, entity_id: str, reference: str | None = None) -> dict:
+        cols = ["entity_id", "tier", "id", "numeric_value", "unit", "texts"]
+        segments = self._t("annotation_segments").groupBy("annotation_id").agg(F.flatten(F.collect_list(F.array("display_text", "prefix", "suffix", "above", "below"))).alias("more"))
+        spots = self._annotations("spot_elevation").filter("numeric_value is not null").join(segments, F.col("id") == F.col("annotation_id"), "left")
+        spots = spots.withColumn("tier", F.lit(1)).withColumn("texts", F.concat(F.array("display_text"), F.coalesce("more", F.array().cast("array<string>"))))
+        named = self._t("parameters").filter("numeric_value is not null").filter(F.lower(F.trim("definition_name")).isin(*facts.ELEVATION_NAMES)).withColumn("tier", F.lit(2)).withColumn("texts", F.array("value_text", "raw_value_text"))
+        rows = _rows(facts.relative_elevation(spots.select(*cols).unionByName(named.select(*cols)).filter(F.col("entity_id") == entity_id), reference))
+        return rows[0] if rows else {"status": "not_found", "entity_id": entity_id}
+
+    def get_spatial_candidates(self, bounds: tuple) -> list[dict]:
+        return _rows(self._with_evidence(spatial.candidates(self._t("geometries"), bounds)).orderBy("id"))
+
+    def _locations(self) -> DataFrame:
+        found = spatial.resolved_locations(self._t("geometries")).filter("status = 'ok'")
+        s, e = F.col("primitive.s"), F.col("primitive.e")
+        return found.select("entity_kind", "entity_id", "link_instance_id", "primitive", *[f(s[c], e[c]).alias(f"{m}_{c}") for c in "xyz" for m, f in (("min", F.least), ("max", F.greatest))])
+
+    def find_nearby_by_location(self, kind: str, entity_id: str, radius: float) -> dict:
+        state = _rows(spatial.occurrence_status(spatial.resolved_locations(self._t("geometries"))).filter((F.col("entity_kind") == kind) & (F.col("entity_id") == entity_id)))
+        if not state:
+            return {"status": "insufficient_data" if self.get_entity(kind, entity_id) else "not_found", "results": []}
+        if state[0]["status"] != "ok":
+            return {"status": state[0]["status"], "results": []}
+        near = spatial.nearby(self._locations(), radius, ["entity_kind", "entity_id", "link_instance_id"]).filter((F.col("l_entity_kind") == kind) & (F.col("l_entity_id") == entity_id))
+        return {"status": "ok", "results": _rows(near.orderBy("distance", "r_entity_kind", "r_entity_id", F.coalesce("r_link_instance_id", F.lit(""))))}
+
+    def get_nearest_by_location(self, kind: str, entity_id: str, max_radius: float) -> dict:
+        near = self.find_nearby_by_location(kind, entity_id, max_radius)
+        if near["status"] != "ok":
+            return near
+        return {"status": "ok", "result": near["results"][0]} if near["results"] else {"status": "no_match"}
+
+    def get_vertical_relation(self, kind_a: str, id_a: str, kind_b: str, id_b: str) -> dict:
+        boxes = self._t("geometries").filter("geometry_type = 'bbox3d'")
+        side = lambda p, k, i: boxes.filter((F.col("entity_kind") == k) & (F.col("entity_id") == i)).select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "min_z", "max_z")])
+        rows = _rows(spatial.vertical(side("l", kind_a, id_a).withColumn("k", F.lit(1)).join(side("r", kind_b, id_b).withColumn("k", F.lit(1)), "k")))
+        if len(rows) != 1:
+            return {"status": "ambiguous_geometry" if rows else "insufficient_data"}
+        return {"status": "ok", "relation": rows[0]["relation"], "separation": rows[0]["separation"]}

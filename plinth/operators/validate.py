@@ -14,8 +14,8 @@ def _found(rows: DataFrame, rule: str, table: str, ident: Column) -> DataFrame:
 
 def foreign_key(child: DataFrame, column: str, parent: DataFrame, key: str, table: str, ident: str) -> DataFrame:
     """Rows whose reference is set but names no parent."""
-    parents = parent.select(F.col(key).alias("_key")).distinct()
-    return _found(child.filter(F.col(column).isNotNull()).join(parents, F.col(column) == F.col("_key"), "left_anti"), f"fk_{column}", table, F.col(ident))
+    parents = parent.select(F.col(key).alias("_parent")).distinct()
+    return _found(child.filter(F.col(column).isNotNull()).join(parents, F.col(column) == F.col("_parent"), "left_anti"), f"fk_{column}", table, F.col(ident))
 
 
 def unique(rows: DataFrame, columns: list[str], table: str) -> DataFrame:
@@ -34,6 +34,12 @@ def not_null(rows: DataFrame, column: str, table: str, ident: str) -> DataFrame:
     return _found(rows.filter(F.col(column).isNull()), f"not_null_{column}", table, F.col(ident))
 
 
+def rules(rows: DataFrame, broken: dict[str, Column], table: str, ident: str) -> DataFrame:
+    """Many row rules in one pass: ``broken`` maps a rule's name to the condition of its violation."""
+    names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in broken.items()]))
+    return rows.select(F.explode(names).alias("rule"), F.lit(table).alias("table_name"), F.col(ident).cast("string").alias("id"))
+
+
 def all_of(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
