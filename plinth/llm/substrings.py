@@ -140,12 +140,13 @@ def _bloom(keys: DataFrame, n: int, most_bits: int):
     bits = min(max(1 << 10, 1 << int(np.ceil(np.log2(max(n, 1) * 10)))), most_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(bits // 64, dtype=np.uint64)
         for batch in batches:
-            for s in _slots(batch.column(0).to_numpy().view(np.uint64), bits):
-                np.bitwise_or.at(table, (s >> np.uint64(6)).astype(np.int64), np.uint64(1) << (s & np.uint64(63)))
-        at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(table[at].view(np.int64))], names=["at", "word"])
+            slots = np.concatenate(_slots(batch.column(0).to_numpy().view(np.uint64), bits))
+            order = np.argsort(slots, kind="stable")
+            at, bit = (slots[order] >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slots[order] & np.uint64(63))
+            starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, int)
+            words = np.bitwise_or.reduceat(bit, starts) if len(at) else bit
+            yield pa.RecordBatch.from_arrays([pa.array(at[starts]), pa.array(words.view(np.int64))], names=["at", "word"])
 
     found = keys.select("m").mapInArrow(run, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toPandas()
     table = np.zeros(bits // 64, dtype=np.uint64)
