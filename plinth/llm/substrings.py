@@ -193,8 +193,12 @@ def _windows(rows: DataFrame, wanted: DataFrame, width: int, k: int) -> DataFram
 
 
 def _later(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that have an earlier one (by id, copy, start) with the same keys, with that first place as ``src_*``."""
+    """Rows that have an earlier one (by id, copy, start) with the same keys, with that first place as ``src_*``.
+
+    First places are written down, so that the join back stands alone and adaptive execution can split a frequent key.
+    """
     first = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(F.struct("id", "copy", "start")).alias("first")).filter("_n > 1").drop("_n")
+    first = saved(first, "first")
     later = rows.join(first, keys).filter(F.struct("id", "copy", "start") > F.col("first"))
     return later.select("id", "copy", "start", "r", F.col("first.id").alias("src_id"), F.col("first.copy").alias("src_copy"), F.col("first.start").alias("src_start"))
 
