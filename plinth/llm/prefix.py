@@ -32,6 +32,8 @@ def running(rows: DataFrame, groups: list[str], bucket: str, order: list[str], v
     of = Window.partitionBy(*groups)
     parts = parts.withColumn(total, F.sum("_part").over(of))
     parts = parts.withColumn("_offset", F.coalesce(F.sum("_part").over(of.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_part")
+    # dealt by bucket before the join, or a join by group alone would bring a large group into one task
+    rows = rows.repartition(*[F.col(c) for c in (*groups, bucket)])
     inside = Window.partitionBy(*groups, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = rows.join(parts, [*groups, bucket])
     out = out.withColumn(before, F.col("_offset") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
