@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.common import WORD
+from plinth.llm.common import WORD, saved
 from plinth.llm.prefix import bucket_of, running, seeded_key
 
 DOMAIN_WEIGHTS = {"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1}
@@ -85,7 +85,8 @@ def mix(
     plan = budgets(leaves.drop("n"), budget_share, max_epochs, domain_weights, lang_weights, default_weight)
     plan = plan.withColumn("_whole", F.expr("if(tokens = 0, 0L, least(budget div greatest(tokens, 1L), cast(%d as bigint)))" % max_epochs))
     plan = plan.select(F.col("domain").alias("_domain"), F.col("lang").alias("_lang"), F.col("source").alias("_source"), "_whole", (F.col("budget") - F.col("_whole") * F.col("tokens")).alias("_rest"))
-    rows = rows.join(plan, ["_domain", "_lang", "_source"])
+    # written down, so that its true size is known: a tree of usual size is broadcast and rows stay where they are
+    rows = rows.join(saved(plan, "budgets"), ["_domain", "_lang", "_source"])
     buckets = max(1, -(-docs.count() // bucket_rows))
     rows = rows.withColumn("_key", seeded_key(F.col("_whole"), F.col(id_col), seed=seed)).withColumn("_bucket", bucket_of(F.col("_key"), buckets))
     rows = running(rows, ["_domain", "_lang", "_source"], "_bucket", ["_key", id_col, *tie_cols], F.col("_tokens"), "_before", "_sum")
