@@ -51,6 +51,12 @@ def same_space(contained: DataFrame) -> DataFrame:
     return pairs.join(pairs.withColumnRenamed("element_id", "other_id"), "space_id").select("element_id", "space_id", "other_id")
 
 
+def same_space_counts(contained: DataFrame) -> DataFrame:
+    """``(element_id, space_id, n)``: how many rows ``same_space`` has for each, without making its pairs."""
+    pairs = contained.select("element_id", "space_id").distinct()
+    return pairs.join(pairs.groupBy("space_id").agg(F.count("*").alias("n")), "space_id").select("element_id", "space_id", "n")
+
+
 def same_type(elements: DataFrame, element_types: DataFrame) -> DataFrame:
     """``(element_id, type_id, sibling_id, status)``; one row with a null sibling for an only instance (``ok``) and for
     an element without a stored type (``insufficient_data``)."""
@@ -241,5 +247,5 @@ def ordered_pairs(candidates: DataFrame, explicit: DataFrame, group: str, positi
 
 __all__ = [
     "adjacency", "ambiguous_occurrences", "change_impact", "connections", "connections_of_spaces", "containment", "level_differences", "ordered_pairs", "reference_targets", "related", "related_spaces",
-    "same_space", "same_type", "semantic_edges",
+    "same_space", "same_space_counts", "same_type", "semantic_edges",
 ]

@@ -87,8 +87,7 @@ def contained_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT a.element_id, a.space_id, count(*) AS n FROM p a JOIN p b ON a.space_id = b.space_id GROUP BY a.element_id, a.space_id""")
 def same_space_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bridge(spark, sf_dir)
-    contained = topology.containment(b.elements().filter("category = 'supplier'"), b.spaces(), b.contained_edges())
-    return topology.same_space(contained).groupBy("element_id", "space_id").agg(F.count("*").alias("n"))
+    return topology.same_space_counts(topology.containment(b.elements(), b.spaces(), b.contained_edges()))
 
 
 _SIDES = """
@@ -214,7 +213,7 @@ WITH f AS (SELECT d.source, l.doc_id, l.quality + l.toxic AS v FROM labels l JOI
 SELECT source AS entity_id, CASE WHEN count(DISTINCT v) > 1 THEN 'conflict' ELSE 'ok' END AS status, CASE WHEN count(DISTINCT v) = 1 THEN min(lpad(CAST(doc_id AS VARCHAR), 9, '0')) END AS fact_id, count(*) AS n_facts FROM f GROUP BY source""")
 def fact_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bridge(spark, sf_dir)
-    rows = b.raw("labels").join(b.raw("documents").filter("doc_id % 5 = 0").select("doc_id", "source"), "doc_id")
+    rows = b.raw("labels").join(b.raw("documents").select("doc_id", "source"), "doc_id")
     found = rows.select(F.col("source").alias("entity_id"), F.lit(1).alias("tier"), F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"), (F.col("quality") + F.col("toxic")).cast("double").alias("numeric_value"), F.lit("mark").alias("unit"))
     return facts.settled(found).select("entity_id", "status", "fact_id", "n_facts")
 
@@ -224,7 +223,7 @@ WITH f AS (SELECT user_id, event_id, value, CASE event_id % 3 WHEN 0 THEN lower(
 r AS (SELECT user_id, CASE WHEN count(DISTINCT d) = 0 THEN 'insufficient_data' WHEN count(DISTINCT d) > 1 THEN 'ambiguous' ELSE 'ok' END AS st, min(d) AS d FROM f GROUP BY 1)
 SELECT CAST(r.user_id AS VARCHAR) AS entity_id, CASE WHEN st = 'ok' AND count(DISTINCT f.value) > 1 THEN 'conflict' ELSE st END AS status, CASE WHEN st = 'ok' THEN r.d END AS reference FROM r LEFT JOIN f ON f.user_id = r.user_id AND f.d = r.d GROUP BY r.user_id, st, r.d""")
 def relative_elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = Bridge(spark, sf_dir).raw("events").filter("event_id % 10 = 0")
+    e = Bridge(spark, sf_dir).raw("events")
     kind = F.col("event_id") % 3
     text = F.when(kind == 0, F.concat("event_type", F.lit(" + 5"))).when(kind == 1, F.lit("12 34")).otherwise("RFL - 3")
     rows = e.select(F.col("user_id").cast("string").alias("entity_id"), F.lit(1).alias("tier"), F.col("event_id").cast("string").alias("id"), F.col("value").alias("numeric_value"), F.lit("mm").alias("unit"), F.array(text, F.lit(None).cast("string")).alias("texts"))
@@ -244,9 +243,9 @@ def spatial_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("spatial_box_join", _GEO + " SELECT l.vec_id AS l_vec_id, r.vec_id AS r_vec_id FROM b l JOIN b r ON l.x0 <= r.x1 AND l.x1 >= r.x0 AND l.y0 <= r.y1 AND l.y1 >= r.y0 AND l.z0 <= r.z1 AND l.z1 >= r.z0 AND l.vec_id % 2 = 0 AND r.vec_id % 2 = 1")
 def spatial_box_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of even rows against those of odd ones."""
-    g = Bridge(spark, sf_dir).geometries().drop("primitive")
-    return spatial.box_join(g.filter("vec_id % 2 = 0"), g.filter("vec_id % 2 = 1"), 60.0).select("l_vec_id", "r_vec_id")
+    """All boxes against each other, each pair once."""
+    g = Bridge(spark, sf_dir).geometries().select("vec_id", *spatial.BOX)
+    return spatial.box_join(g, g, 60.0).filter("l_vec_id < r_vec_id").select("l_vec_id", "r_vec_id")
 
 
 @query("vertical_relation", _GEO + """ SELECT l.vec_id AS l_vec_id, r.vec_id AS r_vec_id, CASE WHEN l.z0 > r.z1 THEN 'above' WHEN l.z1 < r.z0 THEN 'below' ELSE 'indeterminate' END AS relation,
