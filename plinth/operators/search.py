@@ -115,8 +115,9 @@ def _count(term: Term) -> Column:
     return F.regexp_count(F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")), F.lit(pattern))
 
 
-def ranked(content: DataFrame, query: str, limit: int) -> DataFrame:
-    """The best ``limit`` rows of ``content(record_kind, record_id, content)`` with ``rank`` (smaller is better).
+def ranked(content: DataFrame, query: str, limit: int | None) -> DataFrame:
+    """The best ``limit`` rows of ``content(record_kind, record_id, content)`` with ``rank`` (smaller is better); all hits,
+    in no order, without a limit.
 
     rank = - sum of idf * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * length / mean length)) over the query's terms, idf =
     ln((N - n + 0.5) / (n + 0.5)), 1e-6 where that is not positive. Two scans: one for N, n and the mean length (one
@@ -143,7 +144,8 @@ def ranked(content: DataFrame, query: str, limit: int) -> DataFrame:
     for i in range(1, len(terms)):
         total = total + score(i)
     hits = counted.filter(holds(tree)).join(F.broadcast(facts), F.lit(True))
-    return hits.select("record_kind", "record_id", "content", (-total).alias("rank")).orderBy("rank", "record_kind", "record_id").limit(limit)
+    found = hits.select("record_kind", "record_id", "content", (-total).alias("rank"))
+    return found if limit is None else found.orderBy("rank", "record_kind", "record_id").limit(limit)
 
 
 def substring(content: DataFrame, query: str, limit: int) -> DataFrame:

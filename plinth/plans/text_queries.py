@@ -59,7 +59,7 @@ WITH d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(translate(lo
 SELECT CAST(doc_id AS VARCHAR) AS record_id FROM d WHERE contains(t, ' all rights reserved ') OR contains(t, ' licens')""")
 def text_search_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = _content(Bridge(spark, sf_dir))
-    return search.ranked(content, '"all rights reserved" OR licens*', 1_000_000).select("record_id")
+    return search.ranked(content, '"all rights reserved" OR licens*', None).select("record_id")
 
 
 @query("text_search_fallback", f"""

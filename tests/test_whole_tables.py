@@ -2,6 +2,8 @@
 
 from itertools import combinations
 
+from plinth.operators import search
+from plinth.plans import text_queries
 from plinth.plans.graph_queries import QUERIES
 
 
@@ -63,3 +65,14 @@ def test_same_space_counts_customers(spark, tmp_path):
     )
     inside = {"space-0": ["customer-1", "customer-2", "supplier-1", "supplier-6"], "space-1": ["customer-3", "supplier-6"]}
     assert rows(QUERIES["same_space_elements"](spark, sf_dir)) == sorted((e, s, len(es)) for s, es in inside.items() for e in es)
+
+
+def test_phrase_search_has_no_limit(spark, tmp_path):
+    texts = ["All rights reserved", "a licensed copy", "nothing", "all rights, reserved; license", "licens"]
+    sf_dir = store(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id bigint, text string"))
+    found = text_queries.QUERIES["text_search_phrase"](spark, sf_dir)
+    assert rows(found) == [("0",), ("1",), ("3",), ("4",)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "Sort" not in plan
+    content = spark.createDataFrame([("k", str(i), t) for i, t in enumerate(texts)], "record_kind string, record_id string, content string")
+    assert rows(search.ranked(content, "licens*", None)) == rows(search.ranked(content, "licens*", 20))
