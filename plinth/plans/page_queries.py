@@ -235,12 +235,12 @@ rel AS (SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Each benchmark item asks for its second word; relevant documents hold its first 30 characters."""
+    """Each benchmark item asks for its second word; relevant documents hold its whole text."""
     b = Bridge(spark, sf_dir)
     docs = b.raw("documents").select("doc_id", "n_chars", "text")
-    cases = b.raw("benchmark").select(F.col("item_id").alias("case_id"), F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("w"), F.substring("text", 1, 30).alias("head"))
-    asked = docs.join(F.broadcast(cases), F.col("text").contains(F.concat(F.lit(" "), "w", F.lit(" "))) | F.col("text").contains(F.col("head")))  # a set of questions
-    asked = asked.select("case_id", F.col("doc_id").alias("result_id"), "n_chars", F.col("text").contains(F.concat(F.lit(" "), "w", F.lit(" "))).alias("found"), F.col("text").contains(F.col("head")).alias("relevant"))
+    cases = b.raw("benchmark").select(F.col("item_id").alias("case_id"), F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("w"), F.col("text").alias("item"))
+    asked = docs.join(F.broadcast(cases), F.col("text").contains(F.concat(F.lit(" "), "w", F.lit(" "))) | F.col("text").contains(F.col("item")))  # a set of questions
+    asked = asked.select("case_id", F.col("doc_id").alias("result_id"), "n_chars", F.col("text").contains(F.concat(F.lit(" "), "w", F.lit(" "))).alias("found"), F.col("text").contains(F.col("item")).alias("relevant"))
     ranked = evaluation.ranks(asked.filter("found"), [F.col("n_chars"), F.col("result_id")])
     return ranked, asked.filter("relevant"), cases
 

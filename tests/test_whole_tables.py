@@ -3,7 +3,7 @@
 from itertools import combinations
 
 from plinth.operators import search
-from plinth.plans import text_queries
+from plinth.plans import page_queries, text_queries
 from plinth.plans.graph_queries import QUERIES
 
 
@@ -76,3 +76,17 @@ def test_phrase_search_has_no_limit(spark, tmp_path):
     assert "Limit" not in plan and "Sort" not in plan
     content = spark.createDataFrame([("k", str(i), t) for i, t in enumerate(texts)], "record_kind string, record_id string, content string")
     assert rows(search.ranked(content, "licens*", None)) == rows(search.ranked(content, "licens*", 20))
+
+
+def test_relevant_documents_hold_the_whole_item(spark, tmp_path):
+    opening = "the very same opening of thirty characters and more "
+    texts = [f"so {opening}ends", f"it is {opening}goes on to one end", f"here {opening}goes on to another end"]
+    sf_dir = store(
+        spark, tmp_path,
+        documents=([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars bigint"),
+        benchmark=([(1, f"{opening}goes on to one end"), (2, f"{opening}goes on to another end")], "item_id bigint, text string"),
+    )
+    found = {n: page_queries.QUERIES[n](spark, sf_dir).collect() for n in ("retrieval_metrics", "mean_reciprocal_rank", "evidence_precision_recall")}
+    assert sorted((r.case_id, r.first) for r in found["retrieval_metrics"]) == [(1, 2), (2, 3)]
+    assert [(r.mrr, r.ranked_case_count) for r in found["mean_reciprocal_rank"]] == [(0.416667, 2)]
+    assert sorted((r.case_id, r.observed, r.expected, r.matched) for r in found["evidence_precision_recall"]) == [(1, 3, 1, 1), (2, 3, 1, 1)]
