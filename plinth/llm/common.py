@@ -20,10 +20,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's checkpoint folder.
 
-    Only where none is set (tests, one machine) a temporary folder is set as such.
+    Only where none is set and everything runs on one machine (tests) a temporary folder is set as such; on a cluster
+    that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "plinth-checkpoints")
         spark.sparkContext.setCheckpointDir(found)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -41,7 +44,34 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.plinth_path = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Removes a table that :func:`saved` wrote, once all that was made from it is saved too."""
+    delete(df.sparkSession, df.plinth_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a path on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def hot_join(rows: DataFrame, table: DataFrame, keys: list[str], n: str, how: str = "inner", least: int = 4096) -> DataFrame:
+    """``rows`` joined with a saved ``table``, whose ``keys`` are unique and whose column ``n`` has their rows.
+
+    Keys with over 1/4096 of all rows number at most 4,096: their part of the table is broadcast, so that no task gets
+    all rows of one; the others are joined as usual.
+    """
+    limit = max(least, (table.agg(F.sum(n)).first()[0] or 0) // 4096)
+    hot = table.filter(F.col(n) > limit)
+    if hot.isEmpty():
+        return rows.join(table, keys, how)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.filter(F.col(n) <= limit), keys, how)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -54,12 +84,19 @@ def unit_hash(*cols: Column, seed: int) -> Column:
     return (F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit((1 << 52) - 1)).cast("double")) / float(1 << 52)
 
 
-def by_ids(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id", most_broadcast: int = 2_000_000) -> DataFrame:
-    """``docs`` whose id is among (``left_semi``) or not among (``left_anti``) the distinct, saved ``ids(id)``.
+def packed(docs: DataFrame) -> Column:
+    """All columns of a caller's table as one struct: working columns beside it can have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """Names a row by its id and text; null ids are ids like any other. Rows equal in both have the same key."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.hash(text_col).alias("g"))
+
+
+def among(rows: DataFrame, keys: DataFrame, how: str, most_broadcast: int = 2_000_000) -> DataFrame:
+    """``rows`` whose ``key`` (a struct) is among (``left_semi``) or not among (``left_anti``) distinct, saved ``keys(key)``.
 
-    Up to ``most_broadcast`` ids are broadcast, so that texts stay where they are; more are joined by a shuffle.
+    Up to ``most_broadcast`` keys are broadcast, so that texts stay where they are; more are joined by a shuffle.
     """
-    names = ids.select(F.col("id").alias("_id"))
-    if ids.count() <= most_broadcast:
-        names = F.broadcast(names)
-    return docs.join(names, F.col(id_col).eqNullSafe(F.col("_id")), how)
+    return rows.join(F.broadcast(keys) if keys.count() <= most_broadcast else keys, "key", how)

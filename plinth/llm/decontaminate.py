@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.common import by_ids, saved
+from plinth.llm.common import among, packed, row_key, saved
 
 SHINGLE = 5
 
@@ -79,9 +79,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, id_co
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id has a match; all columns stay."""
-    hit = saved(matches(docs, benchmark, threshold, id_col, text_col).select(F.col(id_col).alias("id")).distinct(), "contaminated")
-    return by_ids(docs, hit, "left_anti", id_col)
+    """``docs`` without the rows that have a match; all columns stay, whatever their names. Rows are told apart by id
+    and text, so that a row without an id or with another's id goes only for its own text."""
+    key = row_key(id_col, text_col).alias("key")
+    hit = matches(docs.select(key, F.col(text_col).alias("text")), benchmark, threshold, "key", "text")
+    return among(docs.select(key, packed(docs).alias("row")), saved(hit.select("key").distinct(), "contaminated"), "left_anti").select("row.*")
 
 
 ORACLE = r"""

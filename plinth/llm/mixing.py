@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.common import WORD, saved
+from plinth.llm.common import WORD, packed, saved
 from plinth.llm.prefix import bucket_of, running, seeded_key
 
 DOMAIN_WEIGHTS = {"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1}
@@ -33,13 +33,25 @@ def tokens_of(text: Column) -> Column:
 
 
 def _weight(col: str, weights: Mapping[str, float], default: float) -> Column:
+    if any(w < 0 for w in (*weights.values(), default)):
+        raise ValueError("weights must not be negative")
     if not weights:
-        return F.lit(default)
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in sorted(weights.items()) for x in kv])[F.col(col)], F.lit(default))
+        return F.lit(float(default))
+    named = {k if k == NONE else _escape(k): float(w) for k, w in weights.items()}
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in sorted(named.items()) for x in kv])[F.col(col)], F.lit(float(default)))
+
+
+def _escape(name: str) -> str:
+    return f"({name}" if name.startswith("(") else name
+
+
+def _leaf_name(col: str) -> Column:
+    """A name for each value, null included: ``(none)``; values that begin with a bracket get another one."""
+    return F.coalesce(F.when(F.startswith(F.col(col), F.lit("(")), F.concat(F.lit("("), F.col(col))).otherwise(F.col(col)), F.lit(NONE))
 
 
 def fill(nodes: DataFrame, family: list[str], name: str, budget: str, out: str) -> DataFrame:
-    """Splits ``budget`` among the rows of each family by ``weight``, none above its ``cap`` (weights are positive).
+    """Splits ``budget`` among the rows of each family by ``weight``, none above its ``cap``.
 
     Ordered by cap / weight, the rows that are full form a prefix; the first row that is not tells the common level.
     """
@@ -55,11 +67,14 @@ def fill(nodes: DataFrame, family: list[str], name: str, budget: str, out: str)
 
 def budgets(leaves: DataFrame, budget_share: float, max_epochs: int, domain_weights: Mapping[str, float], lang_weights: Mapping[str, float], default_weight: float) -> DataFrame:
     """``(domain, lang, source, tokens, budget)`` from ``leaves(domain, lang, source, tokens)``; budgets are whole."""
-    caps = leaves.withColumn("cap", F.col("tokens").cast("double") * max_epochs)
+    domain, lang = _weight("domain", domain_weights, default_weight), _weight("lang", lang_weights, default_weight)
+    # a weight of zero takes nothing: no capacity, and some weight so that ratios exist
+    some = lambda w: F.when(w > 0, w).otherwise(1.0)
+    caps = leaves.withColumn("cap", F.when((domain > 0) & (lang > 0), F.col("tokens").cast("double") * max_epochs).otherwise(0.0))
     top = caps.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("supply")).withColumn("all", F.lit(0))
-    top = top.withColumn("weight", _weight("domain", domain_weights, default_weight)).withColumn("b0", F.sum("supply").over(Window.partitionBy("all")) * budget_share)
+    top = top.withColumn("weight", some(domain)).withColumn("b0", F.sum("supply").over(Window.partitionBy("all")) * budget_share)
     top = fill(top, ["all"], "domain", "b0", "b1").select("domain", "b1")
-    mid = caps.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight("lang", lang_weights, default_weight))
+    mid = caps.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("weight", some(lang))
     mid = fill(mid.join(top, "domain"), ["domain"], "lang", "b1", "b2").select("domain", "lang", "b2")
     low = caps.withColumn("weight", F.lit(1.0)).join(mid, ["domain", "lang"])
     low = fill(low, ["domain", "lang"], "source", "b2", "b3")
@@ -72,28 +87,31 @@ def mix(
 ) -> DataFrame:
     """``docs`` repeated as often as chosen, with ``domain``, ``tokens`` and ``epoch`` (0 for the first time).
 
-    Null languages and sources form leaves of their own. Rows without words have no tokens: they come along where they
-    fall inside a prefix. Repeated rows are rows like others. Columns already called like the new ones are replaced.
-    Weights that a mapping lacks are ``default_weight``; sources of a language share alike. The tree (not the rows)
-    is what aggregates to one task.
+    Null languages and sources form leaves of their own (a weight for null languages is named ``(none)``). Rows
+    without words have no tokens: they come along where they fall inside a prefix. Repeated rows are rows like others.
+    Columns already called like the new ones are replaced; all others come back as they were, whatever their names.
+    Weights that a mapping lacks are ``default_weight``; a weight of zero takes nothing, a negative one is an error;
+    sources of a language share alike. The tree (not the rows) is what aggregates to one task.
     """
     new = ["domain", "tokens", "epoch"]
-    names = [x for x in docs.columns if x not in new]
-    rows = docs.withColumn("_tokens", tokens_of(F.col(text_col)) if tokens is None else tokens)
-    rows = rows.withColumn("_domain", domain_of(F.col("source"))).withColumn("_lang", F.coalesce("lang", F.lit(NONE))).withColumn("_source", F.coalesce("source", F.lit(NONE)))
-    leaves = rows.groupBy(F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source")).agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("n"))
+    kept = docs.drop(*new)
+    # the caller's columns travel inside one column, so that none can clash with a working one
+    rows = docs.select(
+        packed(kept).alias("row"), F.struct(*[F.col(c) for c in (id_col, *tie_cols)]).alias("tie"), F.col(id_col).alias("id"), (tokens_of(F.col(text_col)) if tokens is None else tokens).alias("tokens"),
+        domain_of(F.col("source")).alias("domain"), _leaf_name("lang").alias("lang"), _leaf_name("source").alias("source"),
+    )
+    leaf = ["domain", "lang", "source"]
+    leaves = rows.groupBy(*leaf).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n"))
     plan = budgets(leaves.drop("n"), budget_share, max_epochs, domain_weights, lang_weights, default_weight)
-    plan = plan.withColumn("_whole", F.expr("if(tokens = 0, 0L, least(budget div greatest(tokens, 1L), cast(%d as bigint)))" % max_epochs))
-    plan = plan.select(F.col("domain").alias("_domain"), F.col("lang").alias("_lang"), F.col("source").alias("_source"), "_whole", (F.col("budget") - F.col("_whole") * F.col("tokens")).alias("_rest"))
+    plan = plan.withColumn("whole", F.expr("if(tokens = 0, 0L, least(budget div greatest(tokens, 1L), cast(%d as bigint)))" % max_epochs))
     # written down, so that its true size is known: a tree of usual size is broadcast and rows stay where they are
-    rows = rows.join(saved(plan, "budgets"), ["_domain", "_lang", "_source"])
+    rows = rows.join(saved(plan.select(*leaf, "whole", (F.col("budget") - F.col("whole") * F.col("tokens")).alias("rest")), "budgets"), leaf)
     buckets = max(1, -(-docs.count() // bucket_rows))
-    rows = rows.withColumn("_key", seeded_key(F.col("_whole"), F.col(id_col), seed=seed)).withColumn("_bucket", bucket_of(F.col("_key"), buckets))
-    rows = running(rows, ["_domain", "_lang", "_source"], "_bucket", ["_key", id_col, *tie_cols], F.col("_tokens"), "_before", "_sum")
-    partly = (F.col("_rest") > 0) & (F.col("_before") + F.col("_tokens") <= F.col("_rest"))
-    rows = rows.withColumn("_times", F.col("_whole") + partly.cast("bigint")).filter("_times > 0")
-    rows = rows.withColumn("epoch", F.explode(F.expr("sequence(0, cast(_times as int) - 1)")))
-    return rows.withColumn("domain", F.col("_domain")).withColumn("tokens", F.col("_tokens")).select(*names, *new)
+    rows = rows.withColumn("key", seeded_key(F.col("whole"), F.col("id"), seed=seed)).withColumn("bucket", bucket_of(F.col("key"), buckets))
+    rows = running(rows, leaf, "bucket", ["key", "tie"], F.col("tokens"), "before", "sum")
+    partly = (F.col("rest") > 0) & (F.col("before") + F.col("tokens") <= F.col("rest"))
+    rows = rows.withColumn("times", F.col("whole") + partly.cast("bigint")).filter("times > 0")
+    return rows.withColumn("epoch", F.explode(F.expr("sequence(0, cast(times as int) - 1)"))).select("row.*", *new)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plinth.llm.common import packed
 from plinth.llm.prefix import bucket_of, running, seeded_key
 
 
@@ -22,22 +23,24 @@ def interleave(docs: DataFrame, shards: int = 8, seed: int = 42, id_col: str = "
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
 
     Every row is placed, repeated ones too; a null source is a source of its own and a null id sorts like an empty
-    one. Columns that are already called ``shard`` or ``slot`` are replaced. Rows equal in id and ``tie_cols`` take
-    neighbouring places in any order. An empty table stays empty. ``bucket_rows`` bounds the rows that one task sorts,
-    also for a source with most of the rows.
+    one. Columns that are already called ``shard`` or ``slot`` are replaced; all others come back as they were,
+    whatever their names. Rows equal in id and ``tie_cols`` take neighbouring places in any order. An empty table stays
+    empty. ``bucket_rows`` bounds the rows that one task sorts, also for a source with most of the rows.
     """
     docs = docs.drop("shard", "slot")
     total = docs.count()
     buckets = max(1, -(-total // bucket_rows))
-    rows = docs.withColumn("_key", seeded_key(F.col(id_col), seed=seed)).withColumn("_bucket", bucket_of(F.col("_key"), buckets))
-    rows = rows.withColumn("_stratum", F.coalesce(F.concat(F.lit("s"), F.col(stratum_col).cast("string")), F.lit("n")))
-    rows = running(rows, ["_stratum"], "_bucket", ["_key", id_col, *tie_cols], F.lit(1), "_rank", "_size")
-    rows = rows.withColumn("_share", (F.col("_rank") + 0.5) / F.col("_size"))
-    rows = rows.withColumn("_bucket", F.floor(F.col("_share") * buckets)).withColumn("_all", F.lit(0))
-    rows = running(rows, ["_all"], "_bucket", ["_share", "_stratum"], F.lit(1), "_place", "_total")
-    rows = rows.withColumn("shard", F.expr(f"cast(_place * {shards} div _total as int)"))
-    rows = rows.withColumn("slot", F.expr(f"_place - (shard * _total + {shards - 1}) div {shards}"))
-    return rows.select(*docs.columns, "shard", "slot")
+    # the caller's columns travel inside one column, so that none can clash with a working one
+    key, stratum = seeded_key(F.col(id_col), seed=seed), F.coalesce(F.concat(F.lit("s"), F.col(stratum_col).cast("string")), F.lit("n"))
+    rows = docs.select(packed(docs).alias("row"), F.struct(*[F.col(c) for c in (id_col, *tie_cols)]).alias("tie"), key.alias("key"), stratum.alias("stratum"))
+    rows = rows.withColumn("bucket", bucket_of(F.col("key"), buckets))
+    rows = running(rows, ["stratum"], "bucket", ["key", "tie"], F.lit(1), "rank", "size")
+    rows = rows.withColumn("share", (F.col("rank") + 0.5) / F.col("size"))
+    rows = rows.withColumn("bucket", F.floor(F.col("share") * buckets)).withColumn("all", F.lit(0))
+    rows = running(rows, ["all"], "bucket", ["share", "stratum"], F.lit(1), "place", "total")
+    rows = rows.withColumn("shard", F.expr(f"cast(place * {shards} div total as int)"))
+    rows = rows.withColumn("slot", F.expr(f"place - (shard * total + {shards - 1}) div {shards}"))
+    return rows.select("row.*", "shard", "slot")
 
 
 def digest(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
@@ -46,3 +49,17 @@ def digest(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
     light = docs.select("doc_id", "source", utf8_size(F.col("text")).alias("size"), crc)
     placed = interleave(light, shards, seed, tie_cols=("size", "text_crc32"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: The same law in SQL: rank by seeded md5 within a source, order by fractional rank, cut into equal parts.
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, coalesce(text, '') AS body, coalesce('s' || source, 'n') AS stratum,
+         md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY k, doc_id) - 1 AS rank, count(*) OVER (PARTITION BY stratum) AS n FROM d),
+p AS (SELECT *, row_number() OVER (ORDER BY (rank + 0.5::DOUBLE) / n, stratum) - 1 AS place, count(*) OVER () AS total FROM r),
+s AS (SELECT *, CAST(place * 8 // total AS INTEGER) AS shard FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, shard, CAST(place - (shard * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""

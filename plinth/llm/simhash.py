@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.common import by_ids, saved
+from plinth.llm.common import among, packed, row_key, saved
 from plinth.llm.graph import components
 
 BYTES, SHARED, MOST_BITS = 8, 5, 3
@@ -191,17 +191,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id; all columns stay.
+    """``docs`` with one row of each component, that of the smallest id; all columns stay, whatever their names.
 
-    Rows that share an id count as copies: the first by a hash of the text stays. Rows without an id cannot be named
-    and all stay.
+    Rows are told apart by id and text: of rows that share an id the one with the smallest hash of the text counts as
+    smaller, null ids are smallest of all, and of rows equal in both one stays.
     """
-    named = saved(near_duplicates(docs, id_col, text_col, width).withColumnRenamed(id_col, "id").filter("id is not null"), "components")
-    gone = saved(named.filter("id <> component_id").select("id").distinct(), "near-copies")
-    kept = by_ids(docs, gone, "left_anti", id_col)
-    twice = saved(named.filter("id = component_id").groupBy("id").count().filter("count > 1").select("id"), "repeated")
-    if twice.isEmpty():
-        return kept
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
-    again = by_ids(kept, twice, "left_semi", id_col).withColumn("_row", first).filter("_row = 1").drop("_row")
-    return by_ids(kept, twice, "left_anti", id_col).unionByName(again)
+    rows = docs.select(row_key(id_col, text_col).alias("key"), packed(docs).alias("row"))
+    named = near_duplicates(docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text")), "key", "text", width)
+    named = saved(named, "components")
+    kept = among(rows, saved(named.filter("key <> component_id").select("key").distinct(), "near-copies"), "left_anti")
+    twice = saved(named.filter("key = component_id").groupBy("key").count().filter("count > 1").select("key"), "repeated")
+    if not twice.isEmpty():
+        first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+        again = among(kept, twice, "left_semi").withColumn("n", first).filter("n = 1").drop("n")
+        kept = among(kept, twice, "left_anti").unionByName(again)
+    return kept.select("row.*")
