@@ -8,16 +8,18 @@ costs the profile length, and the nearest profile names the language.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.llm.common import held_out, unit_hash
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]+")  # of letters and of numerals that are no digits, such as ½
+_LETTERS = regex.compile(r"\p{L}+")
 _EDGE, _PIECE = ord("_"), 1 << 20
 
 
@@ -28,12 +30,18 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, np.bincount(at, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
 
 
+def _letters(text: str) -> list[str]:
+    """Runs of letters (Unicode category L)."""
+    words = _WORDS.findall(text)
+    return words if text.isascii() or all(map(str.isalpha, words)) else _LETTERS.findall(text)
+
+
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of the 1-, 2- and 3-grams of lower-cased words of letters, words padded by one mark each side.
 
     A key packs up to three code points. Whole texts are read, long ones in pieces of whole words.
     """
-    words, parts, held, size = _LETTERS.findall((text or "").lower()), [], [], 0
+    words, parts, held, size = _letters((text or "").lower()), [], [], 0
     for i, w in enumerate(words):
         held.append(w)
         size += len(w) + 1
@@ -135,12 +143,20 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     return rows.select(F.col("id").alias(id_col), F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def recognised(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; rows keep all columns and are not moved."""
+def recognised(docs: DataFrame, profiles: Profiles, langs: Collection[str] | None = None, least_score: float = 0.0, text_col: str = "text", lang_col: str | None = None) -> DataFrame:
+    """``docs`` whose language is told with ``least_score`` or more and is one of ``langs`` (default: any but ``und``).
+
+    Rows keep all columns and are not moved; ``lang_col``, if given, is replaced by the prediction.
+    """
     at = docs.columns.index(text_col)
+    put = None if lang_col is None else docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([profiles.predict(x.as_py())[0] != "und" for x in batch.column(at)], pa.bool_()))
+            found = [profiles.predict(x.as_py()) for x in batch.column(at)]
+            keep = pa.array([lang != "und" and score >= least_score and (langs is None or lang in langs) for lang, score in found], pa.bool_())
+            if put is not None:
+                batch = batch.set_column(put, batch.schema.field(put), pa.array([lang for lang, _ in found], batch.schema.field(put).type))
+            yield batch.filter(keep)
 
     return docs.mapInArrow(run, docs.schema)
