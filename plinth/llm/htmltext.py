@@ -11,7 +11,7 @@ headers, sidebars, notices, adverts, forms and reader comments around and inside
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 from random import Random
@@ -21,17 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG = re.compile(
-    r"<(?:!--.*?(?:--!?>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|[!?/][^>]*>)",
-    re.S,
-)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style|itemprop|aria-label)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-#: Elements whose text is never shown as text of the page.
-_RAW = frozenset("script style noscript template textarea title iframe object svg math select canvas audio video xmp noframes datalist".split())
-_RAW_END = {x: re.compile(rf"</{x}\b[^>]*>", re.I) for x in _RAW}
+_TAG = re.compile(r"</?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>")
+#: A tag that ends at the first ``>``, quoted or not.
+_PLAIN = re.compile(r"</?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>[^>]*+)>")
+_COMMENT_END = re.compile(r"--!?>")
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_MAY_HIDE = re.compile(r"hidden|style", re.I)
+#: Elements whose text is never shown as text of the page, and fields of forms.
+_RAW = frozenset("script style template textarea title iframe select datalist".split())
+_RAW_END = {x: re.compile(rf"</{x}\b", re.I) for x in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source input nobr center".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source input nobr center "
+    "object canvas audio video noscript noframes svg g text tspan path rect circle line math mi mo mn ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mspace semantics annotation".split()
 )
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -64,7 +66,7 @@ def _mask(attrs: str) -> int:
         found, words = 0, []
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'").lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 found |= 1 << _HIDDEN
             elif name in ("class", "id", "role", "itemprop", "aria-label"):
                 words.append(value)
@@ -79,8 +81,12 @@ def _mask(attrs: str) -> int:
 
 @dataclass
 class Dom:
-    """Block nodes of pages in order of their start; ``texts`` holds (node, text) in page order."""
+    """Block nodes of pages in order of their start; ``texts`` holds (node, text) in page order.
+
+    Text inside elements that ``hidden`` or their style keep from being shown is left out.
+    """
 
+    labelled: bool = False
     group: list[int] = field(default_factory=list)
     mask: list[int] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
@@ -101,11 +107,16 @@ class Dom:
         return len(self.group) - 1
 
     def add(self, page: int, html: str) -> None:
-        """Parses one page; its root is a node of its own, so a page without any tag is one node with text."""
+        """Parses one page; its root is a node of its own, so a page without any tag is one node with text.
+
+        Time is linear in the page, however deep its elements and whatever is left open: open elements are found by
+        name, a tag without an end makes the rest text, and after one whose quotes never close none is trusted.
+        """
         root = self.node(page, "html", 0, -1)
-        stack, tags = [root], ["html"]
+        stack, tags, open_at = [root], ["html"], {"html": [0]}
         used, pieces, linked, links = {root}, [], 0, 0
-        pos, size, search = 0, len(html), _TAG.search
+        pos, size, tag_at, shape = 0, len(html), html.find, _TAG
+        unseen, unseen_inline = -1, []  # depth of the outermost hidden block; open hidden inline elements
 
         def flush() -> None:
             nonlocal linked
@@ -121,64 +132,98 @@ class Dom:
             if at in used:
                 at = self.node(page, "#text", 0, at)
             used.add(at)
-            if text.startswith(_CONTENT):
+            if self.labelled and text.startswith(_CONTENT):
                 self.marked[at], text = True, text[1:]
             words = text.count(" ") + 1
             self.stats[at] = (len(text), min(in_links, len(text)), words, text.count(",") + text.count(". "), 2 * (text[-1] in ".!?…\"'”»:;") + ("©" in text or "opyright" in text))
             self.texts.append((at, text))
 
-        while pos < size:
-            m = search(html, pos)
-            if m is None:
-                pieces.append(html[pos:])
-                break
-            if m.start() > pos:
-                piece = html[pos : m.start()]
+        def shown(piece: str) -> None:
+            nonlocal linked
+            if unseen < 0 and not unseen_inline:
                 pieces.append(piece)
                 if links:
                     linked += len(piece)
-            pos = m.end()
-            name = m["name"] or m["name2"]
-            if name is None:
+
+        def close(k: int) -> None:
+            nonlocal unseen
+            for name in tags[k:]:
+                open_at[name].pop()
+            del stack[k:], tags[k:]
+            if unseen >= k:
+                unseen = -1
+
+        def last(names: Iterable[str]) -> int:
+            return max((open_at[x][-1] for x in names if open_at.get(x)), default=-1)
+
+        while pos < size:
+            at = tag_at("<", pos)
+            if at < 0:
+                shown(html[pos:])
+                break
+            if at > pos:
+                shown(html[pos:at])
+            after = html[at + 1 : at + 3]
+            first = after[:1]
+            if not (first.isascii() and first.isalpha() or first == "/" and after[1:].isascii() and after[1:].isalpha()):
+                if html.startswith("<!--", at):
+                    end = _COMMENT_END.search(html, at + 2)
+                    pos = end.end() if end else size
+                elif first and first in "!?/":
+                    gt = html.find(">", at)
+                    pos = gt + 1 if gt >= 0 else size
+                    if gt < 0:
+                        shown(html[at:])
+                else:
+                    shown("<")
+                    pos = at + 1
                 continue
-            name, ends = name.lower(), m["end"] or m["end2"]
+            m = shape.match(html, at)
+            if m is None and shape is _TAG:
+                shape = _PLAIN
+                m = shape.match(html, at)
+            if m is None:  # no > follows
+                shown(html[at:])
+                break
+            pos, name, ends = m.end(), m["name"].lower(), first == "/"
             if name in _INLINE:
                 if name == "a":
                     links = 0 if ends else 1
                 elif name == "br":
-                    pieces.append(" ")
+                    shown(" ")
+                if not ends:
+                    if name not in _VOID and (name in unseen_inline or _MAY_HIDE.search(m["attrs"]) and _mask(m["attrs"]) >> _HIDDEN & 1):
+                        unseen_inline.append(name)
+                elif unseen_inline and name == unseen_inline[0]:
+                    unseen_inline.remove(name)
                 continue
             if name in _RAW:
                 if not ends:
-                    close = _RAW_END[name].search(html, pos)
-                    pos = close.end() if close else size
+                    close_at = _RAW_END[name].search(html, pos)
+                    gt = html.find(">", close_at.end()) if close_at else -1
+                    pos = gt + 1 if gt >= 0 else size
                 continue
             flush()
-            links = 0
+            links, unseen_inline = 0, []
             if ends:
-                if name in tags:
-                    k = len(tags) - 1 - tags[::-1].index(name)
-                    if k:
-                        del stack[k:], tags[k:]
+                if open_at.get(name) and (k := open_at[name][-1]):
+                    close(k)
                 continue
-            if name in _CLOSES_P and "p" in tags:
-                k = len(tags) - 1 - tags[::-1].index("p")
-                del stack[k:], tags[k:]
+            if name in _CLOSES_P and open_at.get("p"):
+                close(open_at["p"][-1])
             if name in _SAME:
                 same, stop = _SAME[name]
-                for k in range(len(tags) - 1, 0, -1):
-                    if tags[k] in stop:
-                        break
-                    if tags[k] in same:
-                        del stack[k:], tags[k:]
-                        break
+                if (k := last(same)) > last(stop):
+                    close(k)
             if name in _VOID or name == "html":
                 continue
             used.add(stack[-1])
-            at = self.node(page, name, _mask(m["attrs"] or m["attrs2"] or ""), stack[-1])
-            if len(stack) < 400:  # deeper elements hang on the same parent
-                stack.append(at)
-                tags.append(name)
+            mask = _mask(m["attrs"])
+            stack.append(self.node(page, name, mask, stack[-1]))
+            open_at.setdefault(name, []).append(len(tags))
+            tags.append(name)
+            if unseen < 0 and mask >> _HIDDEN & 1:
+                unseen = len(tags) - 1
         flush()
 
 
@@ -187,10 +232,25 @@ class Tree:
 
     def __init__(self, dom: Dom) -> None:
         self.n = n = len(dom.group)
-        self.parent, self.group, depth = np.array(dom.parent, dtype=np.int64), np.array(dom.group), np.array(dom.depth)
+        parent, self.group, mask = np.array(dom.parent, dtype=np.int64), np.array(dom.group), np.array(dom.mask, dtype=np.int64)
+        # a plain wrapper of one element is no variable of its own: however often an element is wrapped, it hangs on the
+        # first element around it that says something
+        thin = (np.bincount(parent[parent >= 0], minlength=n) == 1) & (mask == 0) & (self.group == _OTHER) & (parent >= 0) & np.array([s[2] == 0 for s in dom.stats], dtype=bool)
+        depth = np.array(dom.depth)
+        if thin.any():
+            up = np.where(thin, parent, np.arange(n))
+            while (up[up] != up).any():
+                up = up[up]
+            parent = np.where(parent >= 0, up[parent], -1)
+            deep: list[int] = []
+            for p in parent.tolist():
+                deep.append(0 if p < 0 else deep[p] + 1)
+            depth = np.array(deep)
+        self.parent, self.live = parent, ~thin
         order = np.argsort(depth, kind="stable")
+        order = order[self.live[order]]
         cuts = np.searchsorted(depth[order], np.arange(1, depth.max() + 2)) if n else np.zeros(0, int)
-        self.levels = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]  # without the roots
+        self.levels = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]  # without the roots
         own = np.array(dom.stats, dtype=float).reshape(n, 5)
         below, paragraphs, forms = own.copy(), (self.group == 0) * (own[:, 2] > 0) * 1.0, (self.group == _GROUP["form"]) * 1.0
         for level in reversed(self.levels):
@@ -204,7 +264,7 @@ class Tree:
         x = np.zeros((n, _FEATURES))
         x[np.arange(n), self.group] = 1
         g = len(_GROUPS)
-        x[:, g : g + len(_KEYS) + 1] = (np.array(dom.mask, dtype=np.int64)[:, None] >> np.arange(len(_KEYS) + 1)) & 1
+        x[:, g : g + len(_KEYS) + 1] = (mask[:, None] >> np.arange(len(_KEYS) + 1)) & 1
         g += len(_KEYS) + 1
         chars, linked, words, stops, marks = own.T
         has = words > 0
@@ -353,7 +413,7 @@ def compose(seed: int) -> str:
 
 def train(pages: int = 400, seed: int = 7, rounds: int = 200, ridge: float = 0.2) -> Model:
     """Maximum likelihood by Adam on composed pages; both potentials' gradients are observed minus expected counts."""
-    dom = Dom()
+    dom = Dom(labelled=True)
     for i in range(pages):
         dom.add(i, compose(seed * 100_003 + i))
     tree = Tree(dom)
@@ -370,7 +430,7 @@ def train(pages: int = 400, seed: int = 7, rounds: int = 200, ridge: float = 0.2
     for level in tree.levels:
         inmost[tree.parent[level[around[level] & (words[level] == 0)]]] = False
     y[inmost] = 1
-    kids = tree.parent >= 0
+    kids = (tree.parent >= 0) & tree.live
     seen = np.zeros((len(_GROUPS), 2, 2))
     np.add.at(seen, (tree.group[kids], y[tree.parent[kids]], y[kids]), 1)
     theta = [np.zeros(_FEATURES), np.zeros((len(_GROUPS), 2, 2))]
@@ -381,7 +441,7 @@ def train(pages: int = 400, seed: int = 7, rounds: int = 200, ridge: float = 0.2
         both = np.exp(pair[kids] - np.logaddexp.reduce(pair[kids].reshape(-1, 4), axis=1)[:, None, None])
         told = np.zeros_like(seen)
         np.add.at(told, tree.group[kids], both)
-        for i, gradient in enumerate((tree.x.T @ (y - p) - ridge * theta[0], seen - told - ridge * theta[1])):
+        for i, gradient in enumerate((tree.x.T @ ((y - p) * tree.live) - ridge * theta[0], seen - told - ridge * theta[1])):
             m[i] = 0.9 * m[i] + 0.1 * gradient
             v[i] = 0.999 * v[i] + 0.001 * gradient**2
             theta[i] = theta[i] + 0.08 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
@@ -405,7 +465,8 @@ def extract(pages: DataFrame, model: Model, threshold: float = 0.5, pages_at_onc
     """``(page_id, url, text, n_chars)`` per row.
 
     Null and empty pages give the empty text; a page of bare text is judged as one block. Repeated rows are extracted
-    each; other columns are ignored. Memory is that of ``pages_at_once`` pages.
+    each; other columns are ignored. Elements nest to any depth and time is linear in a page. Memory is that of
+    ``pages_at_once`` pages.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
 
