@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from plinth.llm import mixing, sharding, warc
+from plinth.llm import decontaminate, langid, mixing, sharding, simhash, warc
 from plinth.llm.common import read, scratch
 from plinth.llm.queries import ORACLES, QUERIES
 
@@ -25,7 +25,10 @@ def test_url_keys():
 ROWS = [(5, "http://a.com/x", "same", 1), (2, "http://a.com/x", "same", 1), (9, "http://b.org/\ty%", "same", 1), (3, None, None, 1), (4, "http://www.a.com/x", "", 1), (7, "http://c.net/\r\nWARC/1.1", "WARC/1.1\r\n\r\n\x00é", 1), (None, "http://d.io/", "z" * 70_000, 1), (8, "http://a.com/x", "WARC/1.1\r\n\r\n\x00é", 1)]
 
 
-def test_archive_round_trip(spark):
+@pytest.mark.parametrize("seek", [True, False])
+def test_archive_round_trip(spark, seek, monkeypatch):
+    if not seek:  # as on a file system that only Spark can read
+        monkeypatch.setattr(warc, "_seekable", lambda *_: None)
     pages = spark.createDataFrame(ROWS, "page_id bigint, url string, html string, digest int")
     got = {r.page_id: r for r in warc.digest(pages, block_lines=2).collect()}
     assert len(got) == len(ROWS)
@@ -43,23 +46,88 @@ def test_archive_round_trip(spark):
     assert warc.digest(pages.limit(0)).count() == 0
 
 
-def test_archives_are_plain_gzip_and_lookups_touch_their_key(spark):
+@pytest.mark.parametrize("most_broadcast", [500_000, 0])
+def test_ties_leave_one_response(spark, most_broadcast):
+    rows = [(1, "http://b.com/", "x"), (1, "http://a.com/", "x"), (2, "http://c.com/", "x"), (None, "http://d.com/", "x"), (None, "u", "y"), (None, "v", "y")]
+    found = warc.decide(spark.createDataFrame(rows, "page_id bigint, url string, html string"), most_broadcast=most_broadcast)
+    got = {r.url: (r.record_type, r.refers_to) for r in found.collect()}
+    assert got == {"http://a.com/": ("response", None), "http://b.com/": ("revisit", 1), "http://c.com/": ("revisit", 1), "http://d.com/": ("revisit", 1), "u": ("response", None), "v": ("response", None)}
+
+
+def test_archives_are_plain_gzip_and_lookups_touch_their_key(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(warc, "FILE_CHUNKS", 3)
     pages = spark.createDataFrame([(i, f"http://h{i % 7}.com/{i % 50}", f"body {i}") for i in range(300)], "page_id bigint, url string, html string")
     where, index = warc.archive(pages, block_lines=8)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(where).collect()
     raw = b"".join(gzip.decompress(bytes(f.content)) for f in files)
-    assert raw.count(b"WARC/1.1\r\n") == 300
+    assert raw.count(b"WARC/1.1\r\n") == 300 and sum(len(list(warc.members(bytes(f.content)))) for f in files) == 300
+    assert len(files) > 8 and max(len(f.content) for f in files) <= 3 * 2600  # bounded, whatever the input
     wanted = pages.filter("page_id in (3, 60, 200)")
-    found = warc.lookup(spark, index, warc.keys_of(wanted))
-    assert {r.page_id for r in found.collect()} == {i for i in range(300) if any(i % 7 == j % 7 and i % 50 == j % 50 for j in (3, 60, 200))}
-    assert warc.lookup(spark, index, warc.keys_of(spark.createDataFrame([("http://none.com/",)], "url string"))).count() == 0
-    bodies = {r.page_id: bytes(r.payload).decode() for r in warc.fetch(spark, where, found).collect()}
-    assert all(v == f"body {k}" for k, v in bodies.items())
+    read = []
+    for seek in (True, False):
+        found = warc.lookup(spark, index, warc.keys_of(wanted), seek)
+        assert {r.page_id for r in found.collect()} == {i for i in range(300) if any(i % 7 == j % 7 and i % 50 == j % 50 for j in (3, 60, 200))}
+        assert warc.lookup(spark, index, warc.keys_of(spark.createDataFrame([("http://none.com/",)], "url string")), seek).count() == 0
+        read.append(sorted((r.page_id, bytes(r.payload).decode()) for r in warc.fetch(spark, where, found, seek).collect()))
+    assert read[0] == read[1] and all(v == f"body {k}" for k, v in read[0])
+
+
+def test_records_have_their_parts():
+    raw = gzip.decompress(warc.record(7, "http://a.com/", "revisit", "ABC", 3, b"12345"))
+    head, _, rest = raw.partition(b"\r\n\r\n")
+    fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+    assert fields["WARC-Profile"].endswith("identical-payload-digest") and fields["WARC-Refers-To"] == "<urn:page:3>" and fields["Content-Type"] == "application/http; msgtype=response"
+    assert rest[int(fields["Content-Length"]) :] == b"\r\n\r\n" and warc.parse(raw) == (fields, b"", 5)
+    assert gzip.decompress(warc._NOTHING) == b"" and warc._NOTHING[-1] == 0
 
 
 def test_large_record_survives(spark):
-    big = spark.createDataFrame([(1, "http://x.com/", "".join(chr(33 + (i * i) % 90) for i in range(200_000)) * 90)], "page_id bigint, url string, html string")
-    assert warc.digest(big).first().payload_bytes == 18_000_000
+    big = spark.createDataFrame([(1, "http://x.com/", "".join(chr(33 + (i * i) % 90) for i in range(200_000)) * 90), (2, "http://x.com/", "small")], "page_id bigint, url string, html string")
+    assert sorted(r.payload_bytes for r in warc.digest(big.repartition(1)).collect()) == [5, 18_000_000]
+
+
+WORKING = "key bucket stratum tie rank size share all place total row n g h u v m c id doc body copy start r before value part offset sum times whole rest tokens lang2 domain epoch budget weight cap at k first lead revisits place2 _value _part _offset".split()
+
+
+@pytest.mark.parametrize("name", ["interleave", "mix", "keep_one", "clean", "recognised"])
+def test_callers_columns_come_back_as_they_were(spark, name):
+    """Every working name as a caller's column."""
+    own = [c for c in WORKING if name != "mix" or c not in ("domain", "tokens", "epoch")]
+    texts = {r.doc_id: (r.text, r.lang, r.source) for r in read(spark, SMALL, "documents").limit(40).collect()}
+    rows = [(i, *t, *[f"{c}{i}" for c in own]) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id bigint", "text string", "lang string", "source string", *[f"{c} string" for c in own]]))
+    bench = read(spark, SMALL, "benchmark")
+    run = {
+        "interleave": lambda: sharding.interleave(docs, 3, bucket_rows=7), "mix": lambda: mixing.mix(docs, 0.9, 1, bucket_rows=7), "keep_one": lambda: simhash.keep_one(docs),
+        "clean": lambda: decontaminate.clean(docs, bench), "recognised": lambda: langid.recognised(docs, langid.fit(docs)),
+    }
+    out = run[name]()
+    assert out.columns[: len(docs.columns)] == docs.columns
+    found = out.select(*docs.columns).collect()
+    assert found and all(tuple(r) == (r.doc_id, *texts[r.doc_id], *[f"{c}{r.doc_id}" for c in own]) for r in found)
+
+
+def slow_interleaving(rows, shards, seed=42):
+    """rows: [(id, source)] -> id: (shard, slot)"""
+    key = {i: hashlib.md5(f"{seed}|{i}".encode()).hexdigest() for i, _ in rows}
+    by = defaultdict(list)
+    for i, s in rows:
+        by["n" if s is None else f"s{s}"].append(i)
+    share = sorted(((k + 0.5) / len(ids), s, i) for s, ids in by.items() for k, i in enumerate(sorted(ids, key=lambda i: (key[i], i))))
+    out, used = {}, Counter()
+    for place, (_, _, i) in enumerate(share):
+        shard = place * shards // len(rows)
+        out[i] = (shard, used[shard])
+        used[shard] += 1
+    return out
+
+
+@pytest.mark.parametrize("bucket_rows", [20_000, 30])
+def test_sharding_is_the_definition(spark, bucket_rows):
+    docs = frame(spark).dropDuplicates(["doc_id"])
+    want = slow_interleaving([(r.doc_id, r.source) for r in docs.collect()], 8)
+    assert {r.doc_id: (r.shard, r.slot) for r in sharding.interleave(docs, 8, bucket_rows=bucket_rows).collect()} == want
 
 
 def frame(spark, n=500):
@@ -121,6 +189,23 @@ def test_budgets_run_down_the_tree(spark):
                     assert got[d, g, s] == pytest.approx(want, abs=1.01)
 
 
+def test_weights_of_zero_take_nothing(spark):
+    leaves = [("d0", "en", "a", 100), ("d0", "de", "b", 100), ("d1", "en", "c", 100)]
+    table = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens bigint")
+    got = {r.source: r.budget for r in mixing.budgets(table, 0.5, 2, {"d0": 1.0, "d1": 0.0}, {"de": 0.0, "en": 1.0}, 0.0).collect()}
+    assert got == {"a": 150, "b": 0, "c": 0}
+    assert {r.budget for r in mixing.budgets(table, 0.5, 2, {}, {}, 0.0).collect()} == {0}
+    with pytest.raises(ValueError, match="negative"):
+        mixing.budgets(table, 0.5, 2, {"d0": -1.0}, {}, 0.1)
+
+
+def test_a_language_called_none_is_not_null(spark):
+    rows = [(i, "a b c d", lang, "s") for i, lang in enumerate([None, "(none)", "((none)", "en"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    taken = Counter(r.lang for r in mixing.mix(docs, 0.5, 1, {}, {}, 1.0).collect())
+    assert taken == {None: 2, "(none)": 2, "((none)": 2, "en": 2}
+
+
 @pytest.mark.parametrize("bucket_rows", [20_000, 25])
 def test_mixing_takes_prefixes(spark, bucket_rows):
     docs = frame(spark)
