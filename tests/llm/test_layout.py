@@ -3,6 +3,9 @@
 import base64
 import gzip
 import hashlib
+import itertools
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -219,25 +222,54 @@ def test_mixing_takes_prefixes(spark, bucket_rows):
     assert mixing.mix(docs, budget_share=2.0, max_epochs=1).filter("epoch > 0").count() == 0
 
 
+def slow_mix(rows, share, epochs, seed=42):
+    """rows: [(id, lang, source, tokens)] -> ids taken, with budgets filled by plain loops"""
+    leaf = defaultdict(list)
+    for i, lang, source, n in rows:
+        tail = re.search("([0-9]{1,9})$", source)
+        leaf[f"d{int(tail[1]) % 4}" if tail else "other", lang, source].append((i, n))
+    supply = {k: sum(n for _, n in v) for k, v in leaf.items()}
+    total = lambda *head: sum(n * epochs for k, n in supply.items() if k[: len(head)] == head)
+    tops = slow_fill(share * sum(supply.values()), {d: (total(d), mixing.DOMAIN_WEIGHTS.get(d, 0.05)) for d, _, _ in supply})
+    out = set()
+    for d, top in tops.items():
+        mids = slow_fill(top, {g: (total(d, g), mixing.LANG_WEIGHTS.get(g, 0.05)) for e, g, _ in supply if e == d})
+        for g, mid in mids.items():
+            for s, budget in slow_fill(mid, {s: (total(d, g, s), 1.0) for e, h, s in supply if (e, h) == (d, g)}).items():
+                n, budget = supply[d, g, s], math.floor(budget + 1e-6)
+                whole = min(budget // n, epochs) if n else 0
+                left, order = budget - whole * n, sorted(leaf[d, g, s], key=lambda x: (hashlib.md5(f"{seed}|{whole}|{x[0]}".encode()).hexdigest(), x[0]))
+                sums = itertools.accumulate(x[1] for x in order)
+                out |= {i for (i, _), upto in zip(order, sums) if whole or left > 0 and upto <= left}
+    return out
+
+
 def test_pipeline_stages_against_brute_force(spark):
     from test_duplicates import slow_components, slow_fingerprint, slow_matches
 
     docs = read(spark, SMALL, "documents")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    odd = docs.unionByName(spark.createDataFrame([(900_001, "123 456", "en", "src0", 7), (900_002, None, None, None, None), (900_003, texts[5].upper(), "en", "src1", 9)], docs.schema))
+    rows = {r.doc_id: r for r in docs.collect()}
+    texts = {i: r.text for i, r in rows.items()}
+    odd = docs.unionByName(spark.createDataFrame([(900_001, "123 456", "en", "src0", 7), (900_002, None, None, None, None), (900_003, texts[5].upper(), "es", "src1", 9), (900_004, "½ ²", "en", "src1", 3)], docs.schema))
     stages = dict(corpus_pipeline.STAGES)
+    profiles = langid.fit(odd)
+    told = {r.doc_id: profiles.predict(r.text) for r in odd.collect()}
+    want = {i: lang for i, (lang, score) in told.items() if lang in corpus_pipeline.TARGET_LANGS and score >= corpus_pipeline.LEAST_SCORE}
     known = stages["language_id"](spark, odd, SMALL)
-    assert {r.doc_id for r in known.collect()} == set(texts) | {900_003} and known.columns == docs.columns
+    assert {r.doc_id: r.lang for r in known.collect()} == want and known.columns == docs.columns
+    assert not {900_001, 900_002, 900_004} & set(want) and want[900_003] == rows[5].lang
     one = stages["simhash_near_dedup"](spark, known, SMALL)
-    prints = {i: slow_fingerprint(t) for i, t in (texts | {900_003: texts[5].upper()}).items()}
+    prints = {i: slow_fingerprint((texts | {900_003: texts[5].upper()})[i]) for i in want}
     assert {r.doc_id for r in one.collect()} == set(slow_components(prints).values()) and one.columns == docs.columns
     clean = stages["benchmark_decontamination"](spark, docs, SMALL)
     items = [(r.item_id, r.text) for r in read(spark, SMALL, "benchmark").collect()]
     dirty = {i for i, _ in slow_matches(list(texts.items()), items)}
     assert dirty and {r.doc_id for r in clean.collect()} == set(texts) - dirty
     mixed = stages["source_mixing"](spark, docs, SMALL)
-    assert mixed.columns == docs.columns and 0 < mixed.count() < len(texts)
-    assert stages["sharding"](spark, docs, SMALL).count() == len(texts)
+    taken = slow_mix([(i, r.lang, r.source, len((r.text or "").encode().split())) for i, r in rows.items()], corpus_pipeline.BUDGET_SHARE, corpus_pipeline.EPOCHS)
+    assert mixed.columns == docs.columns and sorted(r.doc_id for r in mixed.collect()) == sorted(taken) and len(taken) < len(texts)
+    placed = stages["sharding"](spark, docs, SMALL)
+    assert {r.doc_id: (r.shard, r.slot) for r in placed.collect()} == slow_interleaving([(i, r.source) for i, r in rows.items()], 8)
     assert all(f(spark, docs.limit(0), SMALL).count() == 0 for f in stages.values())
 
 
