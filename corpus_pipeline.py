@@ -14,12 +14,17 @@ from plinth.session import ship
 
 #: Mixing: share of the tokens that reach the stage, and how often a document may be taken.
 BUDGET_SHARE, EPOCHS = 0.75, 1
+#: Languages the corpus is for, and the score below which a text's language is not told: at 0.5 two are equally near.
+TARGET_LANGS, LEAST_SCORE = frozenset({"en", "de", "fr", "es"}), 0.51
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is recognised: those without any letter go."""
+    """Documents in one of the target languages; those without a letter, in another language, or too near to two go.
+
+    ``lang`` is the prediction from here on, so that mixing budgets by what a text is written in.
+    """
     ship(spark)
-    return langid.recognised(docs, langid.fit(docs))
+    return langid.recognised(docs, langid.fit(docs), TARGET_LANGS, LEAST_SCORE, lang_col="lang")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
