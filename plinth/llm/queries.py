@@ -66,5 +66,6 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontaminate.ORACLE,
+    "op9_sharding": sharding.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
 }

@@ -51,15 +51,17 @@ def digest(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-#: The same law in SQL: rank by seeded md5 within a source, order by fractional rank, cut into equal parts.
+#: The same in SQL: rank by seeded md5 within a source, order by fractional rank, cut into equal parts; CRC bit by bit.
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, coalesce(text, '') AS body, coalesce('s' || source, 'n') AS stratum,
-         md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, coalesce('s' || source, 'n') AS stratum, md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+         xor(list_reduce(list_concat([4294967295], flatten(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+           lambda h : [CAST((instr('0123456789ABCDEF', h[1]) - 1) * 16 + instr('0123456789ABCDEF', h[2]) - 1 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda c, b : xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) AS crc
   FROM documents),
 r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY k, doc_id) - 1 AS rank, count(*) OVER (PARTITION BY stratum) AS n FROM d),
 p AS (SELECT *, row_number() OVER (ORDER BY (rank + 0.5::DOUBLE) / n, stratum) - 1 AS place, count(*) OVER () AS total FROM r),
 s AS (SELECT *, CAST(place * 8 // total AS INTEGER) AS shard FROM p)
-SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, shard, CAST(place - (shard * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, shard, CAST(place - (shard * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM s
 """
