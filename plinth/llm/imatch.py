@@ -7,8 +7,8 @@ that each holds about ``terms_per_subset`` of them whatever the length: the shar
 exponentially with the share of changed terms, and its logarithm gives the likeness.
 
 Size: document frequencies are combined in each task before the shuffle. The lexicon that goes to all executors has a
-proven bound: terms that are in a share s of the documents or more number at most (mean distinct terms a text) / s,
-and s is raised until that is below ``max_lexicon``.
+proven bound, whatever the number of texts: terms that are in a share s of the texts or more number at most (mean
+distinct terms of a text) / s.
 """
 
 from __future__ import annotations
@@ -22,19 +22,29 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from plinth.llm.common import saved
+from pyspark.sql.types import NumericType
 
 _TERM = re.compile(r"[^\W_]+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+_hashes: dict[str, int] = {}
+
+
 def terms(text: str) -> np.ndarray:
     """Sorted hashes of the distinct lower-cased terms of letters and digits, over the whole text."""
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(w.encode("utf-8", "surrogatepass")) for w in set(_TERM.findall(text.lower()))), dtype=np.uint64))
+    if len(_hashes) > 500_000:
+        _hashes.clear()
+    found, known, digest = set(_TERM.findall(text.lower())), _hashes.get, xxhash.xxh64_intdigest
+    out = []
+    for w in found:
+        h = known(w)
+        if h is None:
+            h = _hashes[w] = digest(w.encode("utf-8", "surrogatepass"))
+        out.append(h)
+    return np.unique(np.array(out, dtype=np.uint64))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -63,15 +73,14 @@ class Lexicon:
             own = own[:0]
         if not len(own):
             return f"t{xxhash.xxh64_hexdigest(text.encode('utf-8', 'surrogatepass'))}"
-        parts = []
-        with np.errstate(over="ignore"):
-            keys = np.arange(1, self.subsets + 1, dtype=np.uint64) * _GOLDEN + np.uint64(self.seed)
-            dice = _mixed(own[None, :] ^ _mixed(keys)[:, None])
-        for j in range(self.subsets):
-            level = int(max(0.0, np.floor(np.log2(len(own) / self.terms_per_subset) + (j + 0.5) / self.subsets)))
-            kept = own[dice[j] >> np.uint64(64 - level) == 0] if level else own
-            parts.append(f"{(xxhash.xxh32_intdigest(kept.tobytes(), self.seed) or 1):08x}" if len(kept) else "00000000")
-        return "".join(parts)
+        keys = np.arange(1, self.subsets + 1, dtype=np.uint64) * _GOLDEN + np.uint64(self.seed)
+        dice = _mixed(own[None, :] ^ _mixed(keys)[:, None])
+        level = np.floor(np.log2(len(own) / self.terms_per_subset) + (np.arange(self.subsets) + 0.5) / self.subsets)
+        level = np.maximum(level, 0).astype(np.uint64)
+        kept = (dice >> np.minimum(np.uint64(64) - level, np.uint64(63))[:, None] == 0) | (level == 0)[:, None]
+        chosen = own[np.nonzero(kept)[1]].tobytes()  # subset by subset, terms in order
+        ends = (8 * np.cumsum(kept.sum(axis=1))).tolist()
+        return "".join([f"{xxhash.xxh32_intdigest(chosen[a:z], self.seed) or 1:08x}" if z > a else "00000000" for a, z in zip([0, *ends], ends, strict=False)])
 
     def likeness(self, a: str, b: str) -> float:
         """1 for equal fingerprints, 0 where hardly a subset agrees; between, the estimated share of common terms."""
@@ -86,7 +95,7 @@ class Lexicon:
         return float(min(1.0, max(0.0, 1 + np.log(sum(told) / len(told)) / (2 * self.terms_per_subset))))
 
 
-def fit(docs: DataFrame, least_share: float = 1 / 2000, most_share: float = 0.2, max_lexicon: int = 4_000_000, text_col: str = "text", subsets: int = 32, terms_per_subset: float = 2.0, seed: int = 42) -> Lexicon:
+def fit(docs: DataFrame, least_share: float = 1 / 2000, most_share: float = 0.2, text_col: str = "text", subsets: int = 32, terms_per_subset: float = 2.0, seed: int = 42) -> Lexicon:
     """The lexicon of ``docs``: terms in a share of the texts between both bounds, counted over all texts.
 
     Where no term is rare enough for the upper bound (a few texts, or all alike) the lexicon is empty or small and
@@ -121,49 +130,64 @@ def fit(docs: DataFrame, least_share: float = 1 / 2000, most_share: float = 0.2,
 
     df = docs.select(text_col).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     n = docs.count()
-    # document frequencies of all terms stay distributed; their sum sets the bound, then the band comes to the driver
-    df = saved(df.filter(F.col("n") >= max(1.0, least_share * n)), "terms")
-    pairs = df.agg(F.sum("n")).first()[0] or 0
-    share = max(least_share, pairs / max(n, 1) / max_lexicon)
-    band = df.filter((F.col("n") >= share * n) & (F.col("n") <= most_share * n)).select("term").toPandas()["term"].to_numpy(dtype=np.int64)
+    # document frequencies of all terms stay distributed; only the band comes to the driver
+    band = df.filter((F.col("n") >= max(1.0, least_share * n)) & (F.col("n") <= most_share * n)).select("term").toPandas()["term"].to_numpy(dtype=np.int64)
     return Lexicon(np.sort(band.view(np.uint64)), subsets, terms_per_subset, seed)
 
 
+def _bounds(ids: DataFrame, n: int) -> list:
+    """About ``n`` - 1 bounds that cut non-null ``ids(id)`` of any ordered type into ranges of similar size.
+
+    They come from the ids with the smallest hashes, at most about 200 a range; where they fall changes no result.
+    """
+    total = ids.filter("id is not null").count()
+    least = F.xxhash64("id").cast("double") / 2.0**64 + 0.5
+    chosen = ids.filter("id is not null").filter(least < min(1.0, 100 * n / max(total, 1))).distinct()
+    places = chosen.select("id", F.row_number().over(Window.orderBy("id")).alias("k"))
+    count = chosen.count()
+    step = max(1, count // n)
+    return [r["id"] for r in places.filter((F.col("k") % step == 0) & (F.col("k") < count)).orderBy("k").select("id").collect()]
+
+
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """Rows ``(bucket, extra, id, text)`` dealt so that each bucket holds a range of ids in order and, last and marked
-    ``extra``, the first row of the next range (of the first range after the last).
+    ``extra``, the first row of the next range (of the first range after the last). Null ids form a range of their own
+    before all others.
 
-    Ranges come from quantiles of the ids; only range bounds and one id a range reach the driver.
+    Only range bounds and one id a range reach the driver. Each range is one partition.
     """
     spark = docs.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = rows.select(F.col("id").cast("double").alias("x"))
-    found = ids.filter("x is not null").approxQuantile("x", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
-    bounds = np.unique(np.array(found, dtype=float))
-
-    @F.pandas_udf("int")
-    def bucket(x: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, x.to_numpy(dtype=float, na_value=-np.inf)).astype(np.int32))
-
-    rows = rows.withColumn("bucket", bucket(F.coalesce(F.col("id").cast("double"), F.lit(float("-inf")))))
-    firsts = sorted((r["bucket"], r["nulls"] > 0, r["first"]) for r in rows.select("bucket", "id").groupBy("bucket").agg(F.min("id").alias("first"), F.count_if(F.col("id").isNull()).alias("nulls")).collect())
-    schema = f"first {kind}, target int"
-    ends = spark.createDataFrame([(None if null else first, firsts[i - 1][0]) for i, (_, null, first) in enumerate(firsts)], schema)
-    rows = rows.join(F.broadcast(ends), F.col("id").eqNullSafe(F.col("first")), "left")
+    bounds = _bounds(rows.select("id"), n)
+    after = F.lit(1)
+    if bounds and isinstance(docs.schema[id_col].dataType, NumericType):
+        cuts = np.array([float(x) for x in bounds])
+
+        @F.pandas_udf("int")
+        def place(x: pd.Series) -> pd.Series:
+            return pd.Series(1 + np.searchsorted(cuts, x.to_numpy(dtype=float, na_value=-np.inf), side="left").astype(np.int32))
+
+        after = place(F.coalesce(F.col("id").cast("double"), F.lit(float("-inf"))))
+    elif bounds:
+        after = 1 + F.size(F.filter(F.array(*[F.lit(x).cast(kind) for x in bounds]), lambda x: x < F.col("id")))
+    rows = rows.withColumn("bucket", F.when(F.col("id").isNull(), 0).otherwise(after))
+    firsts = sorted((r["bucket"], r["first"]) for r in rows.select("bucket", "id").groupBy("bucket").agg(F.min("id").alias("first")).collect())
+    ends = spark.createDataFrame([((first,), firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)], f"first struct<id: {kind}>, target int")
+    rows = rows.join(F.broadcast(ends), F.struct("id") == F.col("first"), "left")
     own, more = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("extra")), F.struct(F.col("target").alias("bucket"), F.lit(1).alias("extra"))
     rows = rows.select("id", "text", F.explode(F.when(F.col("target").isNull(), F.array(own)).otherwise(F.array(own, more))).alias("to"))
     rows = rows.select("to.bucket", "to.extra", "id", "text")
-    return rows.repartition(n, "bucket").sortWithinPartitions("bucket", "extra", "id", F.xxhash64("text")), kind
+    return rows.repartitionById(len(bounds) + 2, F.col("bucket")).sortWithinPartitions("bucket", "extra", "id", F.xxhash64("text")), kind
 
 
 def fingerprints(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` per row.
 
     A row's edited text has its last quarter replaced by the head of the next row's text, ascending by id (null first;
-    rows that share an id are ordered by a hash of their text; the first row follows the last). Null texts are empty.
-    A single row is followed by itself. Memory is that of an Arrow batch.
+    rows that share an id are ordered by a hash of their text; the first row follows the last). Ids may be of any
+    ordered type. Null texts are empty. A single row is followed by itself. Memory is that of an Arrow batch.
     """
     rows, kind = with_next(docs, id_col, text_col)
     names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
