@@ -2,11 +2,15 @@
 
 import hashlib
 import itertools
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from plinth.llm import decontaminate, graph, imatch, simhash, substrings
 
@@ -94,8 +98,8 @@ def test_near_duplicates_and_keep_one(spark):
     kept = simhash.keep_one(frame.unionByName(frame.filter("doc_id = 1")))
     assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
     assert simhash.near_duplicates(frame.limit(0)).count() == 0
-    nameless = spark.createDataFrame([(None, "a b c d", 1, ""), (None, "a b c d", 1, ""), (3, "x y z", 1, "")], SCHEMA)
-    assert simhash.keep_one(nameless).count() == 3
+    nameless = spark.createDataFrame([(None, "a b c d", 1, ""), (None, "a b c d", 1, "z"), (3, "x y z", 1, ""), (None, "q r s t", 1, ""), (5, "x y z", 1, ""), (5, "k l m n", 1, "")], SCHEMA)
+    assert sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(nameless).collect()) == [(0, "a b c d"), (0, "q r s t"), (3, "x y z"), (5, "k l m n")]
 
 
 def test_components_of_a_chain_and_a_star(spark):
@@ -120,8 +124,8 @@ def slow_removal(rows, width=20):
     return out
 
 
-@pytest.mark.parametrize("most_broadcast", [2_000_000, 0])
-def test_substrings_match_brute_force(spark, most_broadcast):
+@pytest.mark.parametrize(("most_broadcast", "least_hot", "hot_tasks"), [(500_000, 4096, 2.0), (0, 0, 0.0), (0, 2, 0.01)])
+def test_substrings_match_brute_force(spark, most_broadcast, least_hot, hot_tasks):
     rng = random.Random(9)
     passages = [words(rng, n, 500) for n in (20, 21, 25, 60, 200)]
     texts = []
@@ -132,34 +136,69 @@ def test_substrings_match_brute_force(spark, most_broadcast):
             a = rng.randrange(0, 5)
             parts += [" ".join(p[a : len(p) - rng.randrange(0, 4)]), words(rng, rng.randrange(0, 10), 500)]
         texts.append(rng.choice([" ", "\n"]).join(parts))
-    texts += [None, "", "loop " * 90, "a b " * 60, texts[3], texts[3] + " tail"]
-    from pyspark.sql import functions as F
-
-    got = {r.doc_id: (r.n_words, r.n_removed, r.sha) for r in substrings.remove_repeats(docs_of(spark, texts), most_broadcast=most_broadcast).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("sha")).collect()}
+    texts += [None, "", "loop " * 90, "a b " * 60, texts[3], texts[3] + " tail", " \t" + texts[5] + "\u00a0é\n", "é" * 30]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.sha) for r in substrings.remove_repeats(docs_of(spark, texts), most_broadcast=most_broadcast, least_hot=least_hot, hot_tasks=hot_tasks).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("sha")).collect()}
     assert got == slow_removal(list(enumerate(texts)))
 
 
-def test_substrings_in_pieces(spark, monkeypatch):
+def cut(texts, width=20, k=10):
+    """(text, least k-mer, segment, start, windows) of all segments"""
+    data = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, data)])
+    h, first = substrings.word_hashes(np.frombuffer(b"".join(data), np.uint8), offsets)
+    assert np.diff(first).tolist() == [len(t.split()) for t in data]
+    return h, first, [tuple(int(v) for v in x) for s in substrings.segments(h, first, width, k) for x in zip(*s)]
+
+
+def test_segments_in_pieces(monkeypatch):
     rng = random.Random(4)
-    text = words(rng, 300, 9).encode().split()
-    whole = [tuple(x) for s in substrings.segments(text, 20, 10) for x in [s[4]]]
+    texts = [words(rng, 300, 9), "", "short one", "  " + words(rng, 200, 9) + "\n", words(rng, 19, 9), words(rng, 20, 9)]
+    h, first, whole = cut(texts)
+    assert sum(x[4] for x in whole) == sum(max(0, len(t.split()) - 19) for t in texts)
+    alone = [(i, *x[1:]) for i, t in enumerate(texts) for x in cut([t])[2]]
+    assert sorted(alone) == sorted(whole)  # a segment depends on its words alone
     monkeypatch.setattr(substrings, "_PIECE", 64)
-    monkeypatch.setattr(substrings, "_powers", None)
-    parts = [tuple(s[4]) for s in substrings.segments(text, 20, 10)]
-    assert sum(map(len, whole)) == sum(map(len, parts)) == 281
-    assert tuple(itertools.chain(*whole)) == tuple(itertools.chain(*parts))
+    monkeypatch.setattr(substrings, "_TEXT", 50)
+    monkeypatch.setattr(substrings, "_tables", {})
+    g, again, parts = cut(texts)
+    assert (g == h).all() and (again == first).all()
+    covered = lambda xs: sorted((x[0], x[3] + i, x[1]) for x in xs for i in range(x[4]))
+    assert covered(parts) == covered(whole)
 
 
-def test_substring_spans_name_their_source(spark):
+def test_spans_are_longest_and_name_their_source(spark):
     p = " ".join(f"p{i}" for i in range(50))
-    frame = docs_of(spark, ["x " + p, "y z " + p + " end"])
+    frame = docs_of(spark, ["x " + p, "y z " + p + " end", p + " tail " + p])
     _, spans = substrings.repeats(frame)
-    rows = [tuple(r) for r in substrings.compacted(spans).collect()]
-    assert rows == [(1, 0, 2, 31, 0, 0, 1)]
+    texts = {0: ["x", *p.split()], 1: ["y", "z", *p.split(), "end"], 2: [*p.split(), "tail", *p.split()]}
+    rows = sorted((r.doc.id, r.start, r.r, r.src.id, r.src_start, bytes(r.sha)) for r in spans.collect())
+    assert rows[0] == (1, 2, 31, 0, 1, hashlib.sha256(p.encode()).digest())  # one path, not a piece per segment
+    for doc, start, r, src, src_start, sha in rows:
+        run = texts[doc][start : start + r + 19]
+        assert (src, src_start) < (doc, start) and run == texts[src][src_start : src_start + r + 19] and sha == hashlib.sha256(" ".join(run).encode()).digest()
+    assert sorted(s + i for d, s, r, *_ in rows for i in range(r) if d == 2) == [*range(31), *range(51, 82)]
+
+
+def test_other_words_than_the_source_stop_the_job(spark):
+    kind = "id bigint, body binary, spans array<struct<start:int,r:int,sha:binary>>"
+    rows = spark.createDataFrame([(1, ("a " * 20).encode(), [(0, 1, hashlib.sha256(b"other").digest())])], kind)
+    with pytest.raises(Exception, match="differ from their source"):
+        substrings._kept(rows, 20).collect()
+
+
+def test_substring_odd_rows(spark):
+    p = " ".join(f"p{i}" for i in range(50))
+    frame = docs_of(spark, ["x " + p, "y z " + p + " end"])
     same = frame.unionByName(frame.filter("doc_id = 0"))
     kept = sorted((r.doc_id, r.n_removed) for r in substrings.remove_repeats(same).collect())
     assert kept == [(0, 0), (0, 51), (1, 50)]
     assert substrings.remove_repeats(frame.limit(0)).count() == 0
+    nulls = frame.unionByName(spark.createDataFrame([(None, p, 7, "x"), (None, p, 7, "x"), (None, None, 7, "x")], SCHEMA))
+    kept = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed) for r in substrings.remove_repeats(nulls).collect())
+    assert kept == [(-1, 0, 0), (-1, 50, 0), (-1, 50, 50), (0, 51, 50), (1, 53, 50)]
+    named = frame.selectExpr("concat('k', doc_id) as doc", "text as body", "1 as id")
+    assert sorted((r.doc, r.n_removed) for r in substrings.remove_repeats(named, id_col="doc", text_col="body").collect()) == [("k0", 0), ("k1", 50)]
+    assert substrings._numbered(nulls, "doc_id", "text", bucket_rows=1).select("doc").distinct().count() == 5
 
 
 def slow_matches(docs, items, threshold=0.8):
@@ -223,6 +262,54 @@ def test_imatch_contract(spark):
     assert np.mean([rows[i].near_edited for i in long]) > np.mean([rows[i].near_next for i in long]) + 0.3
 
 
+def slow_imatch(texts, least=1 / 2000, most=0.2, subsets=32, per=2.0, seed=42):
+    """Fingerprints by plain loops over Python integers."""
+    full = (1 << 64) - 1
+
+    def mixed(h):
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & full
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & full
+        return h ^ h >> 31
+
+    own = [{xxhash.xxh64_intdigest(w.encode()) for w in re.findall(r"[^\W_]+", t.lower())} for t in texts]
+    count = Counter(h for hs in own for h in hs)
+    band = {h for h, n in count.items() if max(1.0, least * len(texts)) <= n <= most * len(texts)}
+    out = []
+    for t, hs in zip(texts, own):
+        kept = sorted(hs & band)
+        if not kept:
+            out.append("t" + xxhash.xxh64_hexdigest(t.encode()))
+            continue
+        parts = ""
+        for j in range(subsets):
+            key = mixed((j + 1) * 0x9E3779B97F4A7C15 + seed & full)
+            level = max(0, math.floor(math.log2(len(kept) / per) + (j + 0.5) / subsets))
+            chosen = [h for h in kept if mixed(h ^ key) < 1 << (64 - level)]
+            data = b"".join(h.to_bytes(8, "little") for h in chosen)
+            parts += f"{xxhash.xxh32_intdigest(data, seed) or 1:08x}" if chosen else "00000000"
+        out.append(parts)
+    return out
+
+
+def test_imatch_is_the_definition(spark):
+    rng = random.Random(16)
+    texts = [words(rng, rng.randrange(0, 300), 900) + rng.choice(["", " Éa ½x _ under_score"]) for _ in range(50)] + ["", "w1", "!!"]
+    frame = docs_of(spark, texts).repartition(4)
+    got = {r.doc_id: r.fingerprint for r in imatch.fingerprints(frame, imatch.fit(frame)).collect()}
+    assert [got[i] for i in range(len(texts))] == slow_imatch(texts)
+
+
+def test_imatch_takes_ids_of_any_type(spark):
+    texts = [f"text number {i} of many words" for i in range(30)]
+    rows = [(f"k{i:02}", t, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "name string, body string, id string").repartition(3)
+    got = {r.name: r.edited_sha256 for r in imatch.fingerprints(frame, imatch.fit(frame, text_col="body"), "name", "body").collect()}
+    for i, t in enumerate(texts):
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + texts[(i + 1) % 30][:cut]
+        assert got[f"k{i:02}"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
 def test_imatch_odd_rows(spark):
     one = docs_of(spark, ["only one text here"])
     row = imatch.fingerprints(one, imatch.fit(one)).collect()
