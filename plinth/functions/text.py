@@ -33,6 +33,11 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | ~text.rlike(r"(?U)\S")
 
 
+def plain(text: Column) -> Column:
+    """In lower case, without white space of any kind around it."""
+    return F.lower(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""))
+
+
 def first_filled(*values: Column) -> Column:
     """The first value that is neither null nor empty; the last one is taken as it is."""
     return F.coalesce(*[F.when(v != "", v) for v in values[:-1]], values[-1])
@@ -44,9 +49,13 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(folded, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+#: How a display text names its reference level (fixed pattern).
+DATUM = r"^\s*([A-Za-z][A-Za-z0-9_. -]*?)\s*[+-]\s*\d"
+
+
 def datum(text: Column) -> Column:
     """The reference level a display text names: ``RFL`` of ``RFL + 1250``, or a short text without digits as it is."""
-    named = F.regexp_extract(text, r"^\s*([A-Za-z][A-Za-z0-9_. -]*?)\s*[+-]\s*\d", 1)
+    named = F.regexp_extract(text, DATUM, 1)
     whole = F.trim(text)
     short = (F.length(whole) <= 32) & whole.rlike(r"^[A-Za-z][A-Za-z_. -]*$")
     return F.when(named != "", named).when(short, whole)
@@ -86,8 +95,24 @@ def is_logical_path(path: Column, prefix: str = "", suffix: str = ".pdf") -> Col
 
 def is_timestamp(text: Column) -> Column:
     """ISO 8601 with an offset that names a real date and time."""
-    shaped = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$")
-    return F.coalesce(shaped & F.try_to_timestamp(text).isNotNull(), F.lit(False))
+    shaped = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$")
+    whole = F.regexp_replace(text, r"\.\d+", "")  # any number of digits after the point
+    real = F.try_to_timestamp(whole).isNotNull() & ~text.startswith("0000") & text.rlike(r"T([01]\d|2[0-3]):[0-5]\d:[0-5]\d") & text.rlike(r"(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$")
+    return F.coalesce(shaped & real, F.lit(False))
+
+
+def from_unix(seconds: Column) -> Column:
+    """ISO 8601 in UTC of decimal Unix seconds from 0 to the year 9999, to the microsecond, half to even; null beyond."""
+    micros = F.bround(seconds.cast("decimal(38,12)") * 1_000_000, 0).cast("bigint")
+    good = (seconds >= 0) & (seconds < 253402300800)
+    stamp = F.timestamp_micros(micros)
+    tail = F.when(micros % 1_000_000 == 0, "").otherwise(F.concat(F.lit("."), F.lpad((micros % 1_000_000).cast("string"), 6, "0")))
+    return F.when(good, F.concat(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss"), tail, F.lit("Z")))
+
+
+def sorted_map(counts: Column) -> Column:
+    """A map with its keys in order."""
+    return F.map_from_entries(F.array_sort(F.map_entries(counts)))
 
 
 def local_date(ts: Column, zone: str) -> Column:

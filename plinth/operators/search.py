@@ -111,23 +111,17 @@ def _count(term: Term) -> Column:
     if len(term.words) == 1 and not term.prefix:
         return F.size(F.filter("tokens", lambda x: x == term.words[0]))
     # words hold letters and digits only, so they are literal in the pattern
-    pattern = "(?<= )" + " ".join(term.words) + ("[^ ]*" if term.prefix else "(?= )")
+    # only the first is consumed, so that hits may overlap
+    rest = "".join(f" {w}" for w in term.words[1:]) + ("" if term.prefix else " ")
+    pattern = "(?<= )" + term.words[0] + (f"(?={rest})" if rest else "")
     return F.regexp_count(F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")), F.lit(pattern))
 
 
-def ranked(content: DataFrame, query: str, limit: int | None) -> DataFrame:
-    """The best ``limit`` rows of ``content(record_kind, record_id, content)`` with ``rank`` (smaller is better); all hits,
-    in no order, without a limit.
-
-    rank = - sum of idf * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * length / mean length)) over the query's terms, idf =
-    ln((N - n + 0.5) / (n + 0.5)), 1e-6 where that is not positive. Two scans: one for N, n and the mean length (one
-    row comes back into the plan by broadcast), one to rank; only top rows are sorted.
-    """
-    tree = parse(query)
+def _counted(content: DataFrame, tree) -> tuple[DataFrame, Column]:
+    """``content`` with ``length`` and a count ``f0``, ``f1``.. per term of the tree, and the tree as a condition."""
     terms = leaves(tree)
     counted = content.select("record_kind", "record_id", "content", tokens(F.col("content")).alias("tokens"))
     counted = counted.select("record_kind", "record_id", "content", F.size("tokens").alias("length"), *[_count(t).alias(f"f{i}") for i, t in enumerate(terms)])
-    facts = counted.agg(F.count("*").alias("n_all"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"f{i}") > 0).alias(f"n{i}") for i in range(len(terms))])
 
     def holds(node) -> Column:
         if isinstance(node, Term):
@@ -135,16 +129,36 @@ def ranked(content: DataFrame, query: str, limit: int | None) -> DataFrame:
         a, b = holds(node[1]), holds(node[2])
         return a & b if node[0] == "and" else a | b if node[0] == "or" else a & ~b
 
-    def score(i: int) -> Column:
-        f, n = F.col(f"f{i}"), F.col(f"n{i}")
-        idf = F.ln((F.col("n_all") - n + 0.5) / (n + 0.5))
-        return F.when(idf > 0, idf).otherwise(1e-6) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / F.col("mean")))
+    return counted, holds(tree)
+
+
+def _facts(counted: DataFrame) -> DataFrame:
+    fs = [c for c in counted.columns if c[0] == "f"]
+    return counted.agg(F.count("*").alias("n_all"), F.avg("length").alias("mean"), *[F.count_if(F.col(f) > 0).alias(f"n{f[1:]}") for f in fs])
+
+
+def _rank(n: int) -> Column:
+    """The rank over columns of :func:`_counted` and :func:`_facts`."""
+    total = F.lit(0.0)
+    for i in range(n):
+        f, df = F.col(f"f{i}"), F.col(f"n{i}")
+        idf = F.ln((F.col("n_all") - df + 0.5) / (df + 0.5))
+        total = total + F.when(idf > 0, idf).otherwise(1e-6) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / F.col("mean")))
+    return -total
+
 
-    total = score(0)
-    for i in range(1, len(terms)):
-        total = total + score(i)
-    hits = counted.filter(holds(tree)).join(F.broadcast(facts), F.lit(True))
-    found = hits.select("record_kind", "record_id", "content", (-total).alias("rank"))
+def ranked(content: DataFrame, query: str, limit: int | None) -> DataFrame:
+    """The best ``limit`` rows of ``content(record_kind, record_id, content)`` with ``rank`` (smaller is better); all hits,
+    in no order, without a limit.
+
+    rank = - sum of idf * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * length / mean length)) over the query's terms, idf =
+    ln((N - n + 0.5) / (n + 0.5)), 1e-6 where that is not positive. Two scans: one for N, n and the mean length (one
+    row comes back into the plan by broadcast), one to rank; only top rows are sorted.
+    """
+    tree = parse(query)
+    counted, condition = _counted(content, tree)
+    hits = counted.filter(condition).join(F.broadcast(_facts(counted)), F.lit(True))
+    found = hits.select("record_kind", "record_id", "content", _rank(len(leaves(tree))).alias("rank"))
     return found if limit is None else found.orderBy("rank", "record_kind", "record_id").limit(limit)
 
 
@@ -154,19 +168,33 @@ def substring(content: DataFrame, query: str, limit: int) -> DataFrame:
 
 
 def search_text(content: DataFrame, query: str, limit: int = 20) -> DataFrame:
-    """``(record_kind, record_id, content, rank, path)``: ranked hits, or substring hits where there are none."""
+    """``(record_kind, record_id, content, rank, path)``: ranked hits, or substring hits where there are none.
+
+    Texts are taken apart once: term counts (not texts) are kept while the top ``limit`` ids are found, and only those
+    rows are fetched. The substring search is planned only after an empty answer.
+    """
     if isinstance(limit, bool) or not isinstance(limit, int) or limit < 1:
         raise ValueError("limit must be a positive integer")
     if not query.strip():
         return substring(content.limit(0), query, limit).withColumn("path", F.lit("blank"))
     plain = substring(content, query, limit).withColumn("path", F.lit("substring"))
     try:
-        best = ranked(content, query, limit).withColumn("path", F.lit("ranked"))
+        tree = parse(query)
     except QuerySyntaxError:
         return plain
-    some = best.select(F.lit(1).alias("k")).limit(1)
-    rest = plain.withColumn("k", F.lit(1)).join(F.broadcast(some), "k", "left_anti").drop("k")
-    return best.unionByName(rest)
+    counted, condition = _counted(content, tree)
+    light = counted.drop("content").persist()
+    try:
+        facts = {k: F.lit(v).alias(k) for k, v in _facts(light).first().asDict().items()}
+        hits = light.filter(condition).select("*", *facts.values())
+        top = hits.select("record_kind", "record_id", _rank(len(leaves(tree))).alias("rank")).orderBy("rank", "record_kind", "record_id").limit(limit).collect()
+    finally:
+        light.unpersist()
+    if not top:
+        return plain
+    best = content.sparkSession.createDataFrame(top, "record_kind string, record_id string, rank double")
+    found = content.join(F.broadcast(best), ["record_kind", "record_id"]).orderBy("rank", "record_kind", "record_id")
+    return found.select("record_kind", "record_id", "content", "rank", F.lit("ranked").alias("path"))
 
 
 def build_index(content: DataFrame) -> tuple[DataFrame, DataFrame]:

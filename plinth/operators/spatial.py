@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,23 +12,52 @@ from plinth.functions.geometry import boxes_touch, clamp, decode_primitive, vert
 BOX = [f"{m}_{c}" for c in "xyz" for m in ("min", "max")]
 
 
+def _extent() -> Column:
+    return F.greatest(*[F.col(f"max_{c}") - F.col(f"min_{c}") for c in "xyz"])
+
+
+def _level(cell: float) -> Column:
+    """The first level of the grid whose cells are as large as the box; cells double from level to level."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(_extent(), F.lit(cell)) / cell))).cast("int")
+
+
 def _cells(cell: float) -> Column:
-    axes = [F.sequence(F.floor(F.col(f"min_{c}") / cell), F.floor(F.col(f"max_{c}") / cell)) for c in "xyz"]
-    return F.flatten(F.transform(axes[0], lambda x: F.flatten(F.transform(axes[1], lambda y: F.transform(axes[2], lambda z: F.struct(x.alias("cx"), y.alias("cy"), z.alias("cz")))))))
+    """Places ``(level, cx, cy, cz)`` of a box on every level of ``levels`` from its own on: at most two an axis."""
+    size = lambda at: F.lit(cell) * F.pow(F.lit(2.0), at)
+    axis = lambda c, at: F.sequence(F.floor(F.col(f"min_{c}") / size(at)), F.floor(F.col(f"max_{c}") / size(at)))
+    on = lambda at: F.flatten(F.transform(axis("x", at), lambda x: F.flatten(F.transform(axis("y", at), lambda y: F.transform(axis("z", at), lambda z: F.struct(at.alias("level"), x.alias("cx"), y.alias("cy"), z.alias("cz")))))))
+    return F.flatten(F.transform(F.filter("levels", lambda at: at >= F.col("own")), on))
+
+
+def usual_extent(rows: DataFrame) -> float:
+    """The mean extent of the boxes, one if all are points."""
+    return rows.agg(F.avg(_extent())).first()[0] or 1.0
 
 
-def box_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """Pairs of rows whose boxes overlap (inclusive), each pair once, columns prefixed ``l_`` and ``r_``.
+def box_join(left: DataFrame, right: DataFrame, cell: float, same: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of rows whose boxes overlap (inclusive) and whose ``same`` columns are equal, null included, each pair once;
+    columns prefixed ``l_`` and ``r_``.
 
-    Each side is listed under the grid cells of its box; a pair counts only in the first cell both share, so nothing
-    has to be deduplicated after the equi join. Choose ``cell`` near the usual extent of a box.
+    Boxes are listed in a grid of levels, each on the first level whose cells are as large as itself and on all coarser
+    ones in use, so that no box has more than eight cells a level, however large it is. A pair meets on the coarser
+    level of the two and counts only in the first cell both share, so nothing has to be deduplicated after the equi
+    join. Choose ``cell`` near the usual extent of a box.
     """
-    a = left.select(F.explode(_cells(cell)).alias("cell"), *[F.col(c).alias(f"l_{c}") for c in left.columns]).select("cell.*", *[f"l_{c}" for c in left.columns])
-    b = right.select(F.explode(_cells(cell)).alias("cell"), *[F.col(c).alias(f"r_{c}") for c in right.columns]).select("cell.*", *[f"r_{c}" for c in right.columns])
-    pairs = a.join(b, ["cx", "cy", "cz"]).filter(boxes_touch("l_", "r_"))
+    used = left.select(_level(cell).alias("k")).unionByName(right.select(_level(cell).alias("k"))).filter("k is not null").distinct().collect()  # tens at most
+    levels = F.array(*[F.lit(k) for k in sorted(r["k"] for r in used)]) if used else F.array().cast("array<int>")
+
+    def listed(rows: DataFrame, p: str) -> DataFrame:
+        rows = rows.withColumn("own", _level(cell)).withColumn("levels", levels)
+        kept = [c for c in rows.columns if c not in ("own", "levels")]
+        # structs are equal if both hold null
+        alike = [F.struct(F.col(c).alias("v")).alias(f"same{i}") for i, c in enumerate(same)]
+        return rows.select(F.explode(_cells(cell)).alias("at"), *alike, F.col("own").alias(f"own_{p}"), *[F.col(c).alias(f"{p}_{c}") for c in kept]).select("at.*", "*").drop("at")
+
+    keys = ["level", "cx", "cy", "cz", *[f"same{i}" for i in range(len(same))]]
+    pairs = listed(left, "l").join(listed(right, "r"), keys).filter((F.greatest("own_l", "own_r") == F.col("level")) & boxes_touch("l_", "r_"))
     for axis in "xyz":
-        pairs = pairs.filter(F.col(f"c{axis}") == F.floor(F.greatest(f"l_min_{axis}", f"r_min_{axis}") / cell))
-    return pairs.drop("cx", "cy", "cz")
+        pairs = pairs.filter(F.col(f"c{axis}") == F.floor(F.greatest(f"l_min_{axis}", f"r_min_{axis}") / (F.lit(cell) * F.pow(F.lit(2.0), F.col("level")))))
+    return pairs.drop(*keys, "own_l", "own_r")
 
 
 def candidates(geometries: DataFrame, bounds: tuple[float, float, float, float, float, float]) -> DataFrame:
@@ -89,27 +120,63 @@ def distances(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return out.select(*kept, distance.alias("distance"), F.concat(F.col(f"{a}.kind"), F.lit("_to_"), F.col(f"{b}.kind")).alias("basis"))
 
 
+#: What locations must share to be compared, and why they are not (fixed name).
+FRAME = ("coordinate_system", "unit")
+OTHER_FRAME = "incompatible_coordinate_system_or_unit"
+
+
+def _near(locations: DataFrame, radius: float, keys: list[str], cell: float | None, same: tuple[str, ...]) -> DataFrame:
+    if not 0 <= radius < float("inf"):
+        raise ValueError("radius must be finite and not negative")
+    wide = locations
+    for c in "xyz":
+        wide = wide.withColumn(f"min_{c}", F.col(f"min_{c}") - radius).withColumn(f"max_{c}", F.col(f"max_{c}") + radius)
+    pairs = box_join(wide, locations, cell or 2 * radius or usual_extent(locations), same)
+    itself = reduce(lambda a, k: a & F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")), keys, F.lit(True))
+    return pairs.filter(~itself)
+
+
 def nearby(locations: DataFrame, radius: float, keys: list[str], cell: float | None = None) -> DataFrame:
     """Ordered pairs of different locations within ``radius`` (inclusive), with exact distances.
 
     ``locations`` holds ``keys``, ``primitive`` and its box; the subject's box is widened by the radius and joined by
-    grid cells, and the exact distance decides.
+    grid cells, and the exact distance decides. Where there are columns ``coordinate_system`` and ``unit``, only
+    locations that agree in both are compared.
     """
-    if not radius >= 0:
-        raise ValueError("radius must not be negative")
-    wide = locations
-    for c in "xyz":
-        wide = wide.withColumn(f"min_{c}", F.col(f"min_{c}") - radius).withColumn(f"max_{c}", F.col(f"max_{c}") + radius)
-    pairs = box_join(wide, locations, cell or max(2 * radius, 1e-9))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}"))
-    out = distances(pairs.filter(~same), "l_primitive", "r_primitive")
+    same = FRAME if set(FRAME) <= set(locations.columns) else ()
+    out = distances(_near(locations, radius, keys, cell, same), "l_primitive", "r_primitive")
     # a filter would be pushed below the steps of the distance and repeat them; a generator is not
     out = out.withColumn("distance", F.explode(F.when(F.col("distance") <= radius, F.array("distance"))))
     return out.select(*[f"l_{k}" for k in keys], *[f"r_{k}" for k in keys], "distance", "basis")
 
 
+def coverage(locations: DataFrame, unusable: DataFrame, radius: float, keys: list[str], cell: float | None = None) -> DataFrame:
+    """Per subject: indexed occurrences (boxes in reach), exact results, and what was skipped for which reason.
+
+    ``unusable(keys, status, box)`` are occurrences in reach that have no single location. ``(l_keys, indexed, exact,
+    skipped)``; ``skipped`` is a sorted array of structs (reason, keys).
+    """
+    cols = [*keys, *BOX]
+    both = locations.select(*cols, *FRAME, "primitive", F.lit("ok").alias("status")).unionByName(unusable.select(*cols, "status"), allowMissingColumns=True)
+    pairs = _near(both, radius, keys, cell, ()).filter("l_status = 'ok'")
+    frame = reduce(lambda a, c: a & F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")), FRAME, F.lit(True))
+    reason = F.when(F.col("r_status") != "ok", F.col("r_status")).when(~frame, OTHER_FRAME)
+    out = distances(pairs.withColumn("reason", reason), "l_primitive", "r_primitive")
+    near = F.col("reason").isNull() & (F.col("distance") <= radius)
+    left = F.struct(F.col("reason").alias("reason"), *[F.col(f"r_{k}").alias(k) for k in keys])
+    return out.groupBy(*[f"l_{k}" for k in keys]).agg(F.count("*").alias("indexed"), F.count_if(near).alias("exact"), F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), left))).alias("skipped"))
+
+
+def nearest_status(covered: DataFrame) -> Column:
+    """``ok`` with a result, ``insufficient_data`` where something in reach was skipped, else ``no_match``."""
+    return F.when(F.col("exact") > 0, "ok").when(F.size("skipped") > 0, "insufficient_data").otherwise("no_match")
+
+
+def pair_status(a: Column, b: Column, same_frame: Column) -> Column:
+    """Status of a question about two resolved locations: the first that is not ok, then frame and unit."""
+    return F.when(a != "ok", a).when(b != "ok", b).when(~same_frame, "insufficient_data").otherwise("ok")
+
+
 def nearest(found: DataFrame, subject: list[str], other: list[str]) -> DataFrame:
     """The first of each subject's pairs by distance, then by the other's keys."""
     order = Window.partitionBy(*subject).orderBy("distance", *other)

@@ -197,28 +197,26 @@ def level_differences(levels: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def change_impact(element_types: DataFrame, elements: DataFrame, spaces_of: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """Per type: instances, those with spaces and with drawing occurrences, distinct spaces and occurrences, warnings."""
-    instances = elements.select(F.col("id").alias("element_id"), "type_id")
-    with_space = spaces_of.select("element_id", "space_id").distinct()
-    per_element = with_space.groupBy("element_id").agg(F.count("*").alias("n_spaces"))
+    """Per type: instances, those with spaces and with drawing occurrences, distinct spaces and occurrences, warnings.
+
+    What touches an element (itself, a space, an occurrence) is one row each, so that one join with the elements and two
+    aggregations give every count.
+    """
     places = [c for c in occurrences.columns if c not in ("appearance_id", "id")]
-    drawn = occurrences.select(*places).distinct().filter("entity_kind = 'element'").groupBy(F.col("entity_id").alias("element_id")).agg(F.count("*").alias("n_drawn"))
-    rows = instances.join(per_element, "element_id", "left").join(drawn, "element_id", "left")
-    facts = rows.groupBy("type_id").agg(F.count("*").alias("total_instances"), F.count("n_spaces").alias("instances_with_spatial_context"), F.count("n_drawn").alias("instances_with_drawing_occurrence"), F.coalesce(F.sum("n_drawn"), F.lit(0)).alias("drawing_occurrences"))
-    reached = instances.join(with_space, "element_id").groupBy("type_id").agg(F.countDistinct("space_id").alias("related_spaces"))
-    out = element_types.select(F.col("id").alias("type_id")).join(facts, "type_id", "left").join(reached, "type_id", "left").fillna(0)
+    none = F.lit(None).cast("string")
+    drawn = occurrences.filter("entity_kind = 'element'").select(F.col("entity_id").alias("element_id"), none.alias("space_id"), F.to_json(F.struct(*places)).alias("place"))
+    touched = spaces_of.select("element_id", "space_id", none.alias("place")).unionByName(drawn).distinct()
+    rows = elements.select(F.col("id").alias("element_id"), "type_id").join(touched, "element_id", "left")
+    each = rows.groupBy("type_id", "element_id").agg(F.collect_set("space_id").alias("spaces"), F.count("place").alias("places"))
+    facts = each.groupBy("type_id").agg(
+        F.count("*").alias("total_instances"), F.count_if(F.size("spaces") > 0).alias("instances_with_spatial_context"), F.count_if(F.col("places") > 0).alias("instances_with_drawing_occurrence"),
+        F.sum("places").alias("drawing_occurrences"), F.size(F.array_distinct(F.flatten(F.collect_set("spaces")))).cast("bigint").alias("related_spaces"),
+    )
+    out = element_types.select(F.col("id").alias("type_id")).join(facts, "type_id", "left").fillna(0)
     warnings = F.array_compact(F.array(F.when(F.col("instances_with_spatial_context") < F.col("total_instances"), "spatial_context_partial"), F.when(F.col("instances_with_drawing_occurrence") < F.col("total_instances"), "drawing_occurrence_partial")))
     return out.withColumn("warnings", F.array_join(warnings, ","))
 
 
-def reference_targets(references: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Drawing references with the document, page and view they stand in and a target (none unless resolved)."""
-    own = evidence.select(F.col("id").alias("source_evidence_id"), "document_id", "pdf_page", "view_id")
-    open_ = F.col("resolution_state").isin("ambiguous", "unresolved")
-    rows = references.join(own, "source_evidence_id")
-    return rows.select("id", "relation_type", "printed_reference", "resolution_state", "document_id", "pdf_page", "view_id", *[F.when(~open_, F.col(c)).alias(c) for c in ("target_view_id", "target_sheet_id", "target_evidence_id")])
-
-
 def ordered_pairs(candidates: DataFrame, explicit: DataFrame, group: str, position: str, cap: int = 32) -> tuple[DataFrame, DataFrame]:
     """Up to ``cap`` unordered pairs of a group's candidates in position order, without those in ``explicit(group, a, b)``,
     and per group how many were left out.
@@ -246,6 +244,6 @@ def ordered_pairs(candidates: DataFrame, explicit: DataFrame, group: str, positi
 
 
 __all__ = [
-    "adjacency", "ambiguous_occurrences", "change_impact", "connections", "connections_of_spaces", "containment", "level_differences", "ordered_pairs", "reference_targets", "related", "related_spaces",
+    "adjacency", "ambiguous_occurrences", "change_impact", "connections", "connections_of_spaces", "containment", "level_differences", "ordered_pairs", "related", "related_spaces",
     "same_space", "same_space_counts", "same_type", "semantic_edges",
 ]

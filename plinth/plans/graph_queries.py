@@ -83,8 +83,8 @@ def contained_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topology.containment(b.elements(), b.spaces(), b.contained_edges()).groupBy("space_id").agg(F.countDistinct("element_id").alias("n_elements"), F.count("*").alias("n_contexts"))
 
 
-@query("same_space_elements", _CONTAINED + """, p AS (SELECT DISTINCT element_id, space_id FROM c WHERE element_id LIKE 'supplier-%')
-SELECT a.element_id, a.space_id, count(*) AS n FROM p a JOIN p b ON a.space_id = b.space_id GROUP BY a.element_id, a.space_id""")
+@query("same_space_elements", _CONTAINED + """, p AS (SELECT DISTINCT element_id, space_id FROM c), n AS (SELECT space_id, count(*) AS n FROM p GROUP BY space_id)
+SELECT p.element_id, p.space_id, n.n FROM p JOIN n ON p.space_id = n.space_id""")
 def same_space_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bridge(spark, sf_dir)
     return topology.same_space_counts(topology.containment(b.elements(), b.spaces(), b.contained_edges()))
@@ -209,7 +209,7 @@ def tiered_fact_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("fact_conflicts", """
-WITH f AS (SELECT d.source, l.doc_id, l.quality + l.toxic AS v FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE d.doc_id % 5 = 0)
+WITH f AS (SELECT d.source, l.doc_id, l.quality + l.toxic AS v FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
 SELECT source AS entity_id, CASE WHEN count(DISTINCT v) > 1 THEN 'conflict' ELSE 'ok' END AS status, CASE WHEN count(DISTINCT v) = 1 THEN min(lpad(CAST(doc_id AS VARCHAR), 9, '0')) END AS fact_id, count(*) AS n_facts FROM f GROUP BY source""")
 def fact_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bridge(spark, sf_dir)
@@ -219,7 +219,7 @@ def fact_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("relative_elevation", """
-WITH f AS (SELECT user_id, event_id, value, CASE event_id % 3 WHEN 0 THEN lower(event_type) WHEN 1 THEN NULL ELSE 'rfl' END AS d FROM events WHERE event_id % 10 = 0),
+WITH f AS (SELECT user_id, event_id, value, CASE event_id % 3 WHEN 0 THEN lower(event_type) WHEN 1 THEN NULL ELSE 'rfl' END AS d FROM events),
 r AS (SELECT user_id, CASE WHEN count(DISTINCT d) = 0 THEN 'insufficient_data' WHEN count(DISTINCT d) > 1 THEN 'ambiguous' ELSE 'ok' END AS st, min(d) AS d FROM f GROUP BY 1)
 SELECT CAST(r.user_id AS VARCHAR) AS entity_id, CASE WHEN st = 'ok' AND count(DISTINCT f.value) > 1 THEN 'conflict' ELSE st END AS status, CASE WHEN st = 'ok' THEN r.d END AS reference FROM r LEFT JOIN f ON f.user_id = r.user_id AND f.d = r.d GROUP BY r.user_id, st, r.d""")
 def relative_elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +241,7 @@ def spatial_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.candidates(Bridge(spark, sf_dir).geometries(), (-40.0, 60.0, -50.0, 80.0, -100.0, 100.0)).select("vec_id")
 
 
-@query("spatial_box_join", _GEO + " SELECT l.vec_id AS l_vec_id, r.vec_id AS r_vec_id FROM b l JOIN b r ON l.x0 <= r.x1 AND l.x1 >= r.x0 AND l.y0 <= r.y1 AND l.y1 >= r.y0 AND l.z0 <= r.z1 AND l.z1 >= r.z0 AND l.vec_id % 2 = 0 AND r.vec_id % 2 = 1")
+@query("spatial_box_join", _GEO + " SELECT l.vec_id AS l_vec_id, r.vec_id AS r_vec_id FROM b l JOIN b r ON l.x0 <= r.x1 AND l.x1 >= r.x0 AND l.y0 <= r.y1 AND l.y1 >= r.y0 AND l.z0 <= r.z1 AND l.z1 >= r.z0 AND l.vec_id < r.vec_id")
 def spatial_box_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All boxes against each other, each pair once."""
     g = Bridge(spark, sf_dir).geometries().select("vec_id", *spatial.BOX)
@@ -301,9 +301,9 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("pair_cap", """
-WITH d AS (SELECT l_orderkey AS g, l_partkey * 100000 + l_suppkey * 10 + l_linenumber AS item FROM lineitem), i AS (SELECT DISTINCT g % 200 AS g, item FROM d WHERE g % 200 < 20 AND item % 7 = 0),
+WITH d AS (SELECT l_orderkey AS g, l_partkey * 100000 + l_suppkey * 10 + l_linenumber AS item FROM lineitem), i AS (SELECT DISTINCT g % 200 AS g, item FROM d),
 o AS (SELECT g, item, row_number() OVER (PARTITION BY g ORDER BY item) AS r FROM i), x AS (SELECT a.g, a.item AS a, b.item AS b FROM o a JOIN o b ON a.g = b.g AND b.r = a.r + 1 WHERE a.r <= 5 AND a.r % 2 = 1),
-p AS (SELECT a.g, a.item AS a, b.item AS b, row_number() OVER (PARTITION BY a.g ORDER BY a.r, b.r) AS k FROM o a JOIN o b ON a.g = b.g AND a.r < b.r WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.g = a.g AND x.a = a.item AND x.b = b.item))
+p AS (SELECT a.g, a.item AS a, b.item AS b, row_number() OVER (PARTITION BY a.g ORDER BY a.r, b.r) AS k FROM o a JOIN o b ON a.g = b.g AND a.r < b.r WHERE a.r <= 35 AND NOT EXISTS (SELECT 1 FROM x WHERE x.g = a.g AND x.a = a.item AND x.b = b.item))
 SELECT g, a, b, CAST(k AS INTEGER) AS rank FROM p WHERE k <= 32""")
 def pair_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Co-occurrence pairs of a group's items, without explicit ones, at most 32 a group (the cap is the feature)."""
@@ -312,7 +312,7 @@ def pair_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All line items, dealt into 200 groups; the SQL of both queries still holds a subset of them (see the README)."""
+    """All line items, dealt into 200 groups."""
     line = Bridge(spark, sf_dir).raw("lineitem")
     items = line.select((F.col("l_orderkey") % 200).alias("g"), (F.col("l_partkey") * 100000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("item")).distinct()
     r = items.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("item")))
@@ -322,7 +322,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query("pair_cap_report", """
-WITH i AS (SELECT DISTINCT l_orderkey % 200 AS g, l_partkey * 100000 + l_suppkey * 10 + l_linenumber AS item FROM lineitem WHERE l_orderkey % 200 < 20 AND (l_partkey * 100000 + l_suppkey * 10 + l_linenumber) % 7 = 0),
+WITH i AS (SELECT DISTINCT l_orderkey % 200 AS g, l_partkey * 100000 + l_suppkey * 10 + l_linenumber AS item FROM lineitem),
 n AS (SELECT g, count(*) AS n FROM i GROUP BY g), e AS (SELECT g, CAST(n * (n - 1) / 2 AS BIGINT) AS eligible, CASE WHEN n >= 6 THEN 3 WHEN n >= 4 THEN 2 WHEN n >= 2 THEN 1 ELSE 0 END AS x FROM n)
 SELECT g, eligible, least(32, eligible - x) AS planned, eligible - least(32, eligible - x) AS omitted FROM e""")
 def pair_cap_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,11 +83,18 @@ def text_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search_index(postings, lengths, ["with", "from"], 20).select("record_id", F.round("rank", 6).alias("rank"))
 
 
-@query("index_integrity", "SELECT CAST(NULL AS VARCHAR) AS term, CAST(NULL AS VARCHAR) AS problem WHERE false")
+@query("index_integrity", f"""
+WITH d AS (SELECT doc_id, source, {TOKENS.format("text")} AS t FROM documents), w AS (SELECT doc_id, source, unnest(t) AS term FROM d), p AS (SELECT doc_id, source, term, count(*) AS tf FROM w GROUP BY ALL),
+s AS (SELECT doc_id, source, term, CASE WHEN term = 'the' THEN tf + 1 ELSE tf END AS tf FROM p WHERE NOT (term = 'that' AND source = 'src8'))
+SELECT CAST(doc_id AS VARCHAR) AS record_id, term, 'stale' AS problem FROM p WHERE term = 'the' UNION ALL SELECT CAST(doc_id AS VARCHAR), term, 'missing' FROM p WHERE term = 'the' OR (term = 'that' AND source = 'src8')""")
 def index_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    content = _content(Bridge(spark, sf_dir))
-    postings, _ = search.build_index(content.repartition(3))
-    return search.index_differences(content, postings).select("term", "problem")
+    """A stored index with wrong counts for one word and postings lost for another in one source."""
+    b = Bridge(spark, sf_dir)
+    content = _content(b)
+    postings, _ = search.build_index(content)
+    lost = b.raw("documents").filter("source = 'src8'").select(F.col("doc_id").cast("string").alias("record_id"), F.lit("that").alias("term"))
+    stored = postings.join(lost, ["record_id", "term"], "left_anti").withColumn("tf", F.when(F.col("term") == "the", F.col("tf") + 1).otherwise(F.col("tf")))
+    return search.index_differences(content, stored).select("record_id", "term", "problem")
 
 
 _LINES = "SELECT doc_id, source || '/' || CAST(doc_id AS VARCHAR) AS identity, unnest(string_split(text, chr(10))) AS content, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents"
