@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import json
 import sys
 
@@ -10,13 +11,19 @@ from plinth.session import local_session
 from plinth.sources.store import Store
 
 
+def typed(method, arguments: list[str]) -> list:
+    """Texts as the types that the method's parameters name."""
+    kinds = [p.annotation for p in list(inspect.signature(method).parameters.values())[1:]]
+    read = {"int": int, "float": float, "int | None": int, "tuple": json.loads}
+    return [read.get(k, str)(a) for a, k in zip(arguments, kinds, strict=False)]
+
+
 def main(argv: list[str]) -> int:
     if len(argv) < 2 or argv[1].startswith("_") or not callable(getattr(Knowledge, argv[1], None)):
         print(__doc__, *sorted(n for n in vars(Knowledge) if not n.startswith("_")), sep="\n", file=sys.stderr)
         return 2
     spark = local_session(4)
-    arguments = [float(a) if a.replace(".", "", 1).isdigit() and argv[1].startswith(("find_nearby", "get_nearest")) else a for a in argv[2:]]
-    print(json.dumps(getattr(Knowledge(Store.open(spark, argv[0])), argv[1])(*arguments), ensure_ascii=False, default=str))
+    print(json.dumps(getattr(Knowledge(Store.open(spark, argv[0])), argv[1])(*typed(getattr(Knowledge, argv[1]), argv[2:])), ensure_ascii=False, default=str))
     return 0
 
 

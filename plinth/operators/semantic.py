@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.functions.text import ascii_lower, contains_nocase, same_nocase
@@ -55,23 +55,21 @@ def discover(entities: DataFrame, properties: DataFrame, queries: DataFrame, lim
     return answer.join(top, "query", "left")
 
 
+def _evidence(rows: DataFrame) -> list[Column]:
+    return [(F.col("evidence_id") if "evidence_id" in rows.columns else F.lit(None).cast("string")).alias("evidence_id")]
+
+
 def facts_of(bindings: DataFrame, parameters: DataFrame, properties: DataFrame) -> DataFrame:
     """``(semantic_entity_id, fact_kind, id, name, value, numeric_value, unit, scope)``: parameters of resolved element
     and type bindings, then the entity's own properties."""
     solid = resolved_bindings(bindings).filter(F.col("source_kind").isin("element", "element_type"))
     bound = solid.select("semantic_entity_id", F.col("id").alias("source_binding_id"), F.col("source_kind").alias("entity_kind"), F.col("source_id").alias("entity_id"))
     value = F.coalesce(F.when(F.col("value_text") != "", F.col("value_text")), F.col("raw_value_text"))
-    a = parameters.join(bound, ["entity_kind", "entity_id"]).select("semantic_entity_id", F.lit("parameter").alias("fact_kind"), "id", F.col("definition_name").alias("name"), value.alias("value"), "numeric_value", "unit", "scope", "source_binding_id")
-    b = properties.select("semantic_entity_id", F.lit("semantic_property").alias("fact_kind"), "id", F.col("source_name").alias("name"), F.col("source_value").alias("value"), "numeric_value", "unit", "scope", "source_binding_id")
+    a = parameters.join(bound, ["entity_kind", "entity_id"]).select("semantic_entity_id", F.lit("parameter").alias("fact_kind"), "id", F.col("definition_name").alias("name"), value.alias("value"), "numeric_value", "unit", "scope", "source_binding_id", *_evidence(parameters))
+    b = properties.select("semantic_entity_id", F.lit("semantic_property").alias("fact_kind"), "id", F.col("source_name").alias("name"), F.col("source_value").alias("value"), "numeric_value", "unit", "scope", "source_binding_id", *_evidence(properties))
     return a.unionByName(b)
 
 
-def reverse_bindings(bindings: DataFrame) -> DataFrame:
-    """Semantic entities per source record, in order of entity and binding id."""
-    refs = F.struct(F.col("semantic_entity_id"), F.col("id").alias("binding_id"))
-    return resolved_bindings(bindings).groupBy("source_kind", "source_id").agg(F.array_sort(F.collect_list(refs)).alias("semantic_refs"))
-
-
 def coverage(entities: DataFrame, parts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Entities with the number of rows each part holds of them; ``parts`` maps a name to (rows, key column)."""
     out = entities.select("id")

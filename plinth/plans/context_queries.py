@@ -67,7 +67,7 @@ class Semantic:
         params = self.bridge.parameters().withColumn("value_text", F.lit(None).cast("string")).withColumn("raw_value_text", F.lit(None).cast("string"))
         none = F.lit(None).cast("string")
         props = self.bridge.semantic_properties().select("*", F.lit(None).cast("double").alias("numeric_value"), none.alias("unit"), none.alias("scope"), none.alias("source_binding_id"))
-        return semantic.facts_of(self.bindings(), params, props).withColumn("evidence_id", none)
+        return semantic.facts_of(self.bindings(), params, props)
 
     def edges(self) -> DataFrame:
         none = "id string, subject_semantic_entity_id string, object_semantic_entity_id string, relation_type string"

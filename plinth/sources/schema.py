@@ -1,4 +1,4 @@
-"""The knowledge store's tables: columns, keys, references, domains and checks, declared once.
+"""The knowledge store's tables: columns, keys, references, domains and checks, declared once (fixed names).
 
 Types: s text, i integer, d double. A name that ends in ``!`` must not be null. References are ``column>table.key``.
 Checks are SQL conditions; a row for which one is false violates it.
@@ -44,7 +44,7 @@ _MODEL = "source_model_id>source_models.id"
 
 TABLES: dict[str, Table] = {
     "documents": Table("id:s! identity:s! title:s! source_filename:s! source_sha256:s!", unique=(("identity",),), checks=("source_sha256 rlike '^[0-9a-f]{64}$'",)),
-    "pdf_pages": Table("id:s! document_id:s! page_number:i! width_points:d! height_points:d! rotation:i! coordinate_space:s provenance:s!", unique=(("document_id", "page_number"),), references=("document_id>documents.id",), checks=("page_number >= 1", "width_points > 0", "height_points > 0", "rotation in (0,90,180,270)", TOP_LEFT)),
+    "pdf_pages": Table("id:s! document_id:s! page_number:i! width_points:d! height_points:d! rotation:i! media_x_min:d media_y_min:d media_x_max:d media_y_max:d crop_x_min:d crop_y_min:d crop_x_max:d crop_y_max:d coordinate_space:s provenance:s!", unique=(("document_id", "page_number"),), references=("document_id>documents.id",), checks=("page_number >= 1", "width_points > 0", "height_points > 0", "rotation in (0,90,180,270)", TOP_LEFT)),
     "pdf_text_blocks": Table(f"id:s! page_id:s! order_index:i! text:s! {BOX_COLUMNS} coordinate_space:s! provenance:s! evidence_id:s!", unique=(("page_id", "order_index"),), references=("page_id>pdf_pages.id", "evidence_id>evidence.id"), checks=("order_index >= 0", BOX, TOP_LEFT)),
     "pdf_text_lines": Table(f"id:s! block_id:s! order_index:i! text:s! {BOX_COLUMNS} coordinate_space:s! provenance:s!", unique=(("block_id", "order_index"),), references=("block_id>pdf_text_blocks.id",), checks=("order_index >= 0", BOX, TOP_LEFT)),
     "pdf_text_spans": Table(f"id:s! line_id:s! order_index:i! text:s! {BOX_COLUMNS} coordinate_space:s! provenance:s! font_name:s font_size:d font_flags:i", unique=(("line_id", "order_index"),), references=("line_id>pdf_text_lines.id",), checks=("order_index >= 0", BOX, TOP_LEFT)),

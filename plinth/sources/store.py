@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 from collections.abc import Mapping
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.functions.text import is_sha256
-from plinth.operators import pages, validate
+from plinth.operators import integrity, pages, validate
+from plinth.sources import files
 from plinth.sources.schema import CAPABILITIES, TABLES
 
 VERSION, REQUIRED_METADATA = 2, ("schema_version", "generator_version", "project_id", "created_from")
@@ -55,23 +53,27 @@ class Store:
         for name in TABLES:
             self.table(name).createOrReplaceTempView(prefix + name)
 
-    def write(self, path: str) -> None:
-        """Writes a snapshot below ``path`` and then points the manifest at it; a reader sees the old or the new one.
+    def write(self, path: str, check: bool = False) -> None:
+        """Writes a snapshot below ``path``, on any file system, and then points the manifest at it.
 
-        ``path`` is a local or mounted folder; tables are written by Spark.
+        A reader sees the old or the new one; the snapshot before stays for those that still read it, older ones go.
+        With ``check`` a store that breaks a rule is refused and the old snapshot stays in place.
         """
         snapshot = f"snapshot-{uuid.uuid4().hex}"
+        before = json.loads(files.read(self.spark, f"{path}/manifest.json"))["snapshot"] if files.exists(self.spark, f"{path}/manifest.json") else None
         for name, df in self.tables.items():
             df.select([F.col(c).cast(TABLES[name].struct()[c].dataType) for c in TABLES[name].names if c in df.columns]).write.parquet(f"{path}/{snapshot}/{name}")
         metadata = {"schema_version": str(VERSION), "generator_version": "plinth-1", "project_id": "project", "created_from": "records"} | self.metadata
-        text = json.dumps({"snapshot": snapshot, "tables": sorted(self.tables), "metadata": metadata}, sort_keys=True)
-        local = Path(path.removeprefix("file://"))
-        staged = local / f".manifest-{uuid.uuid4().hex}"
-        staged.write_text(text)
-        os.replace(staged, local / "manifest.json")
-        for old in local.glob("snapshot-*"):
-            if old.name != snapshot:
-                shutil.rmtree(old)
+        if check:
+            written = Store(self.spark, {t: self.spark.read.schema(TABLES[t].struct()).parquet(f"{path}/{snapshot}/{t}") for t in self.tables}, metadata)
+            bad = integrity.first(written.violations())
+            if bad:
+                files.delete(self.spark, f"{path}/{snapshot}")
+                raise StoreError(f"{bad['rule']} in {bad['table_name']} at {bad['id']}")
+        files.replace(self.spark, f"{path}/manifest.json", json.dumps({"snapshot": snapshot, "tables": sorted(self.tables), "metadata": metadata}, sort_keys=True))
+        for old in files.names(self.spark, path):
+            if old.startswith("snapshot-") and old not in (snapshot, before):
+                files.delete(self.spark, f"{path}/{old}")
 
     def violations(self) -> DataFrame:
         """Every broken rule of the schema: required columns, keys, uniqueness, references, checks, hashes, grids."""
@@ -96,6 +98,16 @@ class Store:
             parts.append(open_.select(F.lit("closed_loop").alias("rule"), F.lit("spatial_boundaries").alias("table_name"), F.col("boundary_id").alias("id")))
         return reduce(DataFrame.unionByName, parts)
 
+    def breaches(self) -> DataFrame:
+        """Every broken rule across records, beyond those of the schema."""
+        return integrity.violations(self.table)
+
+
+def _bounds(geometry: dict) -> dict:
+    """Bounds of a point or line record."""
+    ends = [geometry[k] for k in ("point", "coordinates", "start", "end") if isinstance(geometry.get(k), list) and len(geometry[k]) == 3]
+    return {f"{m}_{c}": f(e[i] for e in ends) for i, c in enumerate("xyz") for m, f in (("min", min), ("max", max))} if ends else {}
+
 
 def from_records(spark: SparkSession, records: Mapping[str, list[dict]], metadata: Mapping[str, str] | None = None) -> Store:
     """A store from a record bundle; nested values (geometry, transforms, positions) become JSON with sorted keys.
@@ -109,6 +121,8 @@ def from_records(spark: SparkSession, records: Mapping[str, list[dict]], metadat
         spec, out = TABLES[name], []
         for row in rows:
             row = dict(row)
+            if name == "geometries" and isinstance(row.get("geometry"), dict):
+                row = _bounds(row["geometry"]) | {k: v for k, v in row.items() if v is not None}
             for nested in [k for k, v in row.items() if isinstance(v, (dict, list)) and f"{k}_json" in spec.names]:
                 row[f"{nested}_json"] = json.dumps(row.pop(nested), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
             extra = set(row) - set(spec.names)
@@ -148,7 +162,7 @@ def text_records(documents: DataFrame) -> dict[str, DataFrame]:
     docs = rows.select(F.col("document_id").alias("id"), "identity", F.col("identity").alias("title"), F.col("identity").alias("source_filename"), F.col("sha").alias("source_sha256"))
     page = rows.withColumn("page_id", ident("page", "identity", "sha", F.lit("1")))
     found = page.select(F.col("page_id").alias("id"), "document_id", F.lit(1).cast("long").alias("page_number"), F.lit(612.0).alias("width_points"), F.lit(792.0).alias("height_points"), F.lit(0).cast("long").alias("rotation"), F.lit("pdf_points_top_left").alias("coordinate_space"), F.lit("text").alias("provenance"))
-    lines = page.select("document_id", "page_id", "identity", "sha", F.posexplode(F.split("text", "\n")).alias("order_index", "text")).filter("text <> ''")
+    lines = page.select("document_id", "page_id", "identity", "sha", F.posexplode(F.filter(F.split("text", "\n"), lambda x: x != "")).alias("order_index", "text"))
     place = F.col("order_index").cast("string")
     lines = lines.withColumn("id", ident("block", "identity", "sha", place)).withColumn("evidence_id", ident("evidence", "identity", "sha", place))
     box = [F.lit(0.0).alias("x_min"), (F.col("order_index") * 12.0).alias("y_min"), F.lit(612.0).alias("x_max"), (F.col("order_index") * 12.0 + 12).alias("y_max"), F.lit("pdf_points_top_left").alias("coordinate_space")]

@@ -29,13 +29,13 @@ def test_blank_and_filled(spark):
     assert one(spark, t.first_filled(F.lit(""), F.lit("b"))) == "b" and one(spark, t.first_filled(F.lit("a"), F.lit("b"))) == "a"
 
 
-@pytest.mark.parametrize(("text", "want"), [("RFL + 1250 mm", "RFL"), ("  FFL -  3", "FFL"), ("Level", "Level"), ("L2", None), ("", None), ("Top of Slab+12", "Top of Slab"), ("x" * 40, None)])
+@pytest.mark.parametrize(("text", "want"), [("SSL + 740 mm", "SSL"), ("  FFL -  3", "FFL"), ("Level", "Level"), ("L2", None), ("", None), ("Top of Slab+12", "Top of Slab"), ("x" * 40, None)])
 def test_datum(spark, text, want):
     assert one(spark, t.datum(F.lit(text))) == want
 
 
 def test_tokens_drop_accents_and_keep_unspaced_scripts(spark):
-    assert one(spark, t.tokens(F.lit("Café-Noir ÉTÉ データホール 12"))) == ["cafe", "noir", "ete", "データホール", "12"]
+    assert one(spark, t.tokens(F.lit("Café-Noir ÉTÉ 機械室 12"))) == ["cafe", "noir", "ete", "機械室", "12"]
 
 
 @pytest.mark.parametrize(("spec", "last", "want"), [("1,3-5", 9, [1, 3, 4, 5]), ("5, 1-2,2", 5, [1, 2, 5]), ("3-1", 9, None), ("0", 9, None), ("10", 9, None), ("a", 9, None), ("", 9, None)])
