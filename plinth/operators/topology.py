@@ -155,11 +155,16 @@ def adjacency(spaces: DataFrame, boundaries: DataFrame, segments: DataFrame) ->
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(f"l.{k}") == F.col(f"r.{k}"))
-    joined = a.alias("l").join(b.alias("r"), on & null_safe & (F.col("a_space_id") != F.col("b_space_id")))
-    overlap = longitudinal_overlap(*_segment("a_"), *_segment("b_"))
-    pairs = joined.select(
-        F.col("a_space_id").alias("space_id"), F.col("a_occurrence").alias("link_instance_id"), F.col("b_space_id").alias("adjacent_id"), F.col("l.source_model_id").alias("source_model_id"), F.col("l.source_unique_id").alias("source_unique_id"),
-        F.col("a_source_link_instance_id").alias("source_link_instance_id"), F.col("a_id").alias("subject_segment_id"), F.col("b_id").alias("adjacent_segment_id"), overlap.alias("overlap"),
+    # every two spaces meet once; both views of the pair come out of one row, and only those that share a length
+    joined = a.alias("l").join(b.alias("r"), on & null_safe & (F.col("a_space_id") < F.col("b_space_id")))
+    joined = joined.select("l.source_model_id", "l.source_unique_id", "a_source_link_instance_id", "a_occurrence", *[f"{p}_{c}" for p in "ab" for c in ("id", "space_id")], longitudinal_overlap(*_segment("a_"), *_segment("b_")).alias("ab"), longitudinal_overlap(*_segment("b_"), *_segment("a_")).alias("ba"))
+
+    def seen_from(p: str, q: str) -> Column:
+        return F.struct(F.col(f"{p}_space_id").alias("space_id"), F.col(f"{q}_space_id").alias("adjacent_id"), F.col(f"{p}_id").alias("subject_segment_id"), F.col(f"{q}_id").alias("adjacent_segment_id"), F.col(f"{p}{q}").alias("overlap"))
+
+    both = F.explode(F.filter(F.array(seen_from("a", "b"), seen_from("b", "a")), lambda x: x["overlap"].isNotNull())).alias("x")
+    pairs = joined.select("source_model_id", "source_unique_id", "a_source_link_instance_id", "a_occurrence", both).select(
+        "x.space_id", F.col("a_occurrence").alias("link_instance_id"), "x.adjacent_id", "source_model_id", "source_unique_id", F.col("a_source_link_instance_id").alias("source_link_instance_id"), "x.subject_segment_id", "x.adjacent_segment_id", "x.overlap"
     )
     count = lambda s: F.count_if(F.col("state") == s)
     covered = lines.groupBy("space_id", "occurrence").agg(F.count("*").alias("total"), count("usable").alias("usable"), count("nonlinear").alias("nonlinear"), count("degenerate").alias("degenerate"), count("unresolved").alias("unresolved"))
@@ -174,7 +179,7 @@ def adjacency(spaces: DataFrame, boundaries: DataFrame, segments: DataFrame) ->
     report = report.withColumn("warning", warning)
     status = F.when(F.col("warning").isNull(), "ok").when(F.col("warning") == "incomplete_boundary_coverage", "partial").otherwise("insufficient_data")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "usable", "nonlinear", "degenerate", "unresolved")]
-    return pairs.filter("overlap is not null"), report.select("space_id", F.col("occurrence").alias("link_instance_id"), status.alias("status"), "warning", *zero)
+    return pairs, report.select("space_id", F.col("occurrence").alias("link_instance_id"), status.alias("status"), "warning", *zero)
 
 
 def ambiguous_occurrences(boundaries: DataFrame) -> DataFrame:

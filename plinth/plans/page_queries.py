@@ -104,7 +104,16 @@ def span_cell_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.spans_in_cells(spans, cells)
 
 
-@query("table_acceptance")
+@query("table_acceptance", """
+WITH RECURSIVE c AS (SELECT CAST(l_orderkey AS VARCHAR) AS page_id, l_linenumber || '-' || l_quantity AS candidate, l_linenumber = 3 AS narrow, CAST(l_quantity AS DOUBLE) AS x0 FROM lineitem),
+sp AS (SELECT CAST(l_orderkey AS VARCHAR) AS page_id, l_quantity + 1.0 AS s0, l_quantity + 3.0 AS s1 FROM lineitem),
+amb AS (SELECT page_id, candidate, x0 FROM (SELECT DISTINCT page_id, candidate, x0 FROM c) c WHERE EXISTS (SELECT 1 FROM sp WHERE sp.page_id = c.page_id AND least(x0 + 8, s1) - greatest(x0, s0) > 0.25
+  AND (CASE WHEN s0 >= x0 - 0.25 AND s1 <= x0 + 4 + 0.25 THEN 1 ELSE 0 END + CASE WHEN s0 >= x0 + 4 - 0.25 AND s1 <= x0 + 8 + 0.25 THEN 1 ELSE 0 END) <> 1)),
+o AS (SELECT c.*, row_number() OVER (PARTITION BY c.page_id ORDER BY c.x0, c.candidate, c.narrow) AS i, amb.x0 IS NOT NULL AS ambiguous FROM c LEFT JOIN amb ON c.page_id = amb.page_id AND c.candidate = amb.candidate AND c.x0 = amb.x0),
+j AS (SELECT page_id, 0::BIGINT AS i, ''::VARCHAR AS candidate, -100.0::DOUBLE AS last, -1::BIGINT AS n, NULL::VARCHAR AS reason FROM (SELECT DISTINCT page_id FROM c)
+  UNION ALL SELECT o.page_id, o.i, o.candidate, CASE WHEN r.reason IS NULL THEN o.x0 ELSE j.last END, CASE WHEN r.reason IS NULL THEN j.n + 1 ELSE j.n END, r.reason
+  FROM j JOIN o ON o.page_id = j.page_id AND o.i = j.i + 1, LATERAL (SELECT CASE WHEN o.narrow THEN 'insufficient_dimensions' WHEN least(o.x0, j.last) + 8 - greatest(o.x0, j.last) > 0.25 THEN 'overlapping_candidate' WHEN o.ambiguous THEN 'ambiguous_span_mapping' END AS reason) r)
+SELECT page_id, candidate, CASE WHEN reason IS NULL THEN n END AS order_index, reason FROM j WHERE i > 0""")
 def table_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates from orders: judged in order, an overlap with one accepted before turns the later one down."""
     line = Bridge(spark, sf_dir).raw("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
