@@ -187,3 +187,16 @@ def vertical(pairs: DataFrame) -> DataFrame:
     """Adds ``relation`` and ``separation`` from ``l_``/``r_`` boxes."""
     v = vertical_relation(F.col("l_min_z"), F.col("l_max_z"), F.col("r_min_z"), F.col("r_max_z"))
     return pairs.withColumn("v", v).withColumn("relation", F.col("v.relation")).withColumn("separation", F.col("v.separation")).drop("v")
+
+
+def without_gaps(spans: DataFrame, gaps: DataFrame, key: str) -> DataFrame:
+    """``(key, start, end)``: what is left of ``spans(key, start, end)`` between its ``gaps(key, gap_start, gap_end)``.
+
+    Gaps are taken in order of their bounds; each piece runs from the end of the gap before to the next one's start.
+    """
+    order = Window.partitionBy(key).orderBy("gap_start", "gap_end")
+    cut = spans.join(gaps, key).withColumn("from", F.coalesce(F.lag("gap_end").over(order), F.col("start")))
+    inner = cut.filter(F.col("from") < F.col("gap_start")).select(key, F.col("from").alias("start"), F.col("gap_start").alias("end"))
+    last = gaps.groupBy(key).agg(F.max(F.struct("gap_start", "gap_end")).alias("last"))
+    tail = spans.join(last, key, "left").withColumn("from", F.coalesce("last.gap_end", "start")).filter(F.col("from") < F.col("end"))
+    return inner.unionByName(tail.select(key, F.col("from").alias("start"), "end"))
