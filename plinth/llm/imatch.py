@@ -16,7 +16,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,60 +27,93 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-_TERM = re.compile(r"[^\W_]+")
+from plinth.llm.rolling import run_hashes
+
+_GAP, _PIECE, _BASE = re.compile(r"[\W_]"), 1 << 20, 0xD6E8FEB86659FD93
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-_hashes: dict[str, int] = {}
+_alnum: np.ndarray | None = None
 
 
 def terms(text: str) -> np.ndarray:
-    """Sorted hashes of the distinct lower-cased terms of letters and digits, over the whole text."""
-    if len(_hashes) > 500_000:
-        _hashes.clear()
-    found, known, digest = set(_TERM.findall(text.lower())), _hashes.get, xxhash.xxh64_intdigest
-    out = []
-    for w in found:
-        h = known(w)
-        if h is None:
-            h = _hashes[w] = digest(w.encode("utf-8", "surrogatepass"))
-        out.append(h)
-    return np.unique(np.array(out, dtype=np.uint64))
+    """Sorted hashes of the distinct lower-cased terms of letters and digits, over the whole text.
+
+    Texts are taken apart as arrays of code points, long ones in pieces that end between terms.
+    """
+    global _alnum
+    if _alnum is None:
+        _alnum = np.fromiter(map(str.isalnum, map(chr, range(0x110000))), dtype=bool, count=0x110000)
+    text, parts, at = text.lower(), [], 0
+    while at < len(text):
+        gap = _GAP.search(text, at + _PIECE)
+        end = gap.start() if gap else len(text)
+        codes = np.frombuffer(text[at:end].encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        inside = np.zeros(len(codes) + 2, dtype=bool)
+        inside[1:-1] = _alnum[codes]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        parts.append(run_hashes(codes.astype(np.uint64) + np.uint64(1), _BASE)(edges[0::2], edges[1::2]) + (edges[1::2] - edges[0::2]).astype(np.uint64))
+        at = end
+    return _distinct(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = h[1:] != h[:-1]
+    return h[new]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
+
+
+@lru_cache(maxsize=4096)
+def _limits(n: int, per_subset: float, subsets: int) -> np.ndarray:
+    """The largest dice that keep a term, by subset: one in 2**level of ``n`` terms is kept."""
+    level = np.floor(np.log2(n / per_subset) + (np.arange(subsets) + 0.5) / subsets)
+    return ((np.uint64(1) << (32 - np.maximum(level, 0)).astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
 
 
 @dataclass
 class Lexicon:
-    """Sorted term hashes and the parameters of the subsets."""
+    """Sorted term hashes and the parameters of the subsets, whose number is even."""
 
     terms: np.ndarray
     subsets: int = 32
     terms_per_subset: float = 2.0
     seed: int = 42
+    #: Where terms of each value of their top 20 bits begin, and the most terms that share one.
+    starts: np.ndarray | None = field(default=None, repr=False)
+    longest: int = 0
+
+    def own(self, h: np.ndarray) -> np.ndarray:
+        """Those of sorted hashes that are in the lexicon."""
+        if self.starts is None:
+            self.starts = np.searchsorted(self.terms, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
+            self.longest = int(np.diff(self.starts, append=len(self.terms)).max())
+        at, found = self.starts[(h >> np.uint64(44)).astype(np.int64)], np.zeros(len(h), dtype=bool)
+        for i in range(self.longest):
+            found |= self.terms.take(at + i, mode="clip") == h
+        return h[found]
 
     def fingerprint(self, text: str) -> str:
         """Eight hex digits per subset, zeros where it has none of the text's terms; ``t`` and a hash of the whole
         text where the lexicon has none at all."""
-        own = terms(text)
-        if len(own) and len(self.terms):
-            at = np.minimum(np.searchsorted(self.terms, own), len(self.terms) - 1)
-            own = own[self.terms[at] == own]
-        else:
-            own = own[:0]
+        own = self.own(terms(text)) if len(self.terms) else self.terms
         if not len(own):
             return f"t{xxhash.xxh64_hexdigest(text.encode('utf-8', 'surrogatepass'))}"
-        keys = np.arange(1, self.subsets + 1, dtype=np.uint64) * _GOLDEN + np.uint64(self.seed)
-        dice = _mixed(own[None, :] ^ _mixed(keys)[:, None])
-        level = np.floor(np.log2(len(own) / self.terms_per_subset) + (np.arange(self.subsets) + 0.5) / self.subsets)
-        level = np.maximum(level, 0).astype(np.uint64)
-        kept = (dice >> np.minimum(np.uint64(64) - level, np.uint64(63))[:, None] == 0) | (level == 0)[:, None]
-        chosen = own[np.nonzero(kept)[1]].tobytes()  # subset by subset, terms in order
-        ends = (8 * np.cumsum(kept.sum(axis=1))).tolist()
+        # each mixed hash gives two subsets a 32-bit number; a level of 32 is beyond any text
+        keys = np.arange(1, self.subsets // 2 + 1, dtype=np.uint64) * _GOLDEN + np.uint64(self.seed)
+        dice = _mixed(own[None, :] ^ _mixed(keys)[:, None]).view(np.uint32).reshape(len(keys), len(own), 2).transpose(0, 2, 1).reshape(self.subsets, len(own))
+        subset, term = np.nonzero(dice <= _limits(len(own), self.terms_per_subset, self.subsets))
+        chosen = own[term].tobytes()  # subset by subset, terms in order
+        ends = (8 * np.searchsorted(subset, np.arange(1, self.subsets + 1))).tolist()
         return "".join([f"{xxhash.xxh32_intdigest(chosen[a:z], self.seed) or 1:08x}" if z > a else "00000000" for a, z in zip([0, *ends], ends, strict=False)])
 
     def likeness(self, a: str, b: str) -> float:
@@ -88,11 +122,9 @@ class Lexicon:
             return 1.0
         if a[0] == "t" or b[0] == "t":
             return 0.0
-        pairs = [(a[i : i + 8], b[i : i + 8]) for i in range(0, len(a), 8)]
-        told = [x == y for x, y in pairs if x != "00000000" or y != "00000000"]
-        if not any(told):
-            return 0.0
-        return float(min(1.0, max(0.0, 1 + np.log(sum(told) / len(told)) / (2 * self.terms_per_subset))))
+        x, y = (np.frombuffer(v.encode(), dtype="S8") for v in (a, b))
+        told, alike = int(((x != b"00000000") | (y != b"00000000")).sum()), int(((x == y) & (x != b"00000000")).sum())
+        return float(min(1.0, max(0.0, 1 + np.log(alike / told) / (2 * self.terms_per_subset)))) if alike else 0.0
 
 
 def fit(docs: DataFrame, least_share: float = 1 / 2000, most_share: float = 0.2, text_col: str = "text", subsets: int = 32, terms_per_subset: float = 2.0, seed: int = 42) -> Lexicon:

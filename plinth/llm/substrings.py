@@ -34,37 +34,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from plinth.llm.common import forget, hot_join, saved
 from plinth.llm.prefix import running
+from plinth.llm.rolling import run_hashes
 
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _TEXT = 1 << 20  # bytes hashed at once
 _PIECE = 1 << 18  # words whose windows are looked at at once
 _SLICE = 1 << 23  # bytes of texts whose word hashes are held at once (or one text)
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to ``n`` of an odd base and of its inverse modulo 2**64."""
-    if base not in _tables or len(_tables[base][0]) <= n:
-        size, tables = 1 << max(16, int(n).bit_length()), []
-        for x in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, x, dtype=np.uint64)
-            steps[0] = 1
-            tables.append(np.cumprod(steps, dtype=np.uint64))
-        _tables[base] = tables[0], tables[1]
-    return _tables[base]
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
-def _sums(values: np.ndarray, base: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """Hashes of runs ``values[a:b]`` from their prefix sums; the same wherever the run stands."""
-    up, down = _powers(base, len(values))
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return lambda a, b: _mixed((sums[b] - sums[a]) * down[a])
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +68,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
         first[heads], last[heads - 1] = inside[1:-1][heads], inside[1:-1][heads - 1]
         start, after = np.flatnonzero(first), np.flatnonzero(last) + 1
-        run = _sums(b.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
+        run = run_hashes(b.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
         hashes.append(run(start, after) + (after - start).astype(np.uint64))
         begins.append(start + at)
         at = stop
@@ -147,7 +122,7 @@ def segments(h: np.ndarray, first: np.ndarray, width: int, k: int) -> Iterator[t
         n = end - at
         if n < width:
             continue
-        run = _sums(h[at:end], _WORD_BASE)
+        run = run_hashes(h[at:end], _WORD_BASE)
         text = np.repeat(np.arange(i, j), counts[i:j]) if j > i + 1 or n == counts[i] else np.full(n, i)
         where = np.arange(n - k + 1)
         kmer = run(where, where + k)
@@ -304,7 +279,7 @@ def _windows(rows: DataFrame, wanted: DataFrame, width: int, most_broadcast: int
                 own = np.repeat(np.arange(j - i), lengths)
                 within = np.arange(int(r.sum())) - np.repeat(np.cumsum(r) - r, r)
                 pos, doc = np.repeat(start, r) + within, np.repeat(own, r)
-                w = _sums(h, _WORD_BASE)(first[doc] + pos, first[doc] + pos + width)
+                w = run_hashes(h, _WORD_BASE)(first[doc] + pos, first[doc] + pos + width)
                 arrays = [pa.array(np.repeat(m, r)), pa.array(w.view(np.int64)), pa.array(pos.astype(np.int32)), pa.array(np.ones(len(pos), np.int32))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc + i)), *arrays], names=["doc", "m", "c", "start", "r"])
 

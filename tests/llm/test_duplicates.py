@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from plinth.llm import decontaminate, graph, imatch, simhash, substrings
+from plinth.llm import decontaminate, graph, imatch, rolling, simhash, substrings
 
 SCHEMA = "doc_id bigint, text string, fp bigint, w string"
 
@@ -159,7 +159,7 @@ def test_segments_in_pieces(monkeypatch):
     assert sorted(alone) == sorted(whole)  # a segment depends on its words alone
     monkeypatch.setattr(substrings, "_PIECE", 64)
     monkeypatch.setattr(substrings, "_TEXT", 50)
-    monkeypatch.setattr(substrings, "_tables", {})
+    monkeypatch.setattr(rolling, "_tables", {})
     g, again, parts = cut(texts)
     assert (g == h).all() and (again == first).all()
     covered = lambda xs: sorted((x[0], x[3] + i, x[1]) for x in xs for i in range(x[4]))
@@ -271,7 +271,12 @@ def slow_imatch(texts, least=1 / 2000, most=0.2, subsets=32, per=2.0, seed=42):
         h = (h ^ h >> 27) * 0x94D049BB133111EB & full
         return h ^ h >> 31
 
-    own = [{xxhash.xxh64_intdigest(w.encode()) for w in re.findall(r"[^\W_]+", t.lower())} for t in texts]
+    def term(w):
+        h = sum((ord(c) + 1) * pow(imatch._BASE, i, 1 << 64) for i, c in enumerate(w)) & full
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 & full
+        return (h ^ h >> 29) + len(w) & full
+
+    own = [{term(w) for w in re.findall(r"[^\W_]+", t.lower())} for t in texts]
     count = Counter(h for hs in own for h in hs)
     band = {h for h, n in count.items() if max(1.0, least * len(texts)) <= n <= most * len(texts)}
     out = []
@@ -282,9 +287,9 @@ def slow_imatch(texts, least=1 / 2000, most=0.2, subsets=32, per=2.0, seed=42):
             continue
         parts = ""
         for j in range(subsets):
-            key = mixed((j + 1) * 0x9E3779B97F4A7C15 + seed & full)
+            key = mixed((j // 2 + 1) * 0x9E3779B97F4A7C15 + seed & full)
             level = max(0, math.floor(math.log2(len(kept) / per) + (j + 0.5) / subsets))
-            chosen = [h for h in kept if mixed(h ^ key) < 1 << (64 - level)]
+            chosen = [h for h in kept if (mixed(h ^ key) >> 32 * (j % 2) & 0xFFFFFFFF) < 1 << (32 - level)]
             data = b"".join(h.to_bytes(8, "little") for h in chosen)
             parts += f"{xxhash.xxh32_intdigest(data, seed) or 1:08x}" if chosen else "00000000"
         out.append(parts)
@@ -299,6 +304,13 @@ def test_imatch_is_the_definition(spark):
     assert [got[i] for i in range(len(texts))] == slow_imatch(texts)
 
 
+def test_terms_in_pieces_equal_whole(monkeypatch):
+    text = "The Été_x ½ 12ab 😀b, É. " * 30 + "long" * 50
+    whole = imatch.terms(text)
+    monkeypatch.setattr(imatch, "_PIECE", 7)
+    assert (imatch.terms(text) == whole).all() and len(whole) == len(set(re.findall(r"[^\W_]+", text.lower())))
+
+
 def test_imatch_takes_ids_of_any_type(spark):
     texts = [f"text number {i} of many words" for i in range(30)]
     rows = [(f"k{i:02}", t, t) for i, t in enumerate(texts)]
