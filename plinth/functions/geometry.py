@@ -92,11 +92,6 @@ def vertical_relation(a_low: Column, a_high: Column, b_low: Column, b_high: Colu
     )
 
 
-def rect_valid(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    finite = [~F.isnan(v) & (F.abs(v) < float("inf")) for v in (x0, y0, x1, y1)]
-    return F.coalesce(finite[0] & finite[1] & finite[2] & finite[3] & (x1 - x0 > TABLE_SLACK) & (y1 - y0 > TABLE_SLACK), F.lit(False))
-
-
 def rect_contains(outer: tuple, inner: tuple, slack: float = TABLE_SLACK) -> Column:
     return (inner[0] >= outer[0] - slack) & (inner[1] >= outer[1] - slack) & (inner[2] <= outer[2] + slack) & (inner[3] <= outer[3] + slack)
 

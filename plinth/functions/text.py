@@ -81,11 +81,6 @@ def is_sha256(text: Column) -> Column:
     return F.coalesce(text.rlike("^[0-9a-f]{64}$"), F.lit(False))
 
 
-def derived_id(kind: str, *parts: Column, length: int = 24) -> Column:
-    """``kind-`` and the head of the SHA-256 of the parts joined by NUL."""
-    return F.concat(F.lit(f"{kind}-"), F.substring(F.sha2(F.concat_ws("\u0000", *parts), 256), 1, length))
-
-
 def is_logical_path(path: Column, prefix: str = "", suffix: str = ".pdf") -> Column:
     """Relative POSIX path below ``prefix`` with no empty, ``.`` or ``..`` part, of the wanted suffix."""
     parts = F.split(path, "/")

@@ -134,19 +134,3 @@ def rejection_counts(rows: DataFrame, counts: str, reasons: tuple[str, ...] = RE
     found = rows.select(F.explode(counts).alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n"))
     every = rows.sparkSession.createDataFrame([(r,) for r in reasons], "reason string")
     return every.join(found, "reason", "left").fillna(0, ["n"])
-
-
-def flat_hierarchy(sidecars: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Blocks, lines and spans of page sidecars ``(page_id, text_blocks array<struct(order_index, text, bbox, lines)>)``."""
-    blocks = sidecars.select("page_id", F.explode("text_blocks").alias("b"))
-    lines = blocks.select("page_id", F.col("b.order_index").alias("block_index"), F.explode("b.lines").alias("l"))
-    spans = lines.select("page_id", "block_index", F.col("l.order_index").alias("line_index"), F.explode("l.spans").alias("s"))
-    return blocks.select("page_id", "b.order_index", "b.text", "b.bbox"), lines.select("page_id", "block_index", "l.order_index", "l.text", "l.bbox"), spans.select("page_id", "block_index", "line_index", "s.*")
-
-
-def hierarchy_problems(blocks: DataFrame, lines: DataFrame, spans: DataFrame) -> DataFrame:
-    """Blocks whose text is not their lines joined by line feeds, lines whose text is not their spans in order."""
-    inside = lambda rows, keys, glue: rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order_index", "text"))), lambda x: x["text"]), glue).alias("built"))
-    a = blocks.withColumnRenamed("order_index", "block_index").join(inside(lines, ["page_id", "block_index"], "\n"), ["page_id", "block_index"], "left").filter(~F.col("text").eqNullSafe(F.coalesce("built", F.lit(""))))
-    b = lines.withColumnRenamed("order_index", "line_index").join(inside(spans, ["page_id", "block_index", "line_index"], ""), ["page_id", "block_index", "line_index"], "left").filter(~F.col("text").eqNullSafe(F.coalesce("built", F.lit(""))))
-    return a.select("page_id", "block_index", F.lit(None).cast("int").alias("line_index"), F.lit("block_text").alias("rule")).unionByName(b.select("page_id", "block_index", F.col("line_index").cast("int").alias("line_index"), F.lit("line_text").alias("rule")))

@@ -42,7 +42,3 @@ def rules(rows: DataFrame, broken: dict[str, Column], table: str, ident: str) ->
 
 def all_of(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
-
-
-def orphans(children: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
-    return children.join(parents.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
