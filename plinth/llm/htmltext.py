@@ -19,7 +19,6 @@ from random import Random
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 _TAG = re.compile(r"</?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>")
 #: A tag that ends at the first ``>``, quoted or not.
