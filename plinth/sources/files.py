@@ -44,3 +44,21 @@ def replace(spark: SparkSession, path: str, text: str) -> None:
 
 def delete(spark: SparkSession, path: str) -> None:
     _system(spark, path).delete(_path(spark, path), True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    if not _system(spark, source).rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    at = _system(spark, target)
+    at.mkdirs(_path(spark, target).getParent())
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(_system(spark, source), _path(spark, source), at, _path(spark, target), False, spark._jsc.hadoopConfiguration())
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file; false if there is one."""
+    at = _system(spark, path)
+    at.mkdirs(_path(spark, path).getParent())
+    return at.createNewFile(_path(spark, path))
