@@ -134,3 +134,11 @@ def rejection_counts(rows: DataFrame, counts: str, reasons: tuple[str, ...] = RE
     found = rows.select(F.explode(counts).alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n"))
     every = rows.sparkSession.createDataFrame([(r,) for r in reasons], "reason string")
     return every.join(found, "reason", "left").fillna(0, ["n"])
+
+
+def extraction(has_drawing: Column, failed: Column, candidates: Column, accepted: Column) -> Column:
+    """``struct(status, candidate_count, accepted_count, rejected_count)`` of a page's table extraction: only pages with
+    a line or rectangle are looked at, and a failure leaves no candidates behind."""
+    status = F.when(has_drawing & failed, "extraction_error").when(has_drawing & (candidates > 0), "completed").otherwise("no_candidates")
+    n, a = F.when(status == "completed", candidates).otherwise(0), F.when(status == "completed", accepted).otherwise(0)
+    return F.struct(status.alias("status"), n.alias("candidate_count"), a.alias("accepted_count"), (n - a).alias("rejected_count"))
