@@ -91,3 +91,49 @@ def markdown_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = c.select(F.col("conv_id").cast("string").alias("document_id"), F.lit("f").alias("source_file"), F.lit("s").alias("source_sha256"), (F.col("turn") + 1).alias("page"), F.array(F.struct("text")).alias("text_blocks"))
     body = F.when(F.col("path").endswith("index.md"), F.regexp_replace("text", "^# f\n\n", "")).otherwise(F.regexp_replace("text", "(?s)^---\n.*?\n---\n\n", ""))
     return project.markdown(rows).select("path", F.length(body).cast("bigint").alias("body"))
+
+
+def _sidecars(b: Bridge) -> DataFrame:
+    """Orders as one-page documents: a line per line item, two spans a line; some numbers, texts and boxes are wrong."""
+    line, q = b.raw("lineitem"), F.col("l_quantity")
+    box = F.array(*[F.lit(float(v)) for v in (0, 0, 9, 9)])
+    none = [F.lit(None).cast("string").alias("font_name"), F.lit(None).cast("double").alias("font_size"), F.lit(None).cast("bigint").alias("font_flags")]
+    span = lambda i, t: F.struct(F.lit(i).cast("bigint").alias("order_index"), F.col(t).alias("text"), box.alias("bbox"), F.when(q == 3, "guess").otherwise(project.EMBEDDED).alias("provenance"), *none)
+    text = F.when(q == 7, "?").otherwise(F.concat("l_returnflag", "l_linestatus"))
+    rows = line.select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", text.alias("text"), q.alias("q"), F.array(span(0, "l_returnflag"), span(1, "l_linestatus")).alias("spans")).alias("x"))
+    rows = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x"), lambda a, b: F.when(F.struct(a["l_linenumber"], a["l_partkey"], a["l_suppkey"]) < F.struct(b["l_linenumber"], b["l_partkey"], b["l_suppkey"]), -1).otherwise(1)).alias("xs"))
+    lines = F.transform("xs", lambda x, i: F.struct((i + F.when(x["q"] == 5, 1).otherwise(0)).cast("bigint").alias("order_index"), x["text"].alias("text"), box.alias("bbox"), F.lit(project.EMBEDDED).alias("provenance"), x["spans"].alias("spans")))
+    o = b.raw("orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"))
+    whole = F.when(F.col("o_orderpriority") == "5-LOW", "x").otherwise(F.array_join(F.transform("xs", lambda x: x["text"]), "\n"))
+    block = F.struct(F.lit(0).cast("bigint").alias("order_index"), whole.alias("text"), box.alias("bbox"), F.lit(project.EMBEDDED).alias("provenance"), lines.alias("lines"))
+    return o.select(
+        F.concat(F.lit("doc-"), F.col("o_orderkey").cast("string")).alias("document_id"), F.lit("f").alias("source_file"), F.when(F.col("o_totalprice") > 450000, "0").otherwise("s").alias("source_sha256"), F.when(F.col("o_orderstatus") == "P", 2).otherwise(1).cast("bigint").alias("page"), box.alias("media_box"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.array(*[F.lit(float(v)) for v in (0, 0, -1, 1)])).otherwise(box).alias("crop_box"), F.when(F.col("o_orderpriority") == "2-HIGH", "up").otherwise(project.SPACE).alias("coordinate_space"), F.array(block).alias("text_blocks"),
+    )
+
+
+@query("sidecar_rules", """
+WITH i AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS li FROM lineitem),
+o AS (SELECT *, 'doc-' || o_orderkey || '/' || CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS pl FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)), j AS (SELECT i.*, o.pl FROM i JOIN o ON l_orderkey = o_orderkey)
+SELECT 'identity' AS rule, pl AS id FROM o WHERE o_totalprice > 450000 UNION ALL SELECT 'page', pl FROM o WHERE o_orderstatus = 'P' UNION ALL SELECT 'space', pl FROM o WHERE o_orderpriority = '2-HIGH' UNION ALL SELECT 'crop_box', pl FROM o WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'page_count', 'doc-' || o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT 'b_text', pl || '/0' FROM o WHERE o_orderpriority = '5-LOW' UNION ALL SELECT 'l_order', pl || '/0/' || li FROM j WHERE l_quantity = 5 UNION ALL SELECT 'l_text', pl || '/0/' || li FROM j WHERE l_quantity = 7
+UNION ALL SELECT 's_provenance', pl || '/0/' || li || '/' || s FROM j, (VALUES (0), (1)) v(s) WHERE l_quantity = 3""")
+def sidecar_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of page sidecars that the derived ones break; orders without lines lack their page."""
+    b = Bridge(spark, sf_dir)
+    docs = b.raw("orders").select(F.concat(F.lit("doc-"), F.col("o_orderkey").cast("string")).alias("document_id"), F.lit("f").alias("source_file"), F.lit("s").alias("source_sha256"), F.lit(1).cast("bigint").alias("page_count"))
+    rows = _sidecars(b).withColumn("table_extraction", F.lit(None).cast(project._EXTRACTION)).withColumn("tables", F.array().cast(f"array<{project._TABLE}>"))
+    return project.sidecar_problems(rows, docs)
+
+
+@query("project_lines", """
+SELECT count(*) AS lines, CAST(sum(length(CASE WHEN l_quantity = 7 THEN '?' ELSE l_returnflag || l_linestatus END)) AS BIGINT) AS chars, (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS pages FROM lineitem""")
+def project_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store tables of all those documents at once, counted; ids are distinct."""
+    b = Bridge(spark, sf_dir)
+    pages_ = _sidecars(b).withColumns({"width_points": F.lit(612.0), "height_points": F.lit(792.0), "rotation": F.lit(0).cast("bigint")})
+    docs = pages_.select("document_id", "source_file", "source_sha256")
+    made = project.records(pages_.withColumn("source_file", F.col("document_id")), docs, "1")
+    lines = made["pdf_text_lines"].agg(F.countDistinct("id").alias("lines"), F.sum(F.length("text")).alias("chars"))
+    return lines.join(made["pdf_pages"].agg(F.countDistinct("id").alias("pages")))
