@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, warc
+from plinth.llm import centroids, decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -52,6 +52,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc_capture_index": op2_warc_capture_index,
@@ -63,9 +67,11 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontaminate.ORACLE,
     "op9_sharding": sharding.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
+    "op11_centroid_clustering": centroids.oracle(),
 }
