@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import centroids, decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, warc
+from plinth.llm import centroids, decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, trie, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -56,6 +56,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.digest(read(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.digest(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc_capture_index": op2_warc_capture_index,
@@ -68,10 +72,12 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontaminate.ORACLE,
     "op9_sharding": sharding.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
     "op11_centroid_clustering": centroids.oracle(),
+    "op13_conversation_trie": trie.ORACLE,
 }
