@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plinth.llm import centroids, decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, trie, warc
+from plinth.llm import centroids, decontaminate, htmltext, imatch, langid, mixing, quality, sharding, substrings, tokenfiles, trie, warc
 from plinth.llm.common import read
 from plinth.llm.simhash import near_duplicates
 
@@ -56,6 +56,12 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.digest(read(spark, sf_dir, "embeddings"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenfiles.digest(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.digest(read(spark, sf_dir, "conversations"))
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_token_files": op12_token_files,
     "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLES: dict[str, str] = {
