@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Operations an evaluation case may name (fixed values).
-OPERATIONS = ("search_semantic_entities", "semantic_discovery_context", "get_architectural_evidence_context", "get_semantic_spatial_context", "get_drawing_reference", "search_text", "search_pdf_text")
-
-
 def ranks(results: DataFrame, order: list[Column]) -> DataFrame:
     """Positions from 1 per case."""
     return results.withColumn("position", F.row_number().over(Window.partitionBy("case_id").orderBy(*order)))
 
 
-def ranking(positions: DataFrame, relevant: DataFrame, cases: DataFrame, limit: int, ks: tuple[int, ...] = (1, 5, 10)) -> DataFrame:
-    """First relevant position per case, hit@k (null where the limit is below k) and reciprocal rank (0 for a miss)."""
+def ranking(positions: DataFrame, relevant: DataFrame, cases: DataFrame, limit: int | Column, ks: tuple[int, ...] = (1, 5, 10)) -> DataFrame:
+    """First relevant position per case, hit@k (null where the limit, a number or a column of the cases, is below k) and
+    reciprocal rank (0 for a miss)."""
+    limit = F.lit(limit) if isinstance(limit, int) else limit
     first = positions.join(relevant, ["case_id", "result_id"], "left_semi").groupBy("case_id").agg(F.min("position").alias("first"))
-    out = cases.select("case_id").join(first, "case_id", "left")
-    hits = [(F.coalesce(F.col("first") <= k, F.lit(False)) if limit >= k else F.lit(None).cast("boolean")).alias(f"hit_{k}") for k in ks]
+    out = cases.join(first, "case_id", "left")
+    hits = [F.when(limit >= k, F.coalesce(F.col("first") <= k, F.lit(False))).alias(f"hit_{k}") for k in ks]
     return out.select("case_id", "first", *hits, F.coalesce(1 / F.col("first"), F.lit(0.0)).alias("reciprocal_rank"))
 
 

@@ -10,7 +10,7 @@ import __spark_entry__
 from plinth import evaluation
 from plinth.__main__ import typed
 from plinth.api import Knowledge
-from plinth.operators import evaluation as metrics
+from plinth.operators import payload
 from plinth.sources import project
 from plinth.sources.store import Store, StoreError, from_records, read_snapshot, text_records, verify_sources
 from plinth.streaming.windows import event_rates
@@ -137,22 +137,46 @@ def test_evaluation_of_a_suite(core):
         case("c", "search_text", {"query": "機械室", "limit": 5}, {"source_references": [{"kind": "space", "id": "s1"}], "status": "returned"}),
         case("d", "get_drawing_reference", {"reference_id": "none"}, {"status": "not_found"}),
     ]}
-    a, b, c, d = evaluation.run_suite(core, suite)
-    assert a["state"]["status"] == "pass" and a["ranking"]["reciprocal_rank"] == 1 and a["fields"]["semantic_entity_ids"] == "hit" and a["fields"]["bbox"] == "not_applicable"
-    assert b["state"]["status"] == "pass" and b["evidence"]["recall"] == 1 and [x["status"] for x in b["checks"]] == ["pass", "pass", "fail"] and b["checks"][2]["reason"] == "path_missing"
-    assert c["ranking"]["hit_at_1"] is True and c["ranking"]["hit_at_10"] is None and d["state"]["status"] == "pass"
-    results = {x["case_id"]: evaluation.run_case(core, x) for x in suite["cases"]}
-    ranked = metrics.ranking(*evaluation.positions(core.store.spark, suite, results), 10).filter("case_id in ('a', 'c')").collect()
-    assert all(r.reciprocal_rank == 1 for r in ranked)
-    for bad in ({"case_id": " "}, {"extra": 1}, {"baseline": {"operation": "drop", "arguments": {}}}, {"expected": {"pdf_pages": [0]}}, {"expected": {"checks": [{"path": [-1], "equals": 1}]}}, {"expected": {"evidence": [{"bbox": [0, 0, 1, 1]}]}}):
-        with pytest.raises(evaluation.EvaluationError):
-            evaluation.validate_case(suite["cases"][0] | bad)
-    with pytest.raises(evaluation.EvaluationError):
-        evaluation.validate_suite(suite | {"cases": suite["cases"] + suite["cases"][:1]})
-    for text in ('{"a": 1, "a": 2}', '{"a": NaN}', '{"a": 1e999}'):
-        with pytest.raises(evaluation.EvaluationError):
-            evaluation.read_json(text)
-    assert evaluation.same(1, 1.0) and not evaluation.same(True, 1) and evaluation.covers({"a": {"b": 1, "c": 2}}, {"a": {"b": 1}}) and not evaluation.covers({"a": [1, 2]}, {"a": [1]}) and evaluation.distinct([{"a": 1, "b": 2}, {"b": 2, "a": 1}]) == [{"a": 1, "b": 2}]
+    got = {name: df.collect() for name, df in evaluation.evaluate(core, json.dumps(suite)).items()}
+    state = {r.case_id: r.state for r in got["status"]}
+    field = {(r.case_id, r.field): r.state for r in got["fields"]}
+    rank = {r.case_id: r for r in got["ranking"]}
+    assert state == {"a": "pass", "b": "pass", "c": "pass", "d": "pass"}
+    assert field["a", "semantic_entity_ids"] == "hit" and field["a", "bbox"] == "not_applicable" and field["c", "source_references"] == "hit" and field["b", "pdf_pages"] == "hit" and field["d", "view_ids"] == "not_applicable"
+    assert [(r.case_id, r.recall) for r in got["evidence"]] == [("b", 1)]
+    assert [(r.status, r.reason) for r in sorted(got["checks"], key=lambda r: r.check)] == [("pass", None), ("pass", None), ("fail", "path_missing")]
+    assert set(rank) == {"a", "c"} and rank["a"].reciprocal_rank == 1 and rank["c"].hit_1 is True and rank["c"].hit_10 is None and rank["a"].hit_10 is True
+    for text in ('{"a": 1, "a": 2}', '{"a": NaN}', '{"a": 1e999}', json.dumps(suite | {"version": 2}), json.dumps(suite | {"cases": suite["cases"] + suite["cases"][:1]})):
+        with pytest.raises(ValueError):
+            evaluation.suite_cases(core.store.spark, text)
+
+
+def test_every_breach_of_cases_is_told(spark):
+    good = {"case_id": "a", "baseline": {"operation": "search_text", "arguments": {"query": ""}}, "expected": {"checks": [{"path": ["a", 0], "contains": {"free": [{"of": None}]}}], "pdf_pages": [2], "evidence": [{"evidence_id": "e"}]}}
+    run = lambda op, **a: {"baseline": {"operation": op, "arguments": a}}
+    want = lambda **x: {"expected": x}
+    bad = [
+        ({"case_id": " "}, "not words"), ({"extra": 1}, "unknown field"), (run("drop"), "not operation"), (run("search_text"), "lacks an argument"), (run("search_text", query="q", entity_class="x"), "has an argument of another operation"), (run("search_text", query="q", limit=0), "not limit"),
+        (want(pdf_pages=[0]), "not page"), (want(pdf_pages=[True]), "not page"), (want(checks=[{"path": [-1], "equals": 1}]), "not step"), (want(checks=[{"path": []}]), "not one of equals and contains"), (want(evidence=[{"bbox": [0, 0, 1, 1]}]), "names no evidence, source or page"),
+        (want(evidence=[{"evidence_id": "e", "bbox": [0, 0, 1, 1]}]), "a box without page and coordinate space"), (want(evidence=[{"evidence_id": "e", "bbox": [2, 0, 1, 1]}]), "not box"), (want(source_references=[{"kind": "k"}]), "lacks id"), (want(status=3), "not words"),
+    ]
+    rows = [("good", json.dumps(good)), ("text", "{"), *[(f"b{i}", json.dumps(good | {"case_id": f"b{i}"} | x)) for i, (x, _) in enumerate(bad)]]
+    found = {}
+    for r in evaluation.breaches(spark.createDataFrame(rows, "case string, json string")).collect():
+        found.setdefault(r["case"], set()).add(r["rule"])
+    assert "good" not in found and found["text"] == {"not strict JSON"}
+    for i, (_, rule) in enumerate(bad):
+        assert rule in found[f"b{i}"], (i, rule, found[f"b{i}"])
+
+
+def test_cells_compare_by_value_and_selectors_are_partial(spark):
+    df = spark.createDataFrame([("x", '{"l": [{"a": {"b": 1.0, "c": 2}}, {"a": {"b": true}}, {"a": [1]}, {"a": {}}], "1": null}')], "case_id string, payload string")
+    rows = payload.cells(df, "case_id", "payload")
+    got = {"".join(r["path"]): (r["kind"], r["value"]) for r in rows.collect()}
+    assert got[".l#0.a.b"] == ("number", "1") and got[".l#1.a.b"] == ("boolean", "true") and got[".1"] == ("null", "null")
+    bases = spark.createDataFrame([("x", i, [".l"]) for i in range(3)], "case_id string, check int, path array<string>")
+    wanted = spark.createDataFrame([("x", 0, [".a", ".b"], "integer", "1"), ("x", 1, [".a"], "object", "{}"), ("x", 2, [".a"], "array", "[1]")], "case_id string, check int, rel array<string>, kind string, value string")
+    assert sorted((r["check"], r["item"]) for r in payload.holding(rows, "case_id", bases, wanted).collect()) == [(0, "#0"), (1, "#0"), (1, "#1"), (1, "#3"), (2, "#2")]
 
 
 def sidecar(name, page, words, table=False):
