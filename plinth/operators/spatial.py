@@ -22,11 +22,11 @@ def _level(cell: float) -> Column:
 
 
 def _cells(cell: float) -> Column:
-    """Places ``(level, cx, cy, cz)`` of a box on every level of ``levels`` from its own on: at most two an axis."""
+    """Places ``(level, cx, cy, cz)`` of a box on every level of ``levels``: at most two an axis from its own level on."""
     size = lambda at: F.lit(cell) * F.pow(F.lit(2.0), at)
     axis = lambda c, at: F.sequence(F.floor(F.col(f"min_{c}") / size(at)), F.floor(F.col(f"max_{c}") / size(at)))
     on = lambda at: F.flatten(F.transform(axis("x", at), lambda x: F.flatten(F.transform(axis("y", at), lambda y: F.transform(axis("z", at), lambda z: F.struct(at.alias("level"), x.alias("cx"), y.alias("cy"), z.alias("cz")))))))
-    return F.flatten(F.transform(F.filter("levels", lambda at: at >= F.col("own")), on))
+    return F.flatten(F.transform("levels", on))
 
 
 def usual_extent(rows: DataFrame) -> float:
@@ -38,26 +38,43 @@ def box_join(left: DataFrame, right: DataFrame, cell: float, same: tuple[str, ..
     """Pairs of rows whose boxes overlap (inclusive) and whose ``same`` columns are equal, null included, each pair once;
     columns prefixed ``l_`` and ``r_``.
 
-    Boxes are listed in a grid of levels, each on the first level whose cells are as large as itself and on all coarser
-    ones in use, so that no box has more than eight cells a level, however large it is. A pair meets on the coarser
-    level of the two and counts only in the first cell both share, so nothing has to be deduplicated after the equi
-    join. Choose ``cell`` near the usual extent of a box.
+    Boxes live in a grid of levels, each on the first level whose cells are as large as itself. A pair meets on the coarser
+    level of the two, in one of two equi joins: boxes of the left on their own level with boxes of the right as fine or
+    finer, or boxes of the right on their own level with finer ones of the left. A side is listed only on levels that the other
+    one lives on, at most eight cells each, so a box of any size costs what it touches. A pair counts only in the first cell both
+    share, so nothing has to be deduplicated. Choose ``cell`` near the usual extent of a box.
     """
-    used = left.select(_level(cell).alias("k")).unionByName(right.select(_level(cell).alias("k"))).filter("k is not null").distinct().collect()  # tens at most
-    levels = F.array(*[F.lit(k) for k in sorted(r["k"] for r in used)]) if used else F.array().cast("array<int>")
+    pairs = _meetings(left, right, cell, same).filter(boxes_touch("l_", "r_"))
+    for axis in "xyz":
+        pairs = pairs.filter(F.col(f"c{axis}") == F.floor(F.greatest(f"l_min_{axis}", f"r_min_{axis}") / (F.lit(cell) * F.pow(F.lit(2.0), F.col("level")))))
+    return pairs.drop(*_PLACE, *[f"same{i}" for i in range(len(same))])
+
+
+_PLACE = ["level", "cx", "cy", "cz"]
+
 
-    def listed(rows: DataFrame, p: str) -> DataFrame:
+def _meetings(left: DataFrame, right: DataFrame, cell: float, same: tuple[str, ...]) -> DataFrame:
+    """Pairs that share a cell of the level they are compared on, once for each such cell."""
+    lives = lambda rows: sorted(r["k"] for r in rows.select(_level(cell).alias("k")).filter("k is not null").distinct().collect())  # noqa: E731  tens at most
+
+    def listed(rows: DataFrame, p: str, levels: Column) -> DataFrame:
         rows = rows.withColumn("own", _level(cell)).withColumn("levels", levels)
         kept = [c for c in rows.columns if c not in ("own", "levels")]
         # structs are equal if both hold null
         alike = [F.struct(F.col(c).alias("v")).alias(f"same{i}") for i, c in enumerate(same)]
-        return rows.select(F.explode(_cells(cell)).alias("at"), *alike, F.col("own").alias(f"own_{p}"), *[F.col(c).alias(f"{p}_{c}") for c in kept]).select("at.*", "*").drop("at")
-
-    keys = ["level", "cx", "cy", "cz", *[f"same{i}" for i in range(len(same))]]
-    pairs = listed(left, "l").join(listed(right, "r"), keys).filter((F.greatest("own_l", "own_r") == F.col("level")) & boxes_touch("l_", "r_"))
-    for axis in "xyz":
-        pairs = pairs.filter(F.col(f"c{axis}") == F.floor(F.greatest(f"l_min_{axis}", f"r_min_{axis}") / (F.lit(cell) * F.pow(F.lit(2.0), F.col("level")))))
-    return pairs.drop(*keys, "own_l", "own_r")
+        return rows.select(F.explode(_cells(cell)).alias("at"), *alike, *[F.col(c).alias(f"{p}_{c}") for c in kept]).select("at.*", "*").drop("at")
+
+    def on(levels: list[int], finer: bool) -> Column:
+        of = F.array(*map(F.lit, levels)).cast("array<int>")
+        return F.filter(of, lambda k: k > F.col("own")) if finer else F.filter(of, lambda k: k >= F.col("own"))
+
+    own = F.when(F.col("own").isNotNull(), F.array("own"))
+    keys = [*_PLACE, *[f"same{i}" for i in range(len(same))]]
+    at_left, at_right = lives(left), lives(right)
+    pairs = listed(left, "l", own).join(listed(right, "r", on(at_left, False)), keys)
+    if any(k > min(at_left, default=0) for k in at_right):
+        pairs = pairs.unionByName(listed(left, "l", on(at_right, True)).join(listed(right, "r", own), keys))
+    return pairs
 
 
 def candidates(geometries: DataFrame, bounds: tuple[float, float, float, float, float, float]) -> DataFrame:

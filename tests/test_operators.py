@@ -150,6 +150,17 @@ def test_grid_join_is_exact_and_not_nested(spark):
         spatial.candidates(boxes, (1, 0, 0, 1, 0, 1))
 
 
+def test_large_boxes_do_not_bring_small_ones_together(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, *[v for _ in range(3) for v in (lambda a: (a, a + 10.0))(rng.uniform(0, 500))]) for i in range(4000)]
+    rows += [(10_000 + i, *[v for _ in range(3) for v in (float(i), 520.0)]) for i in range(3)]
+    boxes = spark.createDataFrame(rows, "id int, min_x double, max_x double, min_y double, max_y double, min_z double, max_z double")
+    met, found = spatial._meetings(boxes, boxes, 10.0, ()).count(), spatial.box_join(boxes, boxes, 10.0).count()
+    assert found > 4000 * 3 * 2 and met < 8 * found  # 4000 small boxes in one cell of the coarse level would meet 16 million times
+
+
 def test_location_statuses(spark):
     rows = [("p", "a", None, "point", '{"point":[0,0,0]}'), ("q", "b", None, "point", '{"point":[0,0,0]}'), ("r", "b", None, "line", '{"start":[0,0,0],"end":[1,0,0]}'), ("s", "c", None, "bbox3d", "{}"), ("t", "d", "l1", "point", '{"point":[0,0,0]}'), ("u", "d", "l2", "point", '{"point":[9,0,0]}')]
     frame = spark.createDataFrame([(i, "element", e, k, g, j, "host", "mm") for i, e, k, g, j in rows], "id string, entity_kind string, entity_id string, link_instance_id string, geometry_type string, geometry_json string, coordinate_system string, unit string")
