@@ -27,7 +27,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read(spark: SparkSession, path: str) -> str:
-    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    """The text of a file of any name; Spark's readers pass over those that begin with a point."""
+    stream = _system(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def replace(spark: SparkSession, path: str, text: str) -> None:
@@ -51,6 +56,17 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """A rename that makes the folders above its target."""
+    _system(spark, target).mkdirs(_path(spark, target).getParent())
+    rename(spark, source, target)
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 of a file's last change."""
+    return _system(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000
+
+
 def copy(spark: SparkSession, source: str, target: str) -> None:
     at = _system(spark, target)
     at.mkdirs(_path(spark, target).getParent())

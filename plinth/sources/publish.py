@@ -3,6 +3,8 @@ stores by content."""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
@@ -30,22 +32,66 @@ def recover(spark: SparkSession, root: str) -> bool:
     return True
 
 
-def publish(spark: SparkSession, staged: str, root: str, day: str, keep_days: int | None = None) -> list[str]:
+def open_latest(spark: SparkSession, root: str) -> Store:
+    """The latest store, or the one set aside while or since a publication was interrupted between its two renames."""
+    there = [n for n in ("latest", ".previous") if files.exists(spark, f"{root}/{n}")]
+    if not there:
+        raise StoreError(f"nothing is published below {root}")
+    return Store.open(spark, f"{root}/{there[0]}")
+
+
+class Lease:
+    """The right to publish below a folder: a file with its owner and the time it was taken or renewed.
+
+    A process that dies leaves its file behind; after ``stale_seconds`` without renewal the next one sets the file aside, which
+    only one can, and takes the lease. An owner that was overtaken learns of it at its next renewal and stops.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, stale_seconds: float) -> None:
+        self.spark, self.path, self.stale, self.owner = spark, f"{root}/.lock", stale_seconds, uuid.uuid4().hex
+        if not files.claim(spark, self.path):
+            if time.time() - files.modified(spark, self.path) < stale_seconds:
+                raise StoreError("another publication is running")
+            try:
+                files.rename(spark, self.path, f"{root}/.lock-{self.owner}")
+            except OSError:
+                raise StoreError("another publication is running") from None
+            files.delete(spark, f"{root}/.lock-{self.owner}")
+            if not files.claim(spark, self.path):
+                raise StoreError("another publication is running")
+        files.replace(spark, self.path, self.owner)
+
+    def renew(self) -> None:
+        if not files.exists(self.spark, self.path) or files.read(self.spark, self.path) != self.owner:
+            raise StoreError("another publication took over")
+        files.replace(self.spark, self.path, self.owner)
+
+    def release(self) -> None:
+        if files.exists(self.spark, self.path) and files.read(self.spark, self.path) == self.owner:
+            files.delete(self.spark, self.path)
+
+
+def publish(spark: SparkSession, staged: str, root: str, day: str, keep_days: int | None = None, stale_seconds: float = 6 * 3600) -> list[str]:
     """Makes the store at ``staged`` the latest below ``root`` and keeps a copy under its day; returns what retention
     removed.
 
     A second publication at the same time is refused, as is a store that breaks a rule. If anything fails after the old
-    store was set aside, it is put back.
+    store was set aside, it is put back; if the process dies at any step, the next publication does that and goes on.
+    ``stale_seconds`` must be more than the longest step (checking or copying a store) takes.
     """
-    if not files.claim(spark, f"{root}/.lock"):
-        raise StoreError("another publication is running")
+    lease = Lease(spark, root, stale_seconds)
     try:
         recover(spark, root)
         bad = integrity.first(Store.open(spark, staged).violations())
         if bad:
             raise StoreError(f"{bad['rule']} in {bad['table_name']} at {bad['id']}")
+        lease.renew()
+        # a copy has its name only when it is whole
+        files.delete(spark, f"{root}/.copy")
+        files.copy(spark, staged, f"{root}/.copy")
+        lease.renew()
         files.delete(spark, f"{root}/archive/{day}")
-        files.copy(spark, staged, f"{root}/archive/{day}")
+        files.move(spark, f"{root}/.copy", f"{root}/archive/{day}")
         files.delete(spark, f"{root}/.previous")
         aside = files.exists(spark, f"{root}/latest")
         if aside:
@@ -67,7 +113,7 @@ def publish(spark: SparkSession, staged: str, root: str, day: str, keep_days: in
             files.delete(spark, f"{root}/archive/{name}")
         return gone
     finally:
-        files.delete(spark, f"{root}/.lock")
+        lease.release()
 
 
 def cached(spark: SparkSession, folder: str, key: str, build: Callable[[], Store]) -> Store:
