@@ -39,9 +39,11 @@ _PIECE = 1 << 20
 #: Fixed values of the format: skippable frames of chunks, documents and padding.
 _CHUNK, _DOCUMENT, _PAD = 0x184D2A50, 0x184D2A51, 0x184D2A52
 _HEAD, _DOC = "<II", "<qBQQ"
-#: A word of Latin letters, perhaps with marks behind it: the tokenizer's normal form of it is its lower case, and its
-#: parts are the letters and the marks.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Characters that the steps before the vocabulary model change in nothing but case: visible ASCII but the apostrophe, which
+#: can join letters, and the letters of Latin-1; white space. Parts of text of these: letters, a digit, or marks.
+_ODD = re.compile(r"[^\t-\r -&(-~À-ÖØ-öø-ÿ]").search
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+_WORDS = re.compile(r"[^\t-\r ]+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,77 +53,73 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Known(dict):
+    """Serialized ids by part, asked for once; all are forgotten when there are ``most``, so that memory is bounded."""
+
+    def __init__(self, ask: Callable[[str], bytes], most: int) -> None:
+        self.ask, self.most = ask, most
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        ids = self[part] = self.ask(part)
+        return ids
+
+
 class Encoder:
-    """Serialized ids of texts.
+    """Serialized ids of texts; strings that look like special tokens are text like any other.
 
-    A tokenizer that drops white space gives a text the ids of its words, one after another. Such a tokenizer is
-    asked once for each distinct word (``most_words`` are remembered); for plain Latin words only its vocabulary model is asked, as
-    what comes before that changes nothing but case in them. Any other tokenizer is asked for whole texts.
+    A tokenizer that drops white space gives a text the ids of its words, one after another. Of such a tokenizer only
+    the vocabulary model is asked for the parts of plain words, as its other steps change nothing but case in them, and
+    only once for each of ``most`` remembered parts; for other words all its steps are. Any other tokenizer is asked for whole texts.
     """
 
-    def __init__(self, spec: str, end: int | None, special_as_text: bool = True, most_words: int = 400_000) -> None:
+    def __init__(self, spec: str, end: int | None, most: int = 300_000) -> None:
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = special_as_text
+        self.tokenizer.encode_special_tokens = True
         size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), (end or 0) + 1)
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.end = b"" if end is None else np.array([end], self.kind).tobytes()
-        self.by_word, self.most_words = _drops_space(json.loads(spec)), most_words
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.letters = {ord(chr(b)): x for b, x in _byte_letters().items()}
+        self.end = b"" if end is None else self._ids([end])
+        self.by_word, letters = _drops_space(json.loads(spec)), _byte_letters()
+        model = self.tokenizer.model
+        shown = lambda part: part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+        self.parts = _Known(lambda part: self._ids([t.id for t in model.tokenize(shown(part))]), most)
+        self.words = _Known(self.whole, most // 10)
 
     def _ids(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            found = self.parts[part] = self._ids([t.id for t in self.tokenizer.model.tokenize(shown)])
-        return found
-
-    def _learn(self, words: set[bytes]) -> None:
-        odd: list[str] = []
-        for raw in words:
-            word = raw.decode()
-            plain = _PLAIN.fullmatch(word)
-            if plain is None:
-                odd.append(word)
-                continue
-            letters, marks = plain.groups()
-            self.words[raw] = self._part(letters.lower()) + (self._part(marks) if marks else b"")
-        for word, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            self.words[word.encode()] = self._ids(e.ids)
+    def whole(self, text: str) -> bytes:
+        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Ids of each UTF-8 text, whole, with the end id."""
+    def __call__(self, text: str) -> bytes:
+        """Ids of the whole text, with the end id."""
         if not self.by_word:
-            for text in texts:
-                yield self._ids(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids) + self.end
-            return
-        for text in texts:
-            out = []
-            for piece in _pieces(text):
-                words = piece.split()
-                fresh = set(words).difference(self.words)
-                if fresh:
-                    if len(self.words) + len(fresh) > self.most_words:
-                        self.words, self.parts, fresh = {}, {}, set(words)
-                    self._learn(fresh)
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            yield b"".join(out) + self.end
-
-
-def _pieces(text: bytes) -> Iterator[bytes]:
+            return self.whole(text) + self.end
+        out, part = [], self.parts.__getitem__
+        for piece in _pieces(text):
+            if _ODD(piece) is None:
+                out += map(part, _PARTS(piece.lower()))
+                continue
+            for word in _WORDS(piece):
+                if _ODD(word) is None:
+                    out += map(part, _PARTS(word.lower()))
+                else:
+                    out.append(self.words[word])
+        out.append(self.end)
+        return b"".join(out)
+
+
+def _pieces(text: str) -> Iterator[str]:
     """A text in pieces of about a megabyte that end before ASCII white space."""
-    start = 0
+    start, gap = 0, re.compile(r"[\t-\r ]")
     while len(text) - start > _PIECE:
-        gap = re.compile(rb"[\x20\x09-\x0D]").search(text, start + _PIECE)
-        if gap is None:
+        found = gap.search(text, start + _PIECE)
+        if found is None:
             break
-        yield text[start : gap.start()]
-        start = gap.start()
+        yield text[start : found.start()]
+        start = found.start()
     yield text[start:] if start else text
 
 
@@ -141,20 +139,26 @@ def _drops_space(spec: dict) -> bool:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(spec: str, end: int | None, special_as_text: bool) -> Encoder:
+def _encoder(spec: str, end: int | None) -> Encoder:
     """The worker's own encoder, kept from task to task."""
-    key = (hashlib.sha256(spec.encode()).digest(), end, special_as_text)
+    key = (hashlib.sha256(spec.encode()).digest(), end)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(spec, end, special_as_text)
+        _encoders[key] = Encoder(spec, end)
     return _encoders[key]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def train_dictionary(docs: DataFrame, spec, end: int | None, special_as_text: bool = True, sample_docs: int = 2000, most_bytes: int = 16_384, size: int = 65_536, text_col: str = "text") -> bytes:
+def train_dictionary(docs: DataFrame, spec, end: int | None, sample_docs: int = 2000, most_bytes: int = 16_384, size: int = 65_536, text_col: str = "text") -> bytes:
     """A dictionary from about ``sample_docs`` rows drawn at random, of texts of at most ``most_bytes`` bytes.
 
     The driver gets their ids, ``sample_docs`` times ``most_bytes`` bytes at most or so. Where the sample is too small to train
@@ -165,10 +169,11 @@ def train_dictionary(docs: DataFrame, spec, end: int | None, special_as_text: bo
         return b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(list(_encoder(spec.value, end, special_as_text)(batch.column(0).to_pylist())), pa.binary())], names=["ids"])
+        encoder = _encoder(spec.value, end)
+        for batch in _slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(map(encoder, batch.column(0).to_pylist()), pa.binary())], names=["ids"])
 
-    drawn = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).sample(False, min(1.0, sample_docs / total), 42).filter(F.octet_length("text") <= most_bytes)
+    drawn = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).sample(False, min(1.0, sample_docs / total), 42).filter(F.octet_length("text") <= most_bytes)
     samples = sorted(r["ids"] for r in drawn.mapInArrow(run, "ids binary").collect())
     samples = [bytes(x) for x in samples if x]
     try:
@@ -185,7 +190,7 @@ def _skippable(magic: int, content: bytes) -> bytes:
     return struct.pack(_HEAD, magic, len(content)) + content
 
 
-def write(docs: DataFrame, path: str, spec: str, end: int | None = None, special_as_text: bool = True, level: int = 3, id_col: str = "doc_id", text_col: str = "text", **training) -> None:
+def write(docs: DataFrame, path: str, spec: str, end: int | None = None, level: int = 3, id_col: str = "doc_id", text_col: str = "text", **training) -> None:
     """Writes the ids of all ``docs`` below ``path``: ``ids``, ``index`` and ``dictionary``.
 
     ``spec`` is the content of a tokenizer's file, which is sent to the tasks. Ids are cast to bigint; null ids come first, rows of one id
@@ -193,14 +198,14 @@ def write(docs: DataFrame, path: str, spec: str, end: int | None = None, special
     """
     spark = docs.sparkSession
     told = spark.sparkContext.broadcast(spec)
-    trained = train_dictionary(docs, told, end, special_as_text, text_col=text_col, **training)
+    trained = train_dictionary(docs, told, end, text_col=text_col, **training)
     width = Encoder(spec, end).kind.itemsize
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, zip_ = _encoder(told.value, end, special_as_text), zstandard.ZstdCompressor(level=level, dict_data=_dictionary(trained))
-        for batch in batches:
+        encoder, zip_ = _encoder(told.value, end), zstandard.ZstdCompressor(level=level, dict_data=_dictionary(trained))
+        for batch in _slices(batches):
             n, tie, frames = [], [], []
-            for ids in encoder(batch.column(1).to_pylist()):
+            for ids in map(encoder, batch.column(1).to_pylist()):
                 n.append(len(ids) // width)
                 tie.append(int.from_bytes(hashlib.blake2b(ids, digest_size=8).digest(), "little", signed=True))
                 frames.append(zip_.compress(ids))
