@@ -237,11 +237,11 @@ class Knowledge:
         return _rows(entities.deduplicated(found, place).orderBy("document_identity", "pdf_page", "sheet_number", "view_name", "source_id"))
 
     def search_text(self, query: str, limit: int = 20) -> list[dict]:
-        return _rows(search.search_text(self._t("search_content"), query, limit).select("record_kind", "record_id", "content"))
+        return _rows(search.search_text(self._t("search_content"), query, limit, self.store.index).select("record_kind", "record_id", "content"))
 
     def search_pdf_text(self, query: str, limit: int = 20) -> list[dict]:
         blocks = self._t("search_content").filter("record_kind = 'pdf_text_block'")
-        found = documents.text_hits(search.search_text(blocks, query, limit), *[self._t(t) for t in ("pdf_text_blocks", "pdf_pages", "documents")])
+        found = documents.text_hits(search.search_text(blocks, query, limit, self.store.index, "pdf_text_block"), *[self._t(t) for t in ("pdf_text_blocks", "pdf_pages", "documents")])
         return _rows(found.orderBy("rank", "block_id").drop("rank", "path"))
 
     def search_pdf_table_cells(self, query: str, limit: int = 20) -> list[dict]:

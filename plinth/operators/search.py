@@ -1,6 +1,6 @@
 """Ranked full-text search with a substring fallback, and table-cell search.
 
-A query is words joined by AND (the default), OR and NOT, with "phrases", prefix* and parentheses. Anything else, such
+A query is words joined by AND (the default), OR and NOT, with "phrases", prefix*, NEAR(groups, 10) and parentheses. Anything else, such
 as a hyphenated code, is no valid query and goes to the fallback, as does a query that finds nothing: a substring
 search that ignores the case of A-Z only.
 """
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from plinth.functions.text import ACCENTED, PLAIN, contains_nocase, tokens
 
-_LEXEME = re.compile(r'\s+|"((?:[^"]|"")*)"(\s*\*)?|([()])|([^\W_]+)(\*)?', re.U)
+_LEXEME = re.compile(r'\s+|"((?:[^"]|"")*)"(\s*\*)?|([()])|NEAR\s*\(((?:\s|"(?:[^"]|"")*"|[^\W_]|\*)+)(?:,\s*(\d+)\s*)?\)|([^\W_]+)(\*)?', re.U)
+#: Words between the phrases of a NEAR group where none are stated (fixed value).
+NEAR_WORDS = 10
 K1, B = 1.2, 0.75
 
 
@@ -31,12 +33,20 @@ class Term:
     prefix: bool = False
 
 
+@dataclass(frozen=True)
+class Near:
+    """Phrases that all begin at most ``distance`` words after the end of the first of them."""
+
+    terms: tuple[Term, ...]
+    distance: int
+
+
 def _fold(text: str) -> tuple[str, ...]:
     return tuple(re.findall(r"[^\W_]+", text.lower().translate(str.maketrans(ACCENTED, PLAIN))))
 
 
 def parse(query: str):
-    """A tree of Term and ("and" | "or" | "not", left, right); raises QuerySyntaxError."""
+    """A tree of Term, Near and ("and" | "or" | "not", left, right); raises QuerySyntaxError."""
     at, found = 0, []
     while at < len(query):
         m = _LEXEME.match(query, at)
@@ -50,7 +60,13 @@ def parse(query: str):
         elif m[3]:
             found.append(m[3])
         elif m[4]:
-            found.append(m[4] if m[4] in ("AND", "OR", "NOT") and not m[5] else Term(_fold(m[4]), bool(m[5])))
+            inner = parse(m[4])
+            group = tuple(leaves(inner))
+            if not _all_and(inner) or any(not isinstance(t, Term) for t in group):
+                raise QuerySyntaxError(query)
+            found.append(Near(group, int(m[5] or NEAR_WORDS)) if len(group) > 1 else group[0])
+        elif m[6]:
+            found.append(m[6] if m[6] in ("AND", "OR", "NOT") and not m[7] else Term(_fold(m[6]), bool(m[7])))
     place = 0
 
     def peek():
@@ -66,7 +82,7 @@ def parse(query: str):
                 raise QuerySyntaxError(query)
             place += 1
             return tree
-        if not isinstance(x, Term):
+        if not isinstance(x, (Term, Near)):
             raise QuerySyntaxError(query)
         place += 1
         return x
@@ -82,7 +98,7 @@ def parse(query: str):
     def both():
         nonlocal place
         tree = without()
-        while isinstance(peek(), Term) or peek() in ("AND", "("):
+        while isinstance(peek(), (Term, Near)) or peek() in ("AND", "("):
             if peek() == "AND":
                 place += 1
             tree = ("and", tree, without())
@@ -102,8 +118,12 @@ def parse(query: str):
     return tree
 
 
-def leaves(tree) -> list[Term]:
-    return [tree] if isinstance(tree, Term) else list(dict.fromkeys(leaves(tree[1]) + leaves(tree[2])))
+def _all_and(tree) -> bool:
+    return not isinstance(tree, tuple) or (tree[0] == "and" and _all_and(tree[1]) and _all_and(tree[2]))
+
+
+def leaves(tree) -> list[Term | Near]:
+    return [tree] if not isinstance(tree, tuple) else list(dict.fromkeys(leaves(tree[1]) + leaves(tree[2])))
 
 
 def _count(term: Term) -> Column:
@@ -156,22 +176,34 @@ def ranked(content: DataFrame, query: str, limit: int | None) -> DataFrame:
     row comes back into the plan by broadcast), one to rank; only top rows are sorted.
     """
     tree = parse(query)
-    counted, condition = _counted(content, tree)
-    hits = counted.filter(condition).join(F.broadcast(_facts(counted)), F.lit(True))
-    found = hits.select("record_kind", "record_id", "content", _rank(len(leaves(tree))).alias("rank"))
+    if any(isinstance(x, Near) for x in leaves(tree)):
+        found = content.join(_by_position(content, tree), ["record_kind", "record_id"]).select("record_kind", "record_id", "content", "rank")
+    else:
+        counted, condition = _counted(content, tree)
+        hits = counted.filter(condition).join(F.broadcast(_facts(counted)), F.lit(True))
+        found = hits.select("record_kind", "record_id", "content", _rank(len(leaves(tree))).alias("rank"))
     return found if limit is None else found.orderBy("rank", "record_kind", "record_id").limit(limit)
 
 
+def _by_position(content: DataFrame, tree) -> DataFrame:
+    """``(record_kind, record_id, rank)`` of the hits of a query that needs the places of its words."""
+    from plinth.operators import postings  # which needs the parser above
+
+    n, total = content.agg(F.count("*"), F.sum(F.size(tokens(F.col("content"))))).first()
+    return postings.hits(postings.positions(content).filter(postings.wanted(tree)), tree, n, total)
+
+
 def substring(content: DataFrame, query: str, limit: int) -> DataFrame:
     hits = content.filter(contains_nocase(F.col("content"), F.lit(query)))
     return hits.select("record_kind", "record_id", "content", F.lit(None).cast("double").alias("rank")).orderBy("record_kind", "record_id").limit(limit)
 
 
-def search_text(content: DataFrame, query: str, limit: int = 20) -> DataFrame:
+def search_text(content: DataFrame, query: str, limit: int = 20, index=None, kind: str | None = None) -> DataFrame:
     """``(record_kind, record_id, content, rank, path)``: ranked hits, or substring hits where there are none.
 
-    Texts are taken apart once: term counts (not texts) are kept while the top ``limit`` ids are found, and only those
-    rows are fetched. The substring search is planned only after an empty answer.
+    With a stored ``index`` (:class:`plinth.operators.postings.Index`) only the postings of the query's words are read; hits of
+    the ``kind`` that ``content`` holds are kept, and the rank counts all records of the index. Without an index texts are taken apart once: term counts (not texts) are kept while the top ``limit`` ids are found. Either way only those
+    rows are fetched, and the substring search is planned only after an empty answer.
     """
     if isinstance(limit, bool) or not isinstance(limit, int) or limit < 1:
         raise ValueError("limit must be a positive integer")
@@ -182,18 +214,28 @@ def search_text(content: DataFrame, query: str, limit: int = 20) -> DataFrame:
         tree = parse(query)
     except QuerySyntaxError:
         return plain
-    counted, condition = _counted(content, tree)
-    light = counted.drop("content").persist()
-    try:
-        facts = {k: F.lit(v).alias(k) for k, v in _facts(light).first().asDict().items()}
-        hits = light.filter(condition).select("*", *facts.values())
-        top = hits.select("record_kind", "record_id", _rank(len(leaves(tree))).alias("rank")).orderBy("rank", "record_kind", "record_id").limit(limit).collect()
-    finally:
-        light.unpersist()
+    order = ["rank", "record_kind", "record_id"]
+    if index is not None:
+        from plinth.operators import postings  # which needs the parser above
+
+        found = postings.search(index, query)
+        found = found if kind is None else found.filter(F.col("record_kind") == kind)
+        top = found.orderBy(*order).limit(limit).collect()
+    elif any(isinstance(x, Near) for x in leaves(tree)):
+        top = _by_position(content, tree).orderBy(*order).limit(limit).collect()
+    else:
+        counted, condition = _counted(content, tree)
+        light = counted.drop("content").persist()
+        try:
+            facts = {k: F.lit(v).alias(k) for k, v in _facts(light).first().asDict().items()}
+            hits = light.filter(condition).select("*", *facts.values())
+            top = hits.select("record_kind", "record_id", _rank(len(leaves(tree))).alias("rank")).orderBy(*order).limit(limit).collect()
+        finally:
+            light.unpersist()
     if not top:
         return plain
     best = content.sparkSession.createDataFrame(top, "record_kind string, record_id string, rank double")
-    found = content.join(F.broadcast(best), ["record_kind", "record_id"]).orderBy("rank", "record_kind", "record_id")
+    found = content.join(F.broadcast(best), ["record_kind", "record_id"]).orderBy(*order)
     return found.select("record_kind", "record_id", "content", "rank", F.lit("ranked").alias("path"))
 
 
@@ -204,19 +246,6 @@ def build_index(content: DataFrame) -> tuple[DataFrame, DataFrame]:
     return postings, words.select("record_kind", "record_id", F.size("tokens").alias("length"))
 
 
-def search_index(postings: DataFrame, lengths: DataFrame, words: list[str], limit: int = 20) -> DataFrame:
-    """All-words search over a stored index: reads the postings of the query's words only."""
-    words = list(dict.fromkeys(w for x in words for w in _fold(x)))
-    some = postings.filter(F.col("term").isin(words))
-    facts = lengths.agg(F.count("*").alias("n_all"), F.avg("length").alias("mean"))
-    per_term = some.groupBy("term").agg(F.count("*").alias("n"))
-    scored = some.join(F.broadcast(per_term), "term").join(lengths, ["record_kind", "record_id"]).join(F.broadcast(facts), F.lit(True))
-    idf = F.ln((F.col("n_all") - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    part = F.when(idf > 0, idf).otherwise(1e-6) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    found = scored.groupBy("record_kind", "record_id").agg((-F.sum(part)).alias("rank"), F.count("*").alias("n")).filter(F.col("n") == len(words)).drop("n")
-    return found.orderBy("rank", "record_kind", "record_id").limit(limit)
-
-
 def index_differences(content: DataFrame, postings: DataFrame) -> DataFrame:
     """Postings that are stored but wrong, or missing: empty for a sound index."""
     now, _ = build_index(content)

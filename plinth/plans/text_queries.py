@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.functions.text import contains_nocase, datum, first_filled, is_blank, page_range, slug, text_status
-from plinth.operators import entities, pages, search, semantic
+from plinth.functions.text import contains_nocase, datum, first_filled, is_blank, page_range, slug, text_status, tokens
+from plinth.operators import postings, entities, pages, search, semantic
+from plinth.session import scratch
 from plinth.sources.bridge import Bridge
 
 LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -79,8 +80,53 @@ def text_search_no_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("text_search_index", _bm25(["with", "from"], "SELECT CAST(doc_id AS VARCHAR) AS record_id, text AS content FROM documents", "f0 > 0 AND f1 > 0"))
 def text_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings, lengths = search.build_index(_content(Bridge(spark, sf_dir)))
-    return search.search_index(postings, lengths, ["with", "from"], 20).select("record_id", F.round("rank", 6).alias("rank"))
+    """From stored postings; texts are read when the index is built and not when it is asked."""
+    index = postings.build(_content(Bridge(spark, sf_dir)), scratch(spark, "index"))
+    return postings.search(index, "with from", 20).select("record_id", F.round("rank", 6).alias("rank"))
+
+
+_TOKENS = "SELECT CAST(doc_id AS VARCHAR) AS record_id, source, " + TOKENS.format("text") + " AS t FROM documents"
+_IDF = "CASE WHEN ln((na - {n} + 0.5) / ({n} + 0.5)) > 0 THEN ln((na - {n} + 0.5) / ({n} + 0.5)) ELSE 1e-6 END * {f} * 2.2 / ({f} + 1.2 * (0.25 + 0.75 * length / mean))"
+
+
+@query("text_search_near", f"""
+WITH d AS MATERIALIZED ({_TOKENS}), g AS (SELECT count(*) AS na, avg(len(t)) AS mean FROM d), w AS (SELECT record_id, len(t) AS length, unnest(t) AS w, unnest(range(len(t))) AS p FROM d),
+a AS (SELECT * FROM w WHERE w = 'with'), b AS (SELECT * FROM w WHERE w = 'from'),
+n AS (SELECT (SELECT count(DISTINCT record_id) FROM a) AS n0, (SELECT count(DISTINCT record_id) FROM b) AS n1),
+m AS (SELECT a.record_id, a.length, a.p AS p, b.p AS q FROM a JOIN b ON a.record_id = b.record_id AND abs(a.p - b.p) <= 4),
+c AS (SELECT record_id, length, count(DISTINCT p) AS f0, count(DISTINCT q) AS f1 FROM m GROUP BY ALL)
+SELECT record_id, f0 + f1 AS instances, round(-({_IDF.format(n='n0', f='f0')} + {_IDF.format(n='n1', f='f1')}), 6) AS rank FROM c, g, n""")
+def text_search_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two words with at most three between them, from stored postings, with the instances that are close."""
+    index = postings.build(_content(Bridge(spark, sf_dir)), scratch(spark, "index"))
+    query_ = "NEAR(with from, 3)"
+    found = postings.search(index, query_)
+    close = postings.instances(index.postings(postings.wanted(search.parse(query_))), search.parse(query_))
+    return found.join(close, ["record_kind", "record_id"]).select("record_id", F.expr("near0 + near1").alias("instances"), F.round("rank", 6).alias("rank"))
+
+
+@query("text_search_phrase_rank", f"""
+WITH d AS MATERIALIZED ({_TOKENS}), c AS (SELECT record_id, len(t) AS length, len(list_filter(range(1, len(t) + 1), lambda i : t[i] = 'all' AND t[i + 1] = 'rights' AND t[i + 2] = 'reserved')) AS f0, len(list_filter(t, lambda x : starts_with(x, 'licens'))) AS f1 FROM d),
+g AS (SELECT count(*) AS na, avg(length) AS mean, count(*) FILTER (WHERE f0 > 0) AS n0, count(*) FILTER (WHERE f1 > 0) AS n1 FROM c)
+SELECT record_id, round(-({_IDF.format(n='n0', f='f0')} + {_IDF.format(n='n1', f='f1')}), 6) AS rank FROM c, g WHERE f0 > 0 OR f1 > 0""")
+def text_search_phrase_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A phrase and a prefix from stored postings, with the rank that their counts give."""
+    index = postings.build(_content(Bridge(spark, sf_dir)), scratch(spark, "index"))
+    return postings.search(index, '"all rights reserved" OR licens*').select("record_id", F.round("rank", 6).alias("rank"))
+
+
+@query("index_update", f"""
+WITH d AS MATERIALIZED (SELECT record_id, CASE WHEN CAST(record_id AS BIGINT) % 5 = 1 THEN list_transform(t, lambda x : CASE WHEN x = 'with' THEN 'from' ELSE x END) ELSE t END AS t FROM ({_TOKENS}) WHERE CAST(record_id AS BIGINT) % 5 <> 0),
+c AS (SELECT record_id, len(t) AS length, len(list_filter(t, lambda x : x = 'with')) AS f0 FROM d), g AS (SELECT count(*) AS na, avg(length) AS mean, count(*) FILTER (WHERE f0 > 0) AS n0 FROM c)
+SELECT record_id, round(-({_IDF.format(n='n0', f='f0')}), 6) AS rank FROM c, g WHERE f0 > 0""")
+def index_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the documents is removed from an index and another fifth changes a word: old words no longer hit, and numbers are those of today."""
+    content = _content(Bridge(spark, sf_dir))
+    index = postings.build(content, scratch(spark, "index"))
+    which = F.col("record_id").cast("bigint") % 5
+    changed = content.filter(which == 1).withColumn("content", F.array_join(F.transform(tokens(F.col("content")), lambda x: F.when(x == "with", "from").otherwise(x)), " "))
+    now = postings.update(index, changed, content.filter(which <= 1))
+    return postings.search(now, "with").select("record_id", F.round("rank", 6).alias("rank"))
 
 
 @query("index_integrity", f"""

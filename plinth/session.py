@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -30,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A fresh path in the folder that driver and executors share: the checkpoint folder, or on one machine a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = f"file://{tempfile.gettempdir()}/plinth-checkpoints"
+    return f"{found.rstrip('/')}/plinth-{what}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once per application, so that Python workers can import it anywhere."""
     context = spark.sparkContext

@@ -234,7 +234,12 @@ def update(base: Store, current: DataFrame, pages_of_changed: DataFrame, project
         tables[name] = base.table(name).join(gone[parent].select(F.col("id").alias(column)), column, "left_anti")
     fresh = current.join(changes.filter("state <> 'removed'").select(F.col("identity").alias("source_file")), "source_file", "left_semi")
     more = build(base.spark, pages_of_changed, fresh, project, version)
-    return Store(base.spark, {n: t.select(*base.table(n).columns).unionByName(more.table(n).select(*[c for c in base.table(n).columns if c in more.table(n).columns]), allowMissingColumns=True) for n, t in tables.items()}, base.metadata)
+    added = {n: more.table(n).select(*[c for c in t.columns if c in more.table(n).columns]) for n, t in base.tables.items() if n in tables}
+    out = Store(base.spark, {n: t.select(*base.table(n).columns).unionByName(added[n], allowMissingColumns=True) for n, t in tables.items()}, base.metadata)
+    if base.index is not None:
+        removed = base.table("search_content").join(tables["search_content"], ["record_kind", "record_id"], "left_anti")
+        out.index, out.index_changes = base.index, (added["search_content"], removed)
+    return out
 
 
 def markdown(pages_: DataFrame, version: str = "2") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.functions.text import is_sha256
-from plinth.operators import integrity, pages, validate
+from plinth.operators import integrity, pages, postings, validate
 from plinth.sources import files
 from plinth.sources.schema import CAPABILITIES, TABLES
 
@@ -30,6 +30,9 @@ class Store:
         if unknown:
             raise StoreError(f"unknown tables: {sorted(unknown)}")
         self.spark, self.tables, self.metadata = spark, dict(tables), dict(metadata or {})
+        #: The stored full-text index over ``search_content``, and how this store's content differs from it: (added, removed).
+        self.index: postings.Index | None = None
+        self.index_changes: tuple[DataFrame, DataFrame] | None = None
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Store:
@@ -39,7 +42,10 @@ class Store:
         missing = [k for k in REQUIRED_METADATA if k not in found["metadata"]]
         if missing or found["metadata"]["schema_version"] != str(VERSION):
             raise StoreError(f"unsupported manifest: missing {missing}, version {found['metadata'].get('schema_version')}")
-        return cls(spark, {t: spark.read.schema(TABLES[t].struct()).parquet(f"{path}/{found['snapshot']}/{t}") for t in found["tables"]}, found["metadata"])
+        store = cls(spark, {t: spark.read.schema(TABLES[t].struct()).parquet(f"{path}/{found['snapshot']}/{t}") for t in found["tables"]}, found["metadata"])
+        if found.get("index"):
+            store.index = postings.Index(spark, f"{path}/index", tuple(found["index"]["segments"]), found["index"]["n"], found["index"]["total"])
+        return store
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name] if name in self.tables else self.spark.createDataFrame([], TABLES[name].struct())
@@ -53,14 +59,25 @@ class Store:
         for name in TABLES:
             self.table(name).createOrReplaceTempView(prefix + name)
 
-    def write(self, path: str, check: bool = False) -> None:
+    def _indexed(self, path: str, most_segments: int = 8) -> postings.Index | None:
+        """The index of this store's content below ``path``: the one there with a segment for what changed, or a new one."""
+        if "search_content" not in self.tables:
+            return None
+        if self.index is None or self.index_changes is None or self.index.path != f"{path}/index":
+            return postings.build(self.table("search_content"), f"{path}/index")
+        index = postings.update(self.index, *self.index_changes)
+        return postings.compact(index) if len(index.segments) > most_segments else index
+
+    def write(self, path: str, check: bool = False, index: bool = False) -> None:
         """Writes a snapshot below ``path``, on any file system, and then points the manifest at it.
 
         A reader sees the old or the new one; the snapshot before stays for those that still read it, older ones go.
-        With ``check`` a store that breaks a rule is refused and the old snapshot stays in place.
+        With ``check`` a store that breaks a rule is refused and the old snapshot stays in place. With ``index`` the store gets a
+        full-text index; a store that was updated from an indexed one keeps its index up, in one more segment.
         """
         snapshot = f"snapshot-{uuid.uuid4().hex}"
-        before = json.loads(files.read(self.spark, f"{path}/manifest.json"))["snapshot"] if files.exists(self.spark, f"{path}/manifest.json") else None
+        was = json.loads(files.read(self.spark, f"{path}/manifest.json")) if files.exists(self.spark, f"{path}/manifest.json") else {}
+        before = was.get("snapshot")
         for name, df in self.tables.items():
             df.select([F.col(c).cast(TABLES[name].struct()[c].dataType) for c in TABLES[name].names if c in df.columns]).write.parquet(f"{path}/{snapshot}/{name}")
         metadata = {"schema_version": str(VERSION), "generator_version": "plinth-1", "project_id": "project", "created_from": "records"} | self.metadata
@@ -70,10 +87,16 @@ class Store:
             if bad:
                 files.delete(self.spark, f"{path}/{snapshot}")
                 raise StoreError(f"{bad['rule']} in {bad['table_name']} at {bad['id']}")
-        files.replace(self.spark, f"{path}/manifest.json", json.dumps({"snapshot": snapshot, "tables": sorted(self.tables), "metadata": metadata}, sort_keys=True))
+        found = self._indexed(path) if index or self.index_changes is not None else None
+        manifest = {"snapshot": snapshot, "tables": sorted(self.tables), "metadata": metadata} | ({"index": found.as_dict()} if found else {})
+        files.replace(self.spark, f"{path}/manifest.json", json.dumps(manifest, sort_keys=True))
         for old in files.names(self.spark, path):
             if old.startswith("snapshot-") and old not in (snapshot, before):
                 files.delete(self.spark, f"{path}/{old}")
+        used = {s for m in (was, manifest) for s in m.get("index", {}).get("segments", [])}
+        for old in files.names(self.spark, f"{path}/index"):
+            if old not in used:
+                files.delete(self.spark, f"{path}/index/{old}")
 
     def violations(self) -> DataFrame:
         """Every broken rule of the schema: required columns, keys, uniqueness, references, checks, hashes, grids."""

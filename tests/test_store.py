@@ -10,7 +10,7 @@ import __spark_entry__
 from plinth import evaluation
 from plinth.__main__ import typed
 from plinth.api import Knowledge
-from plinth.operators import payload
+from plinth.operators import payload, postings
 from plinth.sources import project
 from plinth.sources.store import Store, StoreError, from_records, read_snapshot, text_records, verify_sources
 from plinth.streaming.windows import event_rates
@@ -224,6 +224,12 @@ def test_a_project_is_built_updated_and_bundled(spark, tmp_path):
         a, b = updated.table(name).select(*cols), rebuilt.table(name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     assert project.update(rebuilt, manifest, fresh, "p", "2") is rebuilt
+    kept = f"file://{tmp_path}/kept"
+    store.write(kept, index=True)
+    project.update(Store.open(spark, kept), manifest, fresh, "p", "2").write(kept)
+    now = Store.open(spark, kept)
+    assert len(now.index.segments) == 2 and postings.differences(now.index, rebuilt.table("search_content")).collect() == []
+    assert [x["text"] for x in Knowledge(now).search_pdf_text("lead")] == ["green lead"] and Knowledge(now).search_pdf_text("gold") == [] and Knowledge(now).search_text("red") == []
     with pytest.raises(StoreError, match="full rebuild"):
         project.update(store, manifest, fresh, "other", "2")
     sources = manifest.select(F.col("source_file").alias("path"), F.col("source_sha256").alias("sha"))
