@@ -82,10 +82,11 @@ def _mask(attrs: str) -> int:
 class Dom:
     """Block nodes of pages in order of their start; ``texts`` holds (node, text) in page order.
 
-    Text inside elements that ``hidden`` or their style keep from being shown is left out.
+    Without ``keep_hidden``, text inside elements that ``hidden`` or their style keep from being shown is left out.
     """
 
     labelled: bool = False
+    keep_hidden: bool = True
     group: list[int] = field(default_factory=list)
     mask: list[int] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
@@ -191,7 +192,7 @@ class Dom:
                 elif name == "br":
                     shown(" ")
                 if not ends:
-                    if name not in _VOID and (name in unseen_inline or _MAY_HIDE.search(m["attrs"]) and _mask(m["attrs"]) >> _HIDDEN & 1):
+                    if not self.keep_hidden and name not in _VOID and (name in unseen_inline or _MAY_HIDE.search(m["attrs"]) and _mask(m["attrs"]) >> _HIDDEN & 1):
                         unseen_inline.append(name)
                 elif unseen_inline and name == unseen_inline[0]:
                     unseen_inline.remove(name)
@@ -221,7 +222,7 @@ class Dom:
             stack.append(self.node(page, name, mask, stack[-1]))
             open_at.setdefault(name, []).append(len(tags))
             tags.append(name)
-            if unseen < 0 and mask >> _HIDDEN & 1:
+            if unseen < 0 and not self.keep_hidden and mask >> _HIDDEN & 1:
                 unseen = len(tags) - 1
         flush()
 
@@ -368,29 +369,58 @@ def compose(seed: int) -> str:
     def share() -> str:
         return f'<div class="{rng.choice("share social tags meta byline author-bio related more-links".split())}">{rng.choice([link_list(3), _words(rng, 1, 6), "<p>" + _sentence(rng, 2, 12) + "</p>"])}</div>'
 
+    def say(least: int, most: int) -> str:
+        return _CONTENT + _sentence(rng, least, most)
+
+    def linked_words() -> str:
+        return f'<a href="/{_words(rng, 1, 1)}">{_CONTENT}{_words(rng, 1, 5)}</a>'
+
+    def part() -> str:
+        """A piece of an article that is no plain paragraph."""
+        kind = rng.randrange(10)
+        if kind == 0:
+            return f"<details{rng.choice(['', ' open'])}><summary>{say(1, 6)}</summary>{rng.choice(['{}', '<p>{}</p>', '<div>{}</div>']).format(say(2, 30))}</details>"
+        if kind == 1:
+            return f"<{(t := rng.choice(['ul', 'ul', 'ol']))}>" + "".join(f"<li>{linked_words()}</li>" for _ in range(rng.randint(1, 6))) + f"</{t}>"
+        if kind == 2:
+            return f"<figure{rng.choice(['', ' class=image'])}><img src=x.png>" + rng.choice(["<figcaption>{}</figcaption>", "<figcaption><p>{}</p></figcaption>"]).format(say(1, 12)) + "</figure>"
+        if kind == 3:
+            return "<dl>" + "".join(f"<dt>{say(1, 3)}</dt><dd>{say(1, 12)}</dd>" for _ in range(rng.randint(1, 4))) + "</dl>"
+        if kind == 4:
+            return f"<p{rng.choice([' hidden', chr(32) + 'style=' + chr(34) + 'display:none' + chr(34), '', ''])}>{rng.choice([say(1, 25), linked_words()])}</p>"
+        if kind in (5, 6):
+            return f"<{(t := rng.choice(['section', 'section', 'div']))}{rng.choice(['', '', ' class=part', ' id=s1'])}><h{(h := rng.choice('234'))}>{_CONTENT}{_words(rng, 1, 6)}</h{h}>" + "".join(f"<p>{say(1, 40)}</p>" for _ in range(rng.randint(1, 4))) + f"</{t}>"
+        if kind == 7:
+            return "<ul>" + "".join(f"<li><p>{say(1, 15)}</p></li>" for _ in range(rng.randint(1, 4))) + "</ul>"
+        if kind == 8:
+            return "<table>" + rng.choice(["", f"<caption>{say(1, 5)}</caption>"]) + "<tbody>" + "".join(f"<tr><th>{say(1, 2)}</th><td>{rng.choice([say(1, 6), linked_words()])}</td></tr>" for _ in range(rng.randint(1, 5))) + "</tbody></table>"
+        return f"<{(t := rng.choice(['address', 'hgroup', 'blockquote', 'div']))}><p>{say(1, 20)}</p></{t}>"
+
     def content() -> str:
-        out, say = [], lambda a, b: _CONTENT + _sentence(rng, a, b)
+        out = []
         if rng.random() < 0.85:
             title = f"<h1>{_CONTENT}{_words(rng, 1, 10)}</h1>"
             out.append(f"<header>{title}</header>" if rng.random() < 0.12 else title)
         for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8, 14])):
             kind = rng.random()
-            if kind < 0.74:
+            if kind < 0.62:
                 out.append(f"<p>{say(1, rng.choice([3, 6, 30, 80]) if not short else 8)}" + rng.choice(["</p>", "</p>", "</p>", ""]))
-            elif kind < 0.80:
+            elif kind < 0.68:
                 out.append(f"<h2>{_CONTENT}{_words(rng, 1, 6)}</h2>")
-            elif kind < 0.86:
+            elif kind < 0.74:
                 out.append("<ul>" + "".join(f"<li>{say(1, 15)}</li>" for _ in range(rng.randint(1, 5))) + "</ul>")
-            elif kind < 0.89:
+            elif kind < 0.77:
                 out.append(f"<blockquote>{rng.choice(['<p>{}</p>', '{}']).format(say(3, 30))}</blockquote>")
-            elif kind < 0.92:
+            elif kind < 0.80:
                 out.append("<table>" + "".join("<tr>" + "".join(f"<td>{_CONTENT}{_words(rng, 1, 3)}</td>" for _ in range(3)) + "</tr>" for _ in range(rng.randint(1, 4))) + "</table>")
-            elif kind < 0.94:
+            elif kind < 0.82:
                 out.append(f"<pre>{say(3, 20)}</pre>")
-            elif kind < 0.97:
+            elif kind < 0.85:
                 out.append(f"<p>{_CONTENT}<b>{_sentence(rng, 2, 60)}<br>")
-            else:
+            elif kind < 0.88:
                 out.append(f"<div>{say(3, 40)}</div>")
+            else:
+                out.append(part())
         for extra in (advert, share, form, side, comments, notice):
             if rng.random() < 0.12:
                 out.insert(rng.randint(1, len(out)) if out else 0, extra())
@@ -447,9 +477,9 @@ def train(pages: int = 400, seed: int = 7, rounds: int = 200, ridge: float = 0.2
     return Model(*theta)
 
 
-def main_texts(htmls: list[str | None], model: Model, threshold: float = 0.5) -> list[str]:
+def main_texts(htmls: list[str | None], model: Model, threshold: float = 0.5, keep_hidden: bool = True) -> list[str]:
     """The main text of each page: its content blocks in page order, joined by an empty line."""
-    dom = Dom()
+    dom = Dom(keep_hidden=keep_hidden)
     for i, html in enumerate(htmls):
         dom.add(i, html or "")
     content = model.marginals(Tree(dom)) >= threshold
@@ -460,11 +490,12 @@ def main_texts(htmls: list[str | None], model: Model, threshold: float = 0.5) ->
     return ["\n\n".join(x) for x in out]
 
 
-def extract(pages: DataFrame, model: Model, threshold: float = 0.5, pages_at_once: int = 64) -> DataFrame:
+def extract(pages: DataFrame, model: Model, threshold: float = 0.5, pages_at_once: int = 64, keep_hidden: bool = True) -> DataFrame:
     """``(page_id, url, text, n_chars)`` per row.
 
     Null and empty pages give the empty text; a page of bare text is judged as one block. Repeated rows are extracted
-    each; other columns are ignored. Elements nest to any depth and time is linear in a page. Memory is that of
+    each; other columns are ignored. Text that ``hidden`` or its style keeps from being shown is judged like any other, or left
+    out without ``keep_hidden``. Elements nest to any depth and time is linear in a page. Memory is that of
     ``pages_at_once`` pages.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
@@ -473,7 +504,7 @@ def extract(pages: DataFrame, model: Model, threshold: float = 0.5, pages_at_onc
         for whole in batches:
             for at in range(0, whole.num_rows, pages_at_once):
                 batch = whole.slice(at, pages_at_once)
-                texts = main_texts(batch.column(2).to_pylist(), model, threshold)
+                texts = main_texts(batch.column(2).to_pylist(), model, threshold, keep_hidden)
                 arrays = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars"])
 
