@@ -153,7 +153,7 @@ def test_language_odd_rows(spark):
 
 @pytest.fixture(scope="module")
 def model():
-    return htmltext.train(pages=200)
+    return htmltext.train()
 
 
 def test_extraction_on_composed_pages(model):
