@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "plinth") -> SparkSession:
@@ -41,6 +41,13 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{found.rstrip('/')}/plinth-{what}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, what: str) -> DataFrame:
+    """A table written to the shared folder and read back: what is used several times is planned and run once, and survives lost executors."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once per application, so that Python workers can import it anywhere."""
     context = spark.sparkContext
