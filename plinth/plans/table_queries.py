@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plinth.operators import tables
+from plinth.operators import repair, tables
 from plinth.sources.bridge import Bridge
 
 QUERIES, ORACLES = {}, {}
@@ -74,3 +74,38 @@ def table_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = out["entities"].select("table_id", F.col("id").alias("semantic_entity_id"))
     count = lambda name: rows.join(out[name].groupBy("semantic_entity_id").agg(F.count("*").alias(name)), "semantic_entity_id").groupBy("table_id").agg(F.sum(name).alias(name))
     return out["report"].join(count("bindings"), "table_id", "left").join(count("properties"), "table_id", "left").fillna(0)
+
+
+#: What the second extraction of an order's page does, by the order's number; all but the last speak against it.
+_OUTCOMES = (
+    "no_baseline_anchor", "multiple_baseline_anchors", "outer_bbox_changed", "dimensions_changed", "baseline_already_accepted", "baseline_not_repairable_overlap", "baseline_has_no_missing_cells", "widened_not_accepted_no_text",
+    "widened_still_has_missing_cells", "existing_cell_geometry_changed", "table_source_span_set_changed", "preserved_source_assignment_changed", "eligible_monotonic_completion",
+)
+
+
+@query("table_repair", f"""
+WITH r AS (SELECT o_orderkey AS k, [{", ".join(f"'{x}'" for x in _OUTCOMES)}][o_orderkey % 13 + 1] AS reason FROM orders)
+SELECT CAST(k AS VARCHAR) AS page_id, CASE k % 13 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS anchors, reason = 'eligible_monotonic_completion' AS eligible, reason, CASE WHEN k % 13 > 1 THEN CASE WHEN k % 13 = 6 THEN 0 ELSE 1 END END AS missing_before,
+CASE WHEN k % 13 = 8 THEN 1 WHEN k % 13 = 3 THEN 2 ELSE 0 END AS missing_after, CASE WHEN k % 13 IN (0, 1, 6, 8) THEN 0 ELSE 1 END AS repaired, CASE WHEN k % 13 IN (0, 1, 6, 8) THEN 0 ELSE 1 END AS newly_assigned FROM r""")
+def table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two by two cells without the last, extracted again in thirteen ways: one row for every outcome."""
+    orders = Bridge(spark, sf_dir).raw("orders").select(F.col("o_orderkey").cast("string").alias("page_id"), (F.col("o_orderkey") % 13).alias("way"))
+    is_ = lambda n, a, b: F.when(F.col("way") == n, a).otherwise(b)
+    box = lambda x0, y0, x1, y1: F.struct(*[(v if hasattr(v, "cast") else F.lit(v)).cast("double").alias(n) for n, v in zip(("x_min", "y_min", "x_max", "y_max"), (x0, y0, x1, y1), strict=True)])
+    flat = lambda rows, *cols: rows.select("page_id", *cols, "box.*")
+    names = F.explode(is_(1, F.array(F.lit("b1"), F.lit("b2")), F.array(F.lit("b1"))))
+    aside = is_(0, 500, 0)
+    first = orders.withColumn("candidate", names).withColumn("box", box(aside, 0, aside + 100, 40))
+    first = flat(first, "candidate", F.lit(2).alias("row_count"), F.lit(2).alias("column_count"), is_(4, True, False).alias("accepted"), is_(4, F.lit(None).cast("string"), is_(5, "overlap", repair.REPAIRABLE)).alias("rejection"))
+    second = orders.withColumn("box", box(0, 0, F.lit(100) + is_(2, 5.0, is_(10, 0.2, 0.0)), 40))
+    second = flat(second, F.lit("w").alias("candidate"), F.lit(2).alias("row_count"), is_(3, 3, 2).alias("column_count"), is_(7, False, True).alias("accepted"), is_(7, "no_text", F.lit(None).cast("string")).alias("rejection"))
+    places = F.explode(F.array(*[F.struct(F.lit(r).alias("row"), F.lit(c).alias("column")) for r in range(2) for c in range(2)])).alias("at")
+    grid = orders.select("page_id", "way", places).select("page_id", "way", "at.*")
+    corner, origin = (F.col("row") == 1) & (F.col("column") == 1), (F.col("row") == 0) & (F.col("column") == 0)
+    x, y = F.col("column") * 50, F.col("row") * 20
+    before = grid.filter(~corner | (F.col("way") == 6)).join(first.select("page_id", "candidate", F.col("x_min").alias("left")), "page_id").withColumn("box", box(x + F.col("left"), y, x + F.col("left") + 50, y + 20))
+    moved = F.when(origin, is_(9, 5.0, is_(11, 0.1, 0.0))).otherwise(0.0)
+    after = grid.filter(~corner | (F.col("way") != 8)).withColumn("box", box(x, y, x + 50 - moved, y + 20))
+    spans = orders.select("page_id", "way", F.posexplode(F.array(box(5, 5, is_(11, 50.2, 45.0), 15), box(60, 25, 90, 35), F.when(F.col("way") == 10, box(99.8, 5, 140, 15)))).alias("i", "box")).filter("box is not null")
+    out = repair.decisions(first, flat(before, "candidate", "row", "column"), second, flat(after, F.lit("w").alias("candidate"), "row", "column"), flat(spans, F.col("i").cast("string").alias("span_id")))
+    return out.drop("candidate", "anchor")
