@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plinth.functions.text import plain
 from plinth.operators import context, documents, entities, facts, references, routing, search, semantic, spatial, topology
 from plinth.operators.entities import KINDS
 from plinth.sources.schema import CAPABILITIES
@@ -318,12 +319,25 @@ class Knowledge:
         return _rows(topology.level_differences(self._t("levels"), pairs))[0]
 
     def get_change_impact(self, entity_id: str) -> dict:
+        """What a change of a type, or of an element's type, touches: instances, spaces with their contexts, occurrences and where to see them."""
         element = self.get_entity("element", entity_id)
         type_id = element["type_id"] if element else entity_id
+        own = self._t("elements").filter(F.col("type_id") == type_id)
         places = entities.occurrences(self._t("entity_appearances"), *[self._t(t) for t in ("viewports", "sheets", "views", "documents")])
-        found = topology.change_impact(self._t("element_types").filter(F.col("id") == type_id), self._t("elements").filter(F.col("type_id") == type_id), topology.related_spaces(*self._topology()), places)
-        rows = _rows(found)
-        return {"status": "ok", **rows[0]} if rows else {"status": "insufficient_data" if element else "not_found", "warnings": "element_type_not_stored" if element else "entity_not_found"}
+        contexts = topology.related_spaces(*self._topology())
+        rows = _rows(topology.change_impact(self._t("element_types").filter(F.col("id") == type_id), own, contexts, places))
+        if not rows:
+            return {"status": "insufficient_data" if element else "not_found", "warnings": "element_type_not_stored" if element else "entity_not_found"}
+        spaces: dict[str, dict] = {}
+        for r in _rows(topology.impact_spaces(own, contexts).join(self._t("spaces").withColumnRenamed("id", "space_id"), "space_id").orderBy("space_id", "relation_type", "relationship_id")):
+            context = {k: r.pop(k) for k in ("relation_type", "relationship_id", "phase_source_unique_id", "provenance", "confidence", "evidence_id")}
+            spaces.setdefault(r["space_id"], r | {"contexts": []})["contexts"].append(context)
+        shown = topology.impact_occurrences(own, places)
+        order = ["document_identity", "pdf_page", "sheet_number", "view_name"]
+        return {
+            "status": "ok", "subject": element or self.get_entity("element_type", entity_id), **rows[0], "affected_instances": _rows(own.orderBy("id")), "spaces": list(spaces.values()),
+            "occurrences": _rows(shown.orderBy("instance_id", *order, "appearance_id")), "navigation": _rows(topology.impact_navigation(shown).orderBy(*order, "source_id")),
+        }
 
     def _annotations(self, kind: str) -> DataFrame:
         owners = self._t("elements").select(F.col("id").alias("entity_id"), "source_model_id", "source_unique_id")
@@ -362,9 +376,22 @@ class Knowledge:
         segments = self._t("annotation_segments").groupBy("annotation_id").agg(F.flatten(F.collect_list(F.array("display_text", "prefix", "suffix", "above", "below"))).alias("more"))
         spots = self._annotations("spot_elevation").filter("numeric_value is not null").join(segments, F.col("id") == F.col("annotation_id"), "left")
         spots = spots.withColumn("tier", F.lit(1)).withColumn("texts", F.concat(F.array("display_text"), F.coalesce("more", F.array().cast("array<string>"))))
-        named = self._t("parameters").filter("numeric_value is not null").filter(F.lower(F.trim("definition_name")).isin(*facts.ELEVATION_NAMES)).withColumn("tier", F.lit(2)).withColumn("texts", F.array("value_text", "raw_value_text"))
-        rows = _rows(facts.relative_elevation(spots.select(*cols).unionByName(named.select(*cols)).filter(F.col("entity_id") == entity_id), reference))
-        return rows[0] if rows else {"status": "not_found", "entity_id": entity_id}
+        named = self._t("parameters").filter("numeric_value is not null").filter(plain(F.col("definition_name")).isin(*facts.ELEVATION_NAMES)).withColumn("tier", F.lit(2)).withColumn("texts", F.array("value_text", "raw_value_text"))
+        told = spots.select(*cols).unionByName(named.select(*cols)).filter(F.col("entity_id") == entity_id)
+        rows = _rows(facts.relative_elevation(told, reference))
+        if not rows:
+            return {"status": "not_found", "entity_id": entity_id, "evidence": []}
+        used = _rows(facts.best_tier(told).orderBy("id"))
+        kinds = {1: "annotation", 2: "parameter"}
+        out = rows[0] | {"fact_source_kind": kinds[used[0]["tier"]], "supporting_fact_ids": [r["id"] for r in used]}
+        if out["status"] == "conflict":
+            out["candidates"] = [{k: r[k] for k in ("id", "numeric_value", "unit")} for r in used]
+        if out["fact_id"]:
+            table = self._t("annotations" if used[0]["tier"] == 1 else "parameters").filter(F.col("id") == out["fact_id"])
+            (fact,) = _rows(table)
+            out |= {"display_text": fact.get("display_text") or fact.get("value_text"), "provenance": fact.get("provenance"), "confidence": fact.get("confidence")}
+        owners = [(k, entity_id) for k in ("element", "space", "element_type", "level")] + [("annotation", r["id"]) for r in used if r["tier"] == 1]
+        return out | {"evidence": self._answer_evidence(entity_id, out["supporting_fact_ids"], owners)}
 
     def get_spatial_candidates(self, bounds: tuple) -> list[dict]:
         return _rows(self._with_evidence(spatial.candidates(self._t("geometries"), bounds)).orderBy("id"))

@@ -33,9 +33,14 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | ~text.rlike(r"(?U)\S")
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind around it."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def plain(text: Column) -> Column:
     """In lower case, without white space of any kind around it."""
-    return F.lower(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""))
+    return F.lower(stripped(text))
 
 
 def first_filled(*values: Column) -> Column:
@@ -56,7 +61,7 @@ DATUM = r"^\s*([A-Za-z][A-Za-z0-9_. -]*?)\s*[+-]\s*\d"
 def datum(text: Column) -> Column:
     """The reference level a display text names: ``RFL`` of ``RFL + 1250``, or a short text without digits as it is."""
     named = F.regexp_extract(text, DATUM, 1)
-    whole = F.trim(text)
+    whole = stripped(text)
     short = (F.length(whole) <= 32) & whole.rlike(r"^[A-Za-z][A-Za-z_. -]*$")
     return F.when(named != "", named).when(short, whole)
 

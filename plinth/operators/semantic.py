@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.functions.text import ascii_lower, contains_nocase, same_nocase
+from plinth.functions.text import ascii_lower, contains_nocase, same_nocase, stripped
 from plinth.operators.entities import resolved_bindings
 
 #: Best match first (fixed order).
@@ -21,6 +21,10 @@ def source_values(entities: DataFrame, properties: DataFrame) -> DataFrame:
     return own.unionByName(more.join(entities.select(F.col("id").alias("semantic_entity_id")), "semantic_entity_id", "left_semi"))
 
 
+def _run(text: Column, n: int):
+    return lambda at: F.substring(text, at, F.lit(n))
+
+
 def matches(entities: DataFrame, properties: DataFrame, queries: DataFrame) -> DataFrame:
     """``(query, semantic_entity_id, match_kind, precedence, source_name, source_value, property_id)``.
 
@@ -30,8 +34,15 @@ def matches(entities: DataFrame, properties: DataFrame, queries: DataFrame) -> D
     asked = queries.filter(F.col("query").rlike(r"(?U)\S"))
     values = source_values(entities, properties).join(entities.select(F.col("id").alias("semantic_entity_id"), "entity_class"), "semantic_entity_id")
     asked = asked.select("query", F.col("entity_class").alias("wanted"))
+    # a value that contains the query has its first letters somewhere: values are listed by all runs of so many letters
+    low, size = ascii_lower(F.col("query")), F.least(F.char_length("query"), F.lit(3))
+    asked = asked.withColumn("gram", F.substring(low, F.lit(1), size))
+    sizes = [r["n"] for r in asked.select(F.char_length("gram").alias("n")).distinct().collect()]  # of 1, 2 and 3
+    text, none = ascii_lower(F.col("source_value")), F.array().cast("array<string>")
+    runs = [F.when(F.char_length("source_value") >= n, F.transform(F.sequence(F.lit(1), F.char_length("source_value") - n + 1), _run(text, n))).otherwise(none) for n in sizes]
+    listed = values.withColumn("gram", F.explode(F.array_distinct(F.concat(*runs) if runs else none)))
     hit = contains_nocase(F.col("source_value"), F.col("query")) & (F.col("wanted").isNull() | same_nocase(F.col("entity_class"), F.col("wanted")))
-    joined = values.join(F.broadcast(asked), hit)  # the questions, not the data, are on the other side
+    joined = listed.join(asked, "gram").filter(hit).drop("gram")
     exact = ascii_lower(F.col("source_value")) == ascii_lower(F.col("query"))
     kind = F.when(exact, F.concat("match_source", F.lit("_exact"))).when(F.col("match_source") != "entity_id", F.concat("match_source", F.lit("_contains")))
     out = joined.withColumn("match_kind", kind).filter("match_kind is not null")
@@ -88,7 +99,7 @@ def from_table(cells: DataFrame, key_column: str, property_columns: list[str], e
     """
     names = list(dict.fromkeys([key_column, *property_columns, *([number_column] if number_column else [])]))
     rows = cells.groupBy("table_id", "row_index").pivot("column_name", names).agg(F.first("text"))
-    key = F.trim(F.col(f"`{key_column}`"))
+    key = stripped(F.col(f"`{key_column}`"))
     again = F.count("*").over(Window.partitionBy("table_id", key))
     state = F.when(F.coalesce(key, F.lit("")) == "", "error").when(again > 1, "ambiguous").otherwise("exact")
     ident = F.concat(F.lit("semantic-"), F.sha2(F.concat_ws("\u001f", F.lit(namespace), "table_id", key, F.when(again > 1, F.col("row_index").cast("string"))), 256))

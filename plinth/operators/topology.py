@@ -68,6 +68,15 @@ def same_type(elements: DataFrame, element_types: DataFrame) -> DataFrame:
     return out.unionByName(rest)
 
 
+def same_type_counts(elements: DataFrame, element_types: DataFrame) -> DataFrame:
+    """``(element_id, type_id, n_siblings, status)``: how many siblings ``same_type`` has for each, without making its pairs."""
+    known = element_types.select(F.col("id").alias("type_id")).distinct()
+    sizes = elements.select("type_id").join(known, "type_id", "left_semi").groupBy("type_id").agg((F.count("*") - 1).alias("n_siblings"))
+    found = elements.select(F.col("id").alias("element_id"), "type_id").join(sizes, "type_id", "left")
+    typed = F.col("n_siblings").isNotNull()
+    return found.select("element_id", F.when(typed, F.col("type_id")).alias("type_id"), F.coalesce("n_siblings", F.lit(0)).alias("n_siblings"), F.when(typed, "ok").otherwise("insufficient_data").alias("status"))
+
+
 def connections(elements: DataFrame, spaces: DataFrame, relationships: DataFrame) -> DataFrame:
     """Connections by connector and phase.
 
@@ -222,16 +231,59 @@ def change_impact(element_types: DataFrame, elements: DataFrame, spaces_of: Data
     return out.withColumn("warnings", F.array_join(warnings, ","))
 
 
+def impact_spaces(elements: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``(type_id, space_id, context...)``: the spaces that a type's instances touch, each context once whatever the number of its edges."""
+    rows = contexts.join(elements.select(F.col("id").alias("element_id"), "type_id"), "element_id")
+    same = ["type_id", "space_id", *[c for c in _CONTEXT if c != "relationship_id"]]
+    return rows.groupBy(*same).agg(F.min("relationship_id").alias("relationship_id")).select("type_id", "space_id", *_CONTEXT)
+
+
+def impact_occurrences(elements: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """``(type_id, instance_id, place..., appearance_id)``: where a type's instances are drawn, equal places of one instance once."""
+    rows = occurrences.filter("entity_kind = 'element'").withColumnRenamed("entity_id", "instance_id").join(elements.select(F.col("id").alias("instance_id"), "type_id"), "instance_id")
+    same = [c for c in rows.columns if c not in ("appearance_id", "id")]
+    return rows.groupBy(*same).agg(F.min("appearance_id").alias("appearance_id"))
+
+
+#: What tells places to look at apart (fixed names).
+_PLACE = ["document_id", "document_identity", "pdf_page", "sheet_id", "sheet_number", "view_id", "view_name", "bbox", "bbox_quality"]
+
+
+def impact_navigation(shown: DataFrame) -> DataFrame:
+    """``(type_id, place..., can_zoom, source_kind, source_id, n_instances)`` of :func:`impact_occurrences`: each place once for all instances seen there."""
+    rows = shown.groupBy("type_id", *[c for c in _PLACE if c in shown.columns]).agg(F.min("appearance_id").alias("source_id"), F.count_distinct("instance_id").alias("n_instances"))
+    return rows.withColumn("can_zoom", F.col("bbox").isNotNull()).withColumn("source_kind", F.lit("entity_appearance"))
+
+
+#: Up to so many first items a group, Spark drops the others before it shuffles.
+_FIRST = 1000
+
+
+def first_items(candidates: DataFrame, explicit: DataFrame, group: str, position: str, cap: int) -> DataFrame:
+    """``(group, item, i)``: the items of each group that its first ``cap`` pairs beyond the explicit ones can hold, numbered from 0.
+
+    The first w pairs of any number of items are among its first w + 1 items. Groups with few explicit pairs keep a fixed number of items, which
+    each task cuts to before the shuffle; only those with very many are numbered as a whole.
+    """
+    rows = candidates.select(group, F.col(position).alias("item"))
+    spare = max(_FIRST - cap - 1, 0)
+    many = explicit.groupBy(group).agg(F.count("*").alias("w")).filter(F.col("w") > spare)
+    place = F.row_number().over(Window.partitionBy(group).orderBy("item"))
+    usual = rows.withColumn("i", place).filter(F.col("i") <= cap + 1 + spare)
+    some = rows.join(many, group).withColumn("i", place).filter(F.col("i") <= F.col("w") + cap + 1).drop("w")
+    return usual.join(many.select(group), group, "left_anti").unionByName(some).withColumn("i", F.col("i").cast("long") - 1)
+
+
 def ordered_pairs(candidates: DataFrame, explicit: DataFrame, group: str, position: str, cap: int = 32) -> tuple[DataFrame, DataFrame]:
     """Up to ``cap`` unordered pairs of a group's candidates in position order, without those in ``explicit(group, a, b)``,
     and per group how many were left out.
 
-    The k-th pair of n items comes from a formula, so a group makes at most cap + explicit pairs, never n squared.
+    The k-th pair of n items comes from a formula, so a group makes at most cap + explicit pairs, never n squared, and of its items only
+    those are numbered that such a pair can hold. Groups are counted by partial sums.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(position)) - 1
-    numbered = candidates.select(group, F.col(position).alias("item"), place.cast("long").alias("i"))
+    numbered = first_items(candidates, explicit, group, position, cap)
     known = explicit.groupBy(group).agg(F.count("*").alias("known"))
-    sizes = numbered.groupBy(group).agg(F.count("*").alias("n")).join(known, group, "left").fillna(0, ["known"])
+    sizes = candidates.groupBy(group).agg(F.count("*").alias("n")).join(known, group, "left").fillna(0, ["known"])
     total = (F.col("n") * (F.col("n") - 1) / 2).cast("long")
     wanted = F.least(total, F.lit(cap) + F.col("known"))
     ks = sizes.filter(total > 0).select(group, "n", F.explode(F.sequence(F.lit(0).cast("long"), wanted - 1)).alias("k"))
@@ -249,6 +301,6 @@ def ordered_pairs(candidates: DataFrame, explicit: DataFrame, group: str, positi
 
 
 __all__ = [
-    "adjacency", "ambiguous_occurrences", "change_impact", "connections", "connections_of_spaces", "containment", "level_differences", "ordered_pairs", "related", "related_spaces",
-    "same_space", "same_space_counts", "same_type", "semantic_edges",
+    "adjacency", "ambiguous_occurrences", "change_impact", "connections", "connections_of_spaces", "containment", "impact_navigation", "impact_occurrences", "impact_spaces", "level_differences", "ordered_pairs", "related", "related_spaces",
+    "same_space", "same_space_counts", "same_type", "same_type_counts", "semantic_edges",
 ]

@@ -62,7 +62,7 @@ WITH e AS (SELECT 'part-' || p_partkey AS id, p_brand || '/' || p_type AS t FROM
 SELECT a.id AS element_id, a.t AS type_id, CAST(count(b.id) AS BIGINT) AS n_siblings, CASE WHEN a.t IS NULL THEN 'insufficient_data' ELSE 'ok' END AS status FROM e a LEFT JOIN e b ON a.t = b.t AND a.id <> b.id GROUP BY a.id, a.t""")
 def same_type_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bridge(spark, sf_dir)
-    return topology.same_type(b.elements(), b.element_types()).groupBy("element_id", "type_id", "status").agg(F.count("sibling_id").alias("n_siblings"))
+    return topology.same_type_counts(b.elements(), b.element_types())
 
 
 _CONTAINED = """
@@ -130,6 +130,31 @@ def change_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topology.change_impact(b.element_types(), b.elements().filter("type_id is not null"), spaces, b.appearances())
 
 
+@query("change_spaces", """
+WITH l AS (SELECT p_brand || '/' || p_type AS t, c_nationkey AS c, s_nationkey AS s, extract(year FROM l_shipdate) AS y, l_returnflag AS f FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
+e AS (SELECT t, s AS n, 'from_space' AS r, y, f FROM l UNION ALL SELECT t, c, 'to_space', y, f FROM l)
+SELECT t AS type_id, 'space-' || n AS space_id, count(DISTINCT r) AS relations, 0 AS blank FROM e WHERE n IN (SELECT n_nationkey FROM nation) GROUP BY ALL""")
+def change_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spaces that each type touches, with the kinds of their contexts, however many edges say so."""
+    b = Bridge(spark, sf_dir)
+    found = topology.impact_spaces(b.elements().filter("type_id is not null"), topology.related_spaces(b.elements(), b.spaces(), b.side_edges()))
+    return found.groupBy("type_id", "space_id").agg(F.count_distinct("relation_type").alias("relations"), F.count_if(F.col("provenance").isNull()).alias("blank"))
+
+
+@query("change_navigation", """
+WITH o AS (SELECT DISTINCT p_brand || '/' || p_type AS t, l_partkey AS p, l_orderkey AS k, l_linenumber AS n, CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS q, l_returnflag <> 'N' AS b FROM lineitem JOIN part ON p_partkey = l_partkey),
+v AS (SELECT t, k, n, q, b, count(DISTINCT p) AS m FROM o GROUP BY ALL)
+SELECT t AS type_id, CAST((SELECT count(*) FROM o WHERE o.t = v.t) AS BIGINT) AS occurrences, count(*) AS places, count(*) FILTER (WHERE b) AS zoomable, CAST(sum(m) AS BIGINT) AS seen FROM v GROUP BY t""")
+def change_navigation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of each type's instances, and the places they are seen at, once each."""
+    b = Bridge(spark, sf_dir)
+    box = F.when(F.col("x_min").isNotNull(), F.array("x_min", "y_min", "x_max", "y_max"))
+    drawn = b.appearances().withColumnRenamed("id", "appearance_id").withColumn("bbox", box).drop("x_min", "y_min", "x_max", "y_max")
+    shown = topology.impact_occurrences(b.elements().filter("type_id is not null"), drawn)
+    places = topology.impact_navigation(shown).groupBy("type_id").agg(F.count("*").alias("places"), F.count_if("can_zoom").alias("zoomable"), F.sum("n_instances").alias("seen"))
+    return shown.groupBy("type_id").agg(F.count("*").alias("occurrences")).join(places, "type_id")
+
+
 @query("context_coverage", """
 SELECT 'part-' || p_partkey AS id, CAST(3 AS BIGINT) AS properties, coalesce(a.n, 0) AS occurrences, coalesce(f.n, 0) AS facts FROM part
 LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) a ON a.l_partkey = p_partkey LEFT JOIN (SELECT p_partkey AS k, count(*) * 2 AS n FROM part GROUP BY 1) f ON f.k = p_partkey""")
@@ -315,7 +340,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All line items, dealt into 200 groups."""
     line = Bridge(spark, sf_dir).raw("lineitem")
     items = line.select((F.col("l_orderkey") % 200).alias("g"), (F.col("l_partkey") * 100000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("item")).distinct()
-    r = items.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("item")))
+    r = items.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("item"))).filter("r <= 6")
     nxt = F.lead("item").over(Window.partitionBy("g").orderBy("item"))
     explicit = r.withColumn("b", nxt).filter("r <= 5 and r % 2 = 1 and b is not null").select("g", F.col("item").alias("a"), "b")
     return items, explicit

@@ -250,11 +250,21 @@ def _evaluation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     """Each benchmark item asks for its second word; relevant documents hold its whole text."""
     b = Bridge(spark, sf_dir)
     docs = b.raw("documents").select("doc_id", "n_chars", "text")
-    cases = b.raw("benchmark").select(F.col("item_id").alias("case_id"), F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("w"), F.col("text").alias("item"))
-    asked = docs.join(F.broadcast(cases), F.col("text").contains(F.concat(F.lit(" "), "w", F.lit(" "))) | F.col("text").contains(F.col("item")))  # a set of questions
-    asked = asked.select("case_id", F.col("doc_id").alias("result_id"), "n_chars", F.col("text").contains(F.concat(F.lit(" "), "w", F.lit(" "))).alias("found"), F.col("text").contains(F.col("item")).alias("relevant"))
-    ranked = evaluation.ranks(asked.filter("found"), [F.col("n_chars"), F.col("result_id")])
-    return ranked, asked.filter("relevant"), cases
+    parts = F.split("item", " ")
+    cases = b.raw("benchmark").select(F.col("item_id").alias("case_id"), F.col("text").alias("item")).withColumn("second", F.get(parts, F.lit(1)))
+    cases = cases.withColumn("w", F.lower("second"))
+    # a word with blanks on both sides is no end of a text cut at blanks
+    inner = docs.select(F.col("doc_id").alias("result_id"), "n_chars", F.explode(F.array_distinct(F.expr("slice(split(text, ' '), 2, greatest(size(split(text, ' ')) - 2, 0))"))).alias("word"))
+    found = inner.join(cases.select("case_id", F.col("w").alias("word")), "word").select("case_id", "result_id", "n_chars")
+    # a text that holds an item of three words or more holds its second word so; shorter items are looked for in all texts
+    whole = docs.select(F.col("doc_id").alias("result_id"), "text")
+    long = cases.filter(F.size(parts) > 2).select("case_id", "item", F.col("second").alias("word"))
+    likely = inner.select("word", "result_id").join(long.select("word", "case_id"), "word").select("case_id", "result_id")
+    relevant = likely.join(whole, "result_id").join(long.select("case_id", "item"), "case_id").filter(F.col("text").contains(F.col("item"))).select("case_id", "result_id")
+    short = cases.filter(F.size(parts) <= 2).select("case_id", "item")
+    if not short.isEmpty():
+        relevant = relevant.unionByName(whole.join(short, F.col("text").contains(F.col("item"))).select("case_id", "result_id"))
+    return evaluation.ranks(found, [F.col("n_chars"), F.col("result_id")]), relevant, cases
 
 
 @query("retrieval_metrics", _EVAL + """, f AS (SELECT r.item_id, min(pos) AS first FROM r JOIN rel ON r.item_id = rel.item_id AND r.doc_id = rel.doc_id GROUP BY 1)

@@ -106,7 +106,11 @@ def test_topology_answers(core):
 
 def test_fact_and_location_answers(core):
     assert core.get_opening_width("element", "d1")["numeric_value"] == 900 and core.get_opening_width("element", "d2")["status"] == "not_found"
-    assert core.get_relative_elevation("d1") == {"entity_id": "d1", "status": "ok", "reference": "ssl", "fact_id": "a1", "numeric_value": 740.0, "unit": "mm", "candidate_references": []}
+    elevation = core.get_relative_elevation("d1")
+    assert {k: elevation[k] for k in ("entity_id", "status", "reference", "fact_id", "numeric_value", "unit", "candidate_references", "fact_source_kind", "supporting_fact_ids")} == {
+        "entity_id": "d1", "status": "ok", "reference": "ssl", "fact_id": "a1", "numeric_value": 740.0, "unit": "mm", "candidate_references": [], "fact_source_kind": "annotation", "supporting_fact_ids": ["a1"],
+    }
+    assert elevation["display_text"] and isinstance(elevation["evidence"], list)
     width = core.get_opening_width("element", "d1")
     assert width["candidate_ids"] == [] and [(e["evidence_kind"], e["id"]) for e in width["evidence"]] == [("evidence", "e1"), ("appearance", "ap1"), ("appearance", "ap2")]
     assert core.get_relative_elevation("d1", "FFL")["status"] == "insufficient_data" and core.get_relative_elevation("d2")["status"] == "not_found"
