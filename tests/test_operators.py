@@ -42,14 +42,14 @@ def test_index_agrees_with_search(spark):
 
 @pytest.fixture
 def things(spark):
-    e = spark.createDataFrame([("e1", "Door", "Main door", "D-101"), ("e2", "Door", "Side", "D-101"), ("e3", "Room", "Hall", "101"), ("e4", "Equipment", None, "X")], "id string, entity_class string, label string, number string")
-    p = spark.createDataFrame([("p1", "e4", "mark", "EL560"), ("p2", "e3", "mark", "EL560"), ("p3", "e1", "mark", "é")], "id string, semantic_entity_id string, source_name string, source_value string")
+    e = spark.createDataFrame([("e1", "Door", "Main door", "W-314"), ("e2", "Door", "Side", "W-314"), ("e3", "Room", "Hall", "314"), ("e4", "Equipment", None, "X")], "id string, entity_class string, label string, number string")
+    p = spark.createDataFrame([("p1", "e4", "mark", "KM731"), ("p2", "e3", "mark", "KM731"), ("p3", "e1", "mark", "é")], "id string, semantic_entity_id string, source_name string, source_value string")
     return e, p
 
 
 @pytest.mark.parametrize(("query", "cls", "limit", "status", "ids"), [
-    ("d-101", None, 20, "multiple_exact", ["e1", "e2"]), ("D-101", None, 1, "multiple_exact", ["e1"]), ("D-10", None, 20, "candidates", ["e1", "e2"]), ("101", "room", 20, "exact_unique", ["e3"]),
-    ("101", None, 20, "exact_unique", ["e3", "e1", "e2"]), ("el560", None, 20, "multiple_exact", ["e4", "e3"]), ("É", None, 20, "no_match", []), ("D-999", None, 20, "no_match", []), ("e", None, 1, "candidates", ["e2"]), (" ", None, 20, "no_match", []),
+    ("w-314", None, 20, "multiple_exact", ["e1", "e2"]), ("W-314", None, 1, "multiple_exact", ["e1"]), ("W-31", None, 20, "candidates", ["e1", "e2"]), ("314", "room", 20, "exact_unique", ["e3"]),
+    ("314", None, 20, "exact_unique", ["e3", "e1", "e2"]), ("km731", None, 20, "multiple_exact", ["e4", "e3"]), ("É", None, 20, "no_match", []), ("W-999", None, 20, "no_match", []), ("e", None, 1, "candidates", ["e2"]), (" ", None, 20, "no_match", []),
 ])
 def test_discovery(spark, things, query, cls, limit, status, ids):
     asked = spark.createDataFrame([(query, cls)], "query string, entity_class string")
