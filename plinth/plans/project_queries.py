@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.operators import pages
-from plinth.sources import project
+from plinth.sources import project, snapshots
 from plinth.sources.bridge import Bridge
 
 QUERIES, ORACLES = {}, {}
@@ -137,3 +137,36 @@ def project_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = project.records(pages_.withColumn("source_file", F.col("document_id")), docs, "1")
     lines = made["pdf_text_lines"].agg(F.countDistinct("id").alias("lines"), F.sum(F.length("text")).alias("chars"))
     return lines.join(made["pdf_pages"].agg(F.countDistinct("id").alias("pages")))
+
+
+def _snapshots(b: Bridge) -> DataFrame:
+    """A snapshot for every customer, with its orders as levels; some are of another version, some have strange or wrong fields."""
+    key = F.col("o_custkey")
+    off = lambda n, a, b_: F.when(key % n == 0, a).otherwise(b_)
+    level = F.struct(
+        F.concat(F.lit("l"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderstatus").alias("name"), F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey")).alias("elevation"), F.lit("mm").alias("unit"),
+        F.when(F.col("o_orderkey") % 7 == 0, "x").alias("strange"), F.lit("given").alias("provenance"), F.when(F.col("o_orderkey") % 5 == 0, "sure").alias("confidence"),
+    )
+    rows = b.raw("orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(level)).alias("levels"))
+    text = F.to_json(F.struct(off(3, 9, 1).alias("snapshot_version"), F.struct(key.alias("project_id")).alias("project"), F.struct("levels").alias("records")))
+    return rows.select(key.cast("string").alias("snapshot"), off(13, F.concat(text, F.lit("x")), text).alias("text"))
+
+
+_ORDERS = "WITH o AS (SELECT o_custkey AS c, o_orderkey AS k, o_custkey % 13 = 0 AS broken FROM orders)"
+
+
+@query("snapshot_records", _ORDERS + """
+SELECT CAST(c AS VARCHAR) AS snapshot, 'l' || k AS id, CASE WHEN k % 11 <> 0 THEN CAST(k AS DOUBLE) END AS elevation, NULL::DOUBLE AS confidence FROM o WHERE NOT broken""")
+def snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all snapshots as rows of their table."""
+    found = snapshots.table(snapshots.parsed(_snapshots(Bridge(spark, sf_dir))), "levels")
+    return found.select("snapshot", "id", "elevation", "confidence")
+
+
+@query("snapshot_problems", _ORDERS + """
+SELECT CAST(c AS VARCHAR) AS snapshot, '$' AS place, 'not strict JSON' AS problem FROM o WHERE broken GROUP BY c UNION ALL SELECT CAST(c AS VARCHAR), '$.snapshot_version', 'unsupported' FROM o WHERE NOT broken AND c % 3 = 0 GROUP BY c
+UNION ALL SELECT CAST(c AS VARCHAR), CASE WHEN k % 7 = 0 THEN 'strange' END, 'unknown field' FROM o WHERE NOT broken AND k % 7 = 0 UNION ALL SELECT CAST(c AS VARCHAR), 'confidence', 'another type' FROM o WHERE NOT broken AND k % 5 = 0""")
+def snapshot_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What breaks the format in all snapshots; of a record's field its name only."""
+    found = snapshots.problems(snapshots.parsed(_snapshots(Bridge(spark, sf_dir))))
+    return found.withColumn("place", F.when(F.col("place").contains("]."), F.regexp_extract("place", r"\]\.(.*)$", 1)).otherwise(F.col("place")))

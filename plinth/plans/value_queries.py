@@ -54,10 +54,31 @@ def nearby_one_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_vec_id", "r_vec_id", F.round("distance", 4).alias("distance"))
 
 
-@query("nearby_radius_zero", _COVER + "SELECT a AS l_vec_id, b AS r_vec_id FROM s WHERE reason IS NULL AND d <= 0")
+@query("nearby_radius_zero", _COVER + """, z AS (SELECT vec_id AS a FROM embeddings WHERE label <> 9 AND vec_id % 7 = 0)
+SELECT a AS l_vec_id, b AS r_vec_id FROM s WHERE reason IS NULL AND d <= 0 UNION ALL SELECT a, -a - 1 FROM z UNION ALL SELECT -a - 1, a FROM z""")
 def nearby_radius_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations that touch."""
-    return spatial.nearby(_located(spark, sf_dir).filter("status = 'ok'"), 0.0, ["vec_id"]).select("l_vec_id", "r_vec_id")
+    """Locations that touch: a seventh of them has a second one at the same place."""
+    rows = _located(spark, sf_dir).filter("status = 'ok'")
+    rows = rows.unionByName(rows.filter("vec_id % 7 = 0").withColumn("vec_id", -F.col("vec_id") - 1))
+    return spatial.nearby(rows, 0.0, ["vec_id"]).select("l_vec_id", "r_vec_id")
+
+
+@query("occurrence_states", """
+WITH g AS (SELECT vec_id % 150 AS e, CASE WHEN vec_id % 450 >= 150 THEN 'link' || (vec_id // 450) % 2 END AS link, label % 4 < 2 AS usable FROM embeddings),
+o AS (SELECT e, link, CASE WHEN count(*) FILTER (WHERE usable) > 1 THEN 'ambiguous_geometry' WHEN count(*) FILTER (WHERE usable) = 0 THEN 'insufficient_data' ELSE 'ok' END AS st FROM g GROUP BY ALL)
+SELECT CAST(e AS VARCHAR) AS entity_id, count(*) AS n, CASE WHEN count(*) > 1 THEN 'ambiguous_occurrence' ELSE min(st) END AS status, coalesce(string_agg(link, ',' ORDER BY link), '') AS links, count(*) FILTER (WHERE st = 'ok') AS located, count(*) FILTER (WHERE st = 'ambiguous_geometry') AS doubtful FROM o GROUP BY e""")
+def occurrence_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities in the host or in links, with points, lines, shapes that are no location, and broken ones."""
+    v = Bridge(spark, sf_dir).raw("embeddings").select("vec_id", "label")
+    key, way = F.col("vec_id"), F.col("label") % 4
+    link = F.when(key % 450 >= 150, F.concat(F.lit("link"), (F.floor(key / 450) % 2).cast("string")))
+    kind = F.when(way == 1, "line").when(way == 2, "bbox3d").otherwise("point")
+    shape = F.when(way == 0, '{"point":[1,2,3]}').when(way == 1, '{"start":[0,0,0],"end":[1,0,0]}').otherwise('{"point":[1,2]}')
+    rows = v.select(key.cast("string").alias("id"), F.lit("element").alias("entity_kind"), (key % 150).cast("string").alias("entity_id"), link.alias("link_instance_id"), kind.alias("geometry_type"), shape.alias("geometry_json"), F.lit("host").alias("coordinate_system"), F.lit("mm").alias("unit"))
+    places = spatial.resolved_locations(rows)
+    count = lambda s: F.count_if(F.col("status") == s)
+    told = places.groupBy("entity_id").agg(count("ok").alias("located"), count("ambiguous_geometry").alias("doubtful"))
+    return spatial.occurrence_status(places).join(told, "entity_id").select("entity_id", "n", "status", F.array_join("links", ",").alias("links"), "located", "doubtful")
 
 
 @query("distance_status", """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.text import is_sha256
 from plinth.operators import integrity, pages, postings, validate
-from plinth.sources import files
+from plinth.sources import files, snapshots
 from plinth.sources.schema import CAPABILITIES, TABLES
 
 VERSION, REQUIRED_METADATA = 2, ("schema_version", "generator_version", "project_id", "created_from")
@@ -158,22 +158,14 @@ def from_records(spark: SparkSession, records: Mapping[str, list[dict]], metadat
 
 
 def read_snapshot(spark: SparkSession, path: str) -> Store:
-    """A store from a snapshot JSON file ``{snapshot_version, coordinate_system, unit, project, records}``."""
-    text = "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
-
-    def once(pairs: list[tuple]) -> dict:
-        found = dict(pairs)
-        if len(found) != len(pairs):
-            raise StoreError("a JSON object names a key twice")
-        return found
-
-    data = json.loads(text, object_pairs_hook=once, parse_constant=lambda c: (_ for _ in ()).throw(StoreError(f"{c} is no number")))
-    for key in ("snapshot_version", "records", "project"):
-        if key not in data:
-            raise StoreError(f"$.{key} is missing")
-    if data["snapshot_version"] not in (1, "1", "1.0"):
-        raise StoreError(f"$.snapshot_version {data['snapshot_version']} is not supported")
-    return from_records(spark, data["records"], {"project_id": str(data["project"].get("project_id", "project")), "created_from": "snapshot"})
+    """A store from a snapshot JSON file ``{snapshot_version, coordinate_system, unit, project, records}``; Spark parses it, and any breach of the
+    format is an error."""
+    docs = snapshots.parsed(spark.read.text(path, wholetext=True).select(F.lit(path).alias("snapshot"), F.col("value").alias("text")))
+    bad = snapshots.problems(docs).orderBy("place", "problem").first() or (docs.isEmpty() and {"place": "$", "problem": "not strict JSON"})  # an empty file has no row
+    if bad:
+        raise StoreError(f"{bad['place']}: {bad['problem']}")
+    about = docs.select(F.map_keys(F.try_variant_get("doc", "$.records", "map<string,variant>")).alias("names"), F.try_variant_get("doc", "$.project.project_id", "string").alias("project")).first()
+    return Store(spark, {name: snapshots.table(docs, name).drop("snapshot") for name in about["names"]}, {"project_id": about["project"] or "project", "created_from": "snapshot"})
 
 
 def text_records(documents: DataFrame) -> dict[str, DataFrame]:
