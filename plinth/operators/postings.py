@@ -12,9 +12,11 @@ search reads no other table.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +29,25 @@ _LENGTH = "record_kind string, record_id string, length int"
 
 
 def positions(content: DataFrame) -> DataFrame:
-    """``(term, record_kind, record_id, length, positions)`` of ``content(record_kind, record_id, content)``."""
-    words = content.select(*_RECORD, tokens(F.col("content")).alias("tokens"))
-    each = words.select(*_RECORD, F.size("tokens").alias("length"), F.posexplode("tokens").alias("at", "term"))
-    return each.groupBy("term", *_RECORD, "length").agg(F.array_sort(F.collect_list("at")).alias("positions")).select("term", *_RECORD, "length", "positions")
+    """``(term, record_kind, record_id, length, positions)`` of ``content(record_kind, record_id, content)``, whose records are unique.
+
+    Each record is taken apart where it is: a shuffle of all words would cost more than the index.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.list_(pa.int32()))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 64):
+                rows = []
+                for kind, ident, words in zip(*(c.to_pylist() for c in whole.slice(start, 64).columns), strict=True):
+                    places: dict[str, list[int]] = {}
+                    for i, word in enumerate(words):
+                        places.setdefault(word, []).append(i)
+                    rows += [(word, kind, ident, len(words), at) for word, at in places.items()]
+                columns = list(zip(*rows, strict=True)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["term", *_RECORD, "length", "positions"])
+
+    return content.select(*_RECORD, tokens(F.col("content")).alias("tokens")).mapInArrow(run, _POSTING)
 
 
 @dataclass(frozen=True)
