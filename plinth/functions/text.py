@@ -101,13 +101,16 @@ def is_timestamp(text: Column) -> Column:
     return F.coalesce(shaped & real, F.lit(False))
 
 
-def from_unix(seconds: Column) -> Column:
-    """ISO 8601 in UTC of decimal Unix seconds from 0 to the year 9999, to the microsecond, half to even; null beyond."""
+def from_unix(seconds: Column, end: int = 253402300800) -> Column:
+    """ISO 8601 in UTC of decimal Unix seconds from 0 to ``end`` (the year 9999), to the microsecond, half to even; null beyond.
+
+    Doubles are taken as their shortest decimals; give decimals where a product of doubles is meant. Later years have more digits.
+    """
     micros = F.bround(seconds.cast("decimal(38,12)") * 1_000_000, 0).cast("bigint")
-    good = (seconds >= 0) & (seconds < 253402300800)
+    good = (seconds >= 0) & (seconds < end)
     stamp = F.timestamp_micros(micros)
     tail = F.when(micros % 1_000_000 == 0, "").otherwise(F.concat(F.lit("."), F.lpad((micros % 1_000_000).cast("string"), 6, "0")))
-    return F.when(good, F.concat(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss"), tail, F.lit("Z")))
+    return F.when(good, F.concat(F.year(stamp).cast("string"), F.date_format(stamp, "-MM-dd'T'HH:mm:ss"), tail, F.lit("Z")))
 
 
 def sorted_map(counts: Column) -> Column:
