@@ -57,10 +57,10 @@ def _cases(b: Bridge) -> DataFrame:
     return orders.select(key.cast("string").alias("case_id"), F.to_json(F.struct(key.cast("string").alias("case_id"), run.alias("baseline"), wanted.alias("expected"))).alias("json"))
 
 
-def _both(spark: SparkSession, sf_dir: str) -> tuple[evaluation.Expected, DataFrame, DataFrame]:
+def _both(spark: SparkSession, sf_dir: str) -> tuple[evaluation.Expected, payload.Documents, DataFrame]:
     b = Bridge(spark, sf_dir)
     got = _answers(b)
-    return evaluation.Expected(payload.cells(_cases(b), "case_id", "json")), payload.cells(got, "case_id", "payload"), got
+    return evaluation.Expected(payload.Documents(_cases(b), "case_id", "json")), payload.Documents(got, "case_id", "payload"), got
 
 
 _LINES = "WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s, l_returnflag <> 'R' AS placed FROM lineitem), c AS (SELECT o_orderkey AS k, o_orderstatus AS st FROM orders)"
@@ -80,7 +80,7 @@ SELECT CAST(k AS VARCHAR) AS case_id, field, count(DISTINCT value) AS n, max(val
   SELECT k, 'semantic_entity_ids' AS field, '"part-' || p || '"' AS value FROM l UNION ALL SELECT k, 'source_references', '{"id":"supplier-' || s || '","kind":"supplier"}' FROM l WHERE placed) JOIN c USING (k) GROUP BY ALL""")
 def payload_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities and references that the answers name, each once."""
-    found = evaluation.observed(payload.cells(_answers(Bridge(spark, sf_dir)), "case_id", "payload"))
+    found = evaluation.observed(payload.Documents(_answers(Bridge(spark, sf_dir)), "case_id", "payload"))
     return found.groupBy("case_id", "field").agg(F.count("*").alias("n"), F.max("value").alias("last"))
 
 
