@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.functions.geometry import boxes_touch, clamp, decode_primitive, vertical_relation
+from plinth.session import staged
 
 BOX = [f"{m}_{c}" for c in "xyz" for m in ("min", "max")]
 
@@ -117,24 +118,33 @@ def distances(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     p, q = F.col(a), F.col(b)
     end = lambda x, c: F.when(x["kind"] == "point", x["s"][c]).otherwise(x["e"][c])
     out = pairs.withColumns({f"_u{c}": end(p, c) - p["s"][c] for c in "xyz"} | {f"_v{c}": end(q, c) - q["s"][c] for c in "xyz"} | {f"_w{c}": p["s"][c] - q["s"][c] for c in "xyz"})
+    distance = F.sqrt(F.least("_d0", "_d1", "_d2", "_d3", F.coalesce(_inner(), F.lit(float("inf")))))
+    return _closest(out).select(*kept, distance.alias("distance"), F.concat(F.col(f"{a}.kind"), F.lit("_to_"), F.col(f"{b}.kind")).alias("basis"))
+
+
+def _places() -> list[tuple[Column, Column]]:
+    return [(F.lit(0.0), F.col("_t1")), (F.lit(1.0), F.col("_t2")), (F.col("_s3"), F.lit(0.0)), (F.col("_s4"), F.lit(1.0)), (F.col("_s5"), F.col("_t5"))]
+
+
+def _inner() -> Column:
+    return F.when(F.col("_s5").between(0.0, 1.0) & F.col("_t5").between(0.0, 1.0), F.col("_d4"))
+
+
+def _closest(pairs: DataFrame) -> DataFrame:
+    """Adds ``_d0`` .. ``_d4``, the squared distances at five pairs of places, for ``_u``, ``_v`` along the segments and ``_w`` between their starts."""
     dot = lambda m, n: F.col(f"_{m}x") * F.col(f"_{n}x") + F.col(f"_{m}y") * F.col(f"_{n}y") + F.col(f"_{m}z") * F.col(f"_{n}z")
-    out = out.withColumns({f"_{m}{n}": dot(m, n) for m, n in ("uu", "uv", "vv", "uw", "vw")})
+    out = pairs.withColumns({f"_{m}{n}": dot(m, n) for m, n in ("uu", "uv", "vv", "uw", "vw")})
     uu, uv, vv, uw, vw = (F.col(f"_{x}") for x in ("uu", "uv", "vv", "uw", "vw"))
     out = out.withColumn("_den", uu * vv - uv * uv)
     out = out.withColumn("_safe", F.when(F.col("_den") > F.lit(1e-15) * uu * vv, F.col("_den")))
     ratio = lambda x, size: F.when(size > 0, clamp(x / F.nullif(size, F.lit(0.0)))).otherwise(0.0)
     out = out.withColumns({"_t1": ratio(vw, vv), "_t2": ratio(vw + uv, vv), "_s3": ratio(-uw, uu), "_s4": ratio(uv - uw, uu), "_s5": (uv * vw - vv * uw) / F.col("_safe"), "_t5": (uu * vw - uv * uw) / F.col("_safe")})
-    zero, one = F.lit(0.0), F.lit(1.0)
-    places = [(zero, F.col("_t1")), (one, F.col("_t2")), (F.col("_s3"), zero), (F.col("_s4"), one), (F.col("_s5"), F.col("_t5"))]
 
     def squared(s: Column, t: Column) -> Column:
         x, y, z = (F.col(f"_w{c}") + s * F.col(f"_u{c}") - t * F.col(f"_v{c}") for c in "xyz")
         return x * x + y * y + z * z
 
-    out = out.withColumns({f"_d{i}": squared(s, t) for i, (s, t) in enumerate(places)})
-    inner = F.when(F.col("_s5").between(0.0, 1.0) & F.col("_t5").between(0.0, 1.0), F.col("_d4"))
-    distance = F.sqrt(F.least("_d0", "_d1", "_d2", "_d3", F.coalesce(inner, F.lit(float("inf")))))
-    return out.select(*kept, distance.alias("distance"), F.concat(F.col(f"{a}.kind"), F.lit("_to_"), F.col(f"{b}.kind")).alias("basis"))
+    return out.withColumns({f"_d{i}": squared(s, t) for i, (s, t) in enumerate(_places())})
 
 
 #: What locations must share to be compared, and why they are not (fixed name).
@@ -153,18 +163,75 @@ def _near(locations: DataFrame, radius: float, keys: list[str], cell: float | No
     return pairs.filter(~itself)
 
 
+#: Cells are as wide as the radius or an eighth of the usual extent; lines are listed by stretches of so many pieces.
+_PARTS, _STRETCH = 8, 1024
+
+
+def _listed(locations: DataFrame, p: str, keys: list[str], same: tuple[str, ...], size: float, reach: float) -> DataFrame:
+    """Each location once in every cell that comes within ``reach`` of it on all axes; ``place`` is a hash of the cell and ``same``.
+
+    A line is taken in pieces of a quarter of a cell. Very long ones are listed stretch by stretch, so that no array is long.
+    """
+    at = F.col("primitive")
+    line = {f"s{c}": at["s"][c] for c in "xyz"} | {f"u{c}": F.when(at["kind"] == "point", 0.0).otherwise(at["e"][c] - at["s"][c]) for c in "xyz"}
+    finite = reduce(lambda a, b: a & b, [F.abs(c) < float("inf") for c in line.values()])
+    rows = locations.filter(finite).select(*keys, *same, at["kind"].alias("kind"), *[F.coalesce(c, F.lit(0.0)).alias(n) for n, c in line.items()])
+    rows = rows.withColumn("pieces", F.coalesce(F.greatest(F.lit(1), F.ceil(F.greatest(*[F.abs(f"u{c}") for c in "xyz"]) * 4 / size)).cast("long"), F.lit(1)))
+    rows = rows.withColumn("stretch", F.explode(F.expr(f"sequence(0L, (pieces - 1) div {_STRETCH})")))
+
+    def cells(i: Column) -> Column:
+        def axis(c: str) -> Column:
+            ends = [F.col(f"s{c}") + F.col(f"u{c}") * (i + k) / F.col("pieces") for k in (0, 1)]
+            slack = F.lit(reach + size * 1e-6) + F.abs(ends[0]) * 1e-12
+            return F.sequence(F.floor((F.least(*ends) - slack) / size), F.floor((F.greatest(*ends) + slack) / size))
+
+        return F.flatten(F.transform(axis("x"), lambda x: F.flatten(F.transform(axis("y"), lambda y: F.transform(axis("z"), lambda z: F.xxhash64(x, y, z, *same))))))
+
+    of = F.sequence(F.col("stretch") * _STRETCH, F.least(F.col("pieces"), (F.col("stretch") + 1) * _STRETCH) - 1)
+    placed = rows.select(F.explode(F.array_distinct(F.flatten(F.transform(of, cells)))).alias("place"), "*")
+    return placed.select("place", *[F.col(c).alias(f"{p}_{c}") for c in rows.columns])
+
+
 def nearby(locations: DataFrame, radius: float, keys: list[str], cell: float | None = None) -> DataFrame:
     """Ordered pairs of different locations within ``radius`` (inclusive), with exact distances.
 
-    ``locations`` holds ``keys``, ``primitive`` and its box; the subject's box is widened by the radius and joined by
-    grid cells, and the exact distance decides. Where there are columns ``coordinate_system`` and ``unit``, only
-    locations that agree in both are compared.
+    ``locations`` holds ``keys``, ``primitive`` and its box. Where there are columns ``coordinate_system`` and ``unit``, only
+    locations that agree in both are compared. Locations meet in the cells of a grid that one passes and the other comes within
+    the radius of; the exact distance decides, and a pair counts only in the cell of the closest point, so nothing has to
+    be deduplicated. Each pair is measured once and given in both orders.
     """
-    same = FRAME if set(FRAME) <= set(locations.columns) else ()
-    out = distances(_near(locations, radius, keys, cell, same), "l_primitive", "r_primitive")
+    return _both_orders(_measured(locations, locations, radius, keys, cell), keys)
+
+
+def _both_orders(found: DataFrame, keys: list[str]) -> DataFrame:
+    turned = [F.col(f"{b}_{k}").alias(f"{a}_{k}") for a, b in ("lr", "rl") for k in keys]
+    basis = F.concat("r_kind", F.lit("_to_"), "l_kind").alias("basis"), F.concat("l_kind", F.lit("_to_"), "r_kind").alias("basis")
+    ways = F.array(F.struct(*[F.col(f"{a}_{k}") for a in "lr" for k in keys], basis[1]), F.struct(*turned, basis[0]))
+    out = found.select("distance", F.explode(ways).alias("way"))
+    return out.select(*[f"way.l_{k}" for k in keys], *[f"way.r_{k}" for k in keys], "distance", "way.basis")
+
+
+def _measured(subjects: DataFrame, others: DataFrame, radius: float, keys: list[str], cell: float | None, ordered: bool = False) -> DataFrame:
+    """Pairs within the radius with keys and kinds of both, once: the smaller keys left, or with ``ordered`` the subject left."""
+    if not 0 <= radius < float("inf"):
+        raise ValueError("radius must be finite and not negative")
+    same = FRAME if set(FRAME) <= set(others.columns) else ()
+    size = cell or max(radius, usual_extent(others) / _PARTS)
+    pairs = _listed(subjects, "l", keys, same, size, radius).join(_listed(others, "r", keys, same, size, 0.0), "place")
+    left, right = (F.struct(*[F.col(f"{p}_{k}") for k in keys]) for p in "lr")
+    pairs = pairs.filter(~left.eqNullSafe(right) if ordered else left < right)
+    for c in same:
+        pairs = pairs.filter(F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")))
+    pairs = pairs.withColumns({f"_u{c}": F.col(f"l_u{c}") for c in "xyz"} | {f"_v{c}": F.col(f"r_u{c}") for c in "xyz"} | {f"_w{c}": F.col(f"l_s{c}") - F.col(f"r_s{c}") for c in "xyz"})
+    out = _closest(pairs).withColumn("_best", F.least("_d0", "_d1", "_d2", "_d3", F.coalesce(_inner(), F.lit(float("inf")))))
+    pick = lambda i: reduce(lambda rest, k: F.when(F.col(f"_d{k}") == F.col("_best"), _places()[k][i]).otherwise(rest), (3, 2, 1, 0), _places()[4][i])
+    out = out.withColumns({"_s": pick(0), "_t": pick(1)})
+    stretch = lambda t, p: F.floor(F.least(t * F.col(f"{p}_pieces"), F.col(f"{p}_pieces") - 0.5) / _STRETCH)
+    here = F.xxhash64(*[F.floor((F.col(f"r_s{c}") + F.col("_t") * F.col(f"_v{c}")) / size) for c in "xyz"], *[F.col(f"l_{c}") for c in same])
+    counts = (F.sqrt("_best") <= radius) & (F.col("place") == here) & (F.col("l_stretch") == stretch(F.col("_s"), "l")) & (F.col("r_stretch") == stretch(F.col("_t"), "r"))
     # a filter would be pushed below the steps of the distance and repeat them; a generator is not
-    out = out.withColumn("distance", F.explode(F.when(F.col("distance") <= radius, F.array("distance"))))
-    return out.select(*[f"l_{k}" for k in keys], *[f"r_{k}" for k in keys], "distance", "basis")
+    found = out.withColumn("distance", F.explode(F.when(counts, F.array(F.sqrt("_best")))))
+    return found.select(*[f"{p}_{k}" for p in "lr" for k in keys], "l_kind", "r_kind", "distance")
 
 
 def coverage(locations: DataFrame, unusable: DataFrame, radius: float, keys: list[str], cell: float | None = None) -> DataFrame:
@@ -184,9 +251,28 @@ def coverage(locations: DataFrame, unusable: DataFrame, radius: float, keys: lis
     return out.groupBy(*[f"l_{k}" for k in keys]).agg(F.count("*").alias("indexed"), F.count_if(near).alias("exact"), F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), left))).alias("skipped"))
 
 
+def coverage_counts(locations: DataFrame, unusable: DataFrame, radius: float, keys: list[str], reasons: dict[str, str], cell: float | None = None) -> DataFrame:
+    """:func:`coverage` with numbers instead of lists: ``(l_keys, indexed, exact)`` and how often each of ``reasons`` (column by
+    reason) skipped something. Boxes are only counted; distances are taken of the pairs that :func:`nearby` meets."""
+    cols = [*keys, *BOX]
+    both = locations.select(*cols, *FRAME, F.lit("ok").alias("status")).unionByName(unusable.select(*cols, "status"), allowMissingColumns=True)
+    pairs = _near(both, radius, keys, cell, ()).filter("l_status = 'ok'")
+    frame = reduce(lambda a, c: a & F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")), FRAME, F.lit(True))
+    reason = F.when(F.col("r_status") != "ok", F.col("r_status")).when(~frame, OTHER_FRAME)
+    of = [f"l_{k}" for k in keys]
+    met = pairs.withColumn("reason", reason).groupBy(*of).agg(F.count("*").alias("indexed"), *[F.count_if(F.col("reason") == r).alias(n) for r, n in reasons.items()])
+    near = nearby(locations, radius, keys, cell).groupBy(*of).agg(F.count("*").alias("exact"))
+    same = reduce(lambda a, b: a & b, [met[k].eqNullSafe(near[k]) for k in of])
+    return met.join(near, same, "left").select(*[met[k] for k in of], "indexed", F.coalesce("exact", F.lit(0)).alias("exact"), *reasons.values())
+
+
 def nearest_status(covered: DataFrame) -> Column:
     """``ok`` with a result, ``insufficient_data`` where something in reach was skipped, else ``no_match``."""
-    return F.when(F.col("exact") > 0, "ok").when(F.size("skipped") > 0, "insufficient_data").otherwise("no_match")
+    return found_status(F.col("exact"), F.size("skipped"))
+
+
+def found_status(exact: Column, skipped: Column) -> Column:
+    return F.when(exact > 0, "ok").when(skipped > 0, "insufficient_data").otherwise("no_match")
 
 
 def pair_status(a: Column, b: Column, same_frame: Column) -> Column:
@@ -200,6 +286,26 @@ def nearest(found: DataFrame, subject: list[str], other: list[str]) -> DataFrame
     return found.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
+def nearest_within(locations: DataFrame, radius: float, keys: list[str], digits: int = 6) -> DataFrame:
+    """The first other location of each that has one within ``radius``: by distance, rounded to ``digits``, then by keys.
+
+    ``(l_keys, r_keys, distance)``. The search widens in three rounds, each for the locations that the one before has not settled, so
+    that few of the pairs within the whole radius are ever made.
+    """
+    slack = 10.0**-digits
+    left, found = locations, []
+    for reach in (radius / 16, radius / 4, radius):
+        pairs = _measured(left, locations, reach, keys, None, ordered=True).withColumn("rounded", F.round("distance", digits))
+        best = pairs.groupBy(*[f"l_{k}" for k in keys]).agg(F.min(F.struct("rounded", *[f"r_{k}" for k in keys], "distance")).alias("best"))
+        if reach < radius:
+            best = best.filter(F.col("best.rounded") < reach - slack)  # a tie beyond the reach may come first
+        found.append(staged(best, "nearest"))
+        done = found[-1].select(F.struct(*[F.col(f"l_{k}").alias(k) for k in keys]).alias("done"))  # structs are equal if both hold null
+        left = left.join(done, F.struct(*keys) == F.col("done"), "left_anti")
+    out = reduce(DataFrame.unionByName, found)
+    return out.select(*[f"l_{k}" for k in keys], *[f"best.r_{k}" for k in keys], "best.distance")
+
+
 def vertical(pairs: DataFrame) -> DataFrame:
     """Adds ``relation`` and ``separation`` from ``l_``/``r_`` boxes."""
     v = vertical_relation(F.col("l_min_z"), F.col("l_max_z"), F.col("r_min_z"), F.col("r_max_z"))
