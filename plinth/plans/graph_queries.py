@@ -321,8 +321,8 @@ def nearby(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("nearest", _NEAR + ", r AS (SELECT a, b, d, row_number() OVER (PARTITION BY a ORDER BY round(d, 6), b) AS k FROM n WHERE d <= 40) SELECT a AS l_vec_id, b AS r_vec_id, round(d, 3) AS distance FROM r WHERE k = 1")
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = spatial.nearby(Bridge(spark, sf_dir).geometries(), 40.0, ["vec_id"]).withColumn("distance", F.round("distance", 6))
-    return spatial.nearest(found, ["l_vec_id"], ["r_vec_id"]).select("l_vec_id", "r_vec_id", F.round("distance", 3).alias("distance"))
+    found = spatial.nearest_within(Bridge(spark, sf_dir).geometries(), 40.0, ["vec_id"], 6)
+    return found.select("l_vec_id", "r_vec_id", F.round("distance", 3).alias("distance"))
 
 
 @query("pair_cap", """
