@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.common import held_out, unit_hash
+from plinth.llm.common import forget, held_out, saved
 
 FEATURES = (
     "log_words", "word_length", "upper", "letters", "symbols", "noise", "digits", "marks_per_word", "distinct", "distinct_root",
@@ -133,26 +133,117 @@ def _features_of(rows: DataFrame, keep: str) -> DataFrame:
     return rows.mapInArrow(run, f"{keep}, x array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 6000, threshold: float = 0.3, seed: int = 42) -> Ranking:
-    """Learns from labelled rows that are not held out.
+#: Training rows of a block, of each class at least so many (by copies of the rarer one), and bins of a round of the quantile.
+BLOCK_ROWS, LEAST_OF_CLASS, BINS = 8192, 64, 256
 
-    At most about ``max_per_class`` rows of each class are used, chosen by a seeded hash of the id: that bound, not the
-    input, sets what reaches the driver. Null labels are ignored; an id labelled twice counts as its mean label.
+
+def _block_arrays(members: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, class and whether it is no copy, of the rows of one block."""
+    rows = members.values
+    x = rows.field("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+    return x, rows.field("good").to_numpy(zero_copy_only=False).astype(bool), rows.field("copy").to_numpy() == 0
+
+
+def _over_blocks(blocks: DataFrame, numbers) -> np.ndarray:
+    """``numbers(block, x, good, first)`` of every block, one row a block in order of the blocks: sums do not depend on the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [numbers(k.as_py(), *_block_arrays(m)).tolist() for k, m in zip(batch.column("block"), batch.column("members"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(found, type=pa.list_(pa.float64()))], names=["block", "v"])
+
+    found = blocks.mapInArrow(run, "block bigint, v array<double>").collect()
+    return np.array([r["v"] for r in sorted(found, key=lambda r: r["block"])], dtype=float)
+
+
+def _blocks(rows: DataFrame, sizes: dict[bool, int], seed: int, block_rows: int) -> DataFrame:
+    """``(block, members)``: all rows dealt to blocks by a seeded hash; where a class is rare, its rows are copied to several."""
+    n = -(-sum(sizes.values()) // block_rows)
+    copies = {k: min(n, -(-LEAST_OF_CLASS * n // size)) for k, size in sizes.items()}
+    dealt = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("good"), copies[True]).otherwise(copies[False]) - 1)))
+    dealt = dealt.withColumn("block", F.pmod(F.pmod(F.xxhash64(F.lit(seed), "lid", "x"), F.lit(n)) + F.col("copy"), F.lit(n)).cast("bigint"))
+    return dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("lid", "x", "good", "copy"))).alias("members"))
+
+
+def _nth(blocks: DataFrame, model: Ranking, k: int) -> float:
+    """The ``k``-th smallest raw score of all rows (from 0), exactly: rounds of counting by bin narrow down to one value."""
+    low, high = -np.inf, np.inf
+
+    def ends(_, x, good, first):
+        v = model.raw(x)[first]
+        return np.array([v.min(), v.max()]) if len(v) else np.array([np.inf, -np.inf])
+
+    def count(_, x, good, first):
+        v = model.raw(x)[first]
+        at = np.clip((v - low) / (high - low) * BINS, 0, BINS - 1).astype(int)
+        at, v = at[(v >= low) & (v <= high)], v[(v >= low) & (v <= high)]
+        least, most = np.full(BINS, np.inf), np.full(BINS, -np.inf)
+        np.minimum.at(least, at, v)
+        np.maximum.at(most, at, v)
+        return np.concatenate([np.bincount(at, minlength=BINS), least, most])
+
+    found = _over_blocks(blocks, ends)
+    low, high = found[:, 0].min(), found[:, 1].max()
+    while low < high:
+        found = _over_blocks(blocks, count).reshape(-1, 3, BINS)
+        upto = np.cumsum(found[:, 0].sum(axis=0))
+        at = int(np.searchsorted(upto, k, side="right"))
+        k -= int(upto[at - 1]) if at else 0
+        low, high = found[:, 1, at].min(), found[:, 2, at].max()
+    return float(low)
+
+
+def fit_blocks(blocks: DataFrame, pairs_per_row: int = 8, ridge: float = 1e-3, threshold: float = 0.3, seed: int = 42) -> Ranking:
+    """:func:`fit_pairs` over the blocks of all training rows: every row is in pairs, and in the quantile that sets ``shift``."""
+    model, d = Ranking(threshold=threshold), len(FEATURES)
+    sums = _over_blocks(blocks, lambda _, x, good, first: np.concatenate([[first.sum(), (first & ~good).sum()], x[first].sum(axis=0)])).sum(axis=0)
+    n, bad = int(sums[0]), int(sums[1])
+    model.mean = mean = sums[2:] / n
+    model.scale = np.maximum(np.sqrt(_over_blocks(blocks, lambda _, x, good, first: ((x[first] - mean) ** 2).sum(axis=0)).sum(axis=0) / n), 1e-9)
+    w = np.zeros(d)
+
+    def slope(block, x, good, first):
+        a, b = np.flatnonzero(good), np.flatnonzero(~good)
+        if not len(a) or not len(b):
+            return np.zeros(1 + d + d * d)
+        rng, m = np.random.default_rng([seed, block]), pairs_per_row * max(len(a), len(b))
+        z = np.clip((x - model.mean) / model.scale, -8, 8)
+        apart = z[rng.permutation(np.resize(a, m))] - z[rng.permutation(np.resize(b, m))]
+        p = 1 / (1 + np.exp(np.clip(apart @ w, -40, 40)))
+        return np.concatenate([[m], apart.T @ p, ((apart * (p * (1 - p))[:, None]).T @ apart).ravel()])
+
+    for _ in range(30):
+        sums = _over_blocks(blocks, slope).sum(axis=0)
+        gradient, curve = sums[1 : 1 + d] / sums[0] - ridge * w, sums[1 + d :].reshape(d, d) / sums[0] + ridge * np.eye(d)
+        step = np.linalg.solve(curve, gradient)
+        w = w + step
+        if np.abs(step).max() < 1e-7:
+            break
+    model.weights = w
+    k = max(min(bad - 1, n - 2), 0)
+    model.shift = (_nth(blocks, model, k) + _nth(blocks, model, k + 1)) / 2
+    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, seed: int = 42, block_rows: int = BLOCK_ROWS) -> Ranking:
+    """Learns from every labelled row that is not held out.
+
+    Features are taken where the texts are and joined with the labels; blocks of about ``block_rows`` rows are stored, and each step of the
+    fit sums over them, so that only sums reach the driver. Null labels are ignored; an id labelled twice counts as its mean label.
     """
     marked = labels.select(F.col("doc_id").alias("lid"), F.col("quality").cast("double").alias("q")).filter("lid is not null and q is not null")
     marked = marked.filter(~held_out(F.col("lid"))).groupBy("lid").agg((F.avg("q") >= 0.5).alias("good"))
-    sizes = {r["good"]: r["n"] for r in marked.groupBy("good").agg(F.count("*").alias("n")).collect()}
-    rates = {k: min(1.0, max_per_class / n) for k, n in sizes.items()}
-    if len(rates) < 2:
-        return Ranking(threshold=threshold)
-    chosen = marked.filter(unit_hash(F.col("lid"), seed=seed) < F.when(F.col("good"), rates[True]).otherwise(rates[False]))
-    rows = docs.select(F.col("doc_id").alias("lid"), "text").join(F.broadcast(chosen), "lid").select("lid", "text", "good")
-    found = _features_of(rows, "lid bigint, good boolean").toPandas().sort_values("lid", kind="stable")
-    if found.empty:
+    texts = docs.select(F.col("doc_id").alias("lid"), "text").filter(F.col("lid").isNotNull() & ~held_out(F.col("lid")))
+    rows = saved(_features_of(texts, "lid bigint").join(marked, "lid"), "quality-rows")
+    sizes = {r["good"]: r["n"] for r in rows.groupBy("good").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        forget(rows)
         return Ranking(threshold=threshold)
-    good = found["good"].to_numpy(dtype=bool)
-    weight = np.where(good, 1 / rates[True], 1 / rates[False])
-    return fit_pairs(np.stack(found["x"].to_numpy()), good, weight, threshold=threshold, seed=seed)
+    blocks = saved(_blocks(rows, sizes, seed, block_rows), "quality-blocks")
+    forget(rows)
+    model = fit_blocks(blocks, threshold=threshold, seed=seed)
+    forget(blocks)
+    return model
 
 
 def score(docs: DataFrame, model: Ranking, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
