@@ -220,9 +220,8 @@ def appearance_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = Bridge(spark, sf_dir)
     orders = b.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     doc = F.concat(F.lit("status-"), "o_orderstatus")
-    apps = b.appearances().drop("document_id")
+    apps = b.appearances("l_returnflag").drop("document_id")
     order = F.concat(F.lit("order-"), F.split("id", "-")[1])
-    apps = apps.withColumn("returned", F.col("bbox_quality")).join(b.raw("lineitem").select(F.concat_ws("-", F.lit("app"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("id"), "l_returnflag").distinct(), "id")
     apps = apps.withColumn("sheet_id", F.when(F.col("l_returnflag") != "R", order)).withColumn("view_id", F.lit(None).cast("string")).withColumn("viewport_id", F.when(F.col("l_returnflag") != "N", F.concat(F.lit("port-"), F.split("id", "-")[1]))).withColumn("link_instance_id", F.lit(None).cast("string"))
     sheets = orders.select(F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("id"), doc.alias("document_id"), F.col("o_orderkey").cast("string").alias("number"), F.lit("sheet").alias("name"))
     views = orders.select(F.concat(F.lit("view-"), F.col("o_custkey").cast("string"), F.lit("-"), "o_orderstatus").alias("id"), doc.alias("document_id"), F.concat(F.lit("view-"), F.col("o_custkey").cast("string")).alias("name")).distinct()
