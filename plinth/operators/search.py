@@ -250,8 +250,10 @@ def index_differences(content: DataFrame, postings: DataFrame) -> DataFrame:
     """Postings that are stored but wrong, or missing: empty for a sound index."""
     now, _ = build_index(content)
     keys = ["term", "record_kind", "record_id", "tf"]
-    extra = postings.select(*keys).exceptAll(now.select(*keys)).withColumn("problem", F.lit("stale"))
-    return extra.unionByName(now.select(*keys).exceptAll(postings.select(*keys)).withColumn("problem", F.lit("missing")))
+    # both ways in one count by sign, so that the postings are shuffled once
+    signed = postings.select(*keys, F.lit(1).alias("n")).unionByName(now.select(*keys, F.lit(-1).alias("n")))
+    odd = signed.groupBy(*keys).agg(F.sum("n").alias("n")).filter("n <> 0")
+    return odd.select(*keys, F.explode(F.array_repeat(F.when(F.col("n") > 0, "stale").otherwise("missing"), F.abs("n").cast("int"))).alias("problem"))
 
 
 def search_cells(cells: DataFrame, query: str, order: list[str], limit: int = 20, text_col: str = "text") -> DataFrame:
