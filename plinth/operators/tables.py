@@ -76,32 +76,43 @@ def header_spans(bindings: DataFrame, tables: DataFrame, pages: DataFrame, docum
     box = [*_BOX, "coordinate_space"]
     of = lambda *keys: F.count("*").over(Window.partitionBy(*keys))
     rows = bindings.withColumns({"_names": of("table_id", "source_name"), "_columns": of("table_id", "column_index"), "_spans": of("table_id", "header_span_id")})
-    rows = rows.join(part(tables, "t_", ["id", "page_id", "row_count", "column_count", *box]), F.col("table_id") == F.col("t_id"), "left")
-    rows = rows.join(part(pages, "p_", ["id", "document_id", "page_number", "width_points", "height_points"]), F.col("t_page_id") == F.col("p_id"), "left")
-    rows = rows.join(part(documents, "d_", ["id"]), F.col("p_document_id") == F.col("d_id"), "left")
-    rows = rows.join(part(spans, "s_", ["id", "line_id", "text", "provenance", *box]), F.col("header_span_id") == F.col("s_id"), "left")
-    rows = rows.join(part(lines, "l_", ["id", "block_id", "provenance", *box]), F.col("s_line_id") == F.col("l_id"), "left")
-    rows = rows.join(part(blocks, "b_", ["id", "page_id", "evidence_id", "provenance", *box]), F.col("l_block_id") == F.col("b_id"), "left")
-    rows = rows.join(part(evidence, "e_", ["id", "document_id", "pdf_page", *box]), F.col("b_evidence_id") == F.col("e_id"), "left")
-    # the narrowest room that the column's cells leave, and whether all of them are sound and inside the grid
-    grid = cells.join(tables.select(F.col("id").alias("table_id"), *[F.col(c).alias(f"t_{c}") for c in box]), "table_id")
-    grid = grid.withColumnsRenamed({c: f"c_{c}" for c in box})
-    room = grid.groupBy("table_id", "column_index").agg(F.max("c_x_min").alias("room_min"), F.min("c_x_max").alias("room_max"), F.min(_sound_box("c_") & _inside("c_", "t_")).alias("room_sound"))
-    whole = cells.groupBy("table_id").agg(F.count("*").alias("_cells"), F.count_distinct("row_index", "column_index").alias("_places"))
-    rows = rows.join(room, ["table_id", "column_index"], "left").join(whole, "table_id", "left")
+    # the narrowest room that each column's cells leave, and how far they reach, before anything meets them: one row a table
+    sides = {f"{f}_{s}": (F.min if f == "low" else F.max)(s) for f in ("low", "high") for s in _BOX}
+    places = cells.groupBy("table_id", "column_index", "row_index").agg(F.count("*").alias("n"), F.min(_sound_box("")).alias("sound"), *[v.alias(k) for k, v in sides.items()])
+    columns = places.groupBy("table_id", "column_index").agg(F.sum("n").alias("n"), F.count_if(F.col("column_index").isNotNull() & F.col("row_index").isNotNull()).alias("places"), F.min("sound").alias("sound"), *[(F.min if k.startswith("low") else F.max)(k).alias(k) for k in sides])
+    room = F.struct("column_index", "sound", F.col("high_x_min").alias("room_min"), F.col("low_x_max").alias("room_max"), "low_x_min", "low_y_min", "high_x_max", "high_y_max")
+    grids = columns.groupBy("table_id").agg(F.sum("n").alias("_cells"), F.sum("places").alias("_places"), F.collect_list(room).alias("_rooms"))
+    # the small side of each join is put together first, so that bindings are shuffled once to their table and once to their span
+    of_table = part(tables, "t_", ["id", "page_id", "row_count", "column_count", *box]).join(grids.withColumnRenamed("table_id", "_table"), F.col("t_id") == F.col("_table"), "left").drop("_table")
+    of_page = part(pages, "p_", ["id", "document_id", "page_number", "width_points", "height_points"]).join(part(documents, "d_", ["id"]), F.col("p_document_id") == F.col("d_id"), "left")
+    of_table = of_table.join(of_page, F.col("t_page_id") == F.col("p_id"), "left")
+    of_block = part(blocks, "b_", ["id", "page_id", "evidence_id", "provenance", *box]).join(part(evidence, "e_", ["id", "document_id", "pdf_page", *box]), F.col("b_evidence_id") == F.col("e_id"), "left")
+    of_block = of_block.withColumn("b_sound", _sound_box("b_") & _sound_box("e_")).withColumn("b_inside", _inside("b_", "e_")).drop("b_evidence_id", "b_coordinate_space", *[f"e_{x}" for x in box])
+    of_line = part(lines, "l_", ["id", "block_id", "provenance", *box]).join(of_block, F.col("l_block_id") == F.col("b_id"), "left")
+    of_line = of_line.withColumn("l_sound", _sound_box("l_") & F.col("b_sound")).withColumn("l_inside", _inside("l_", "b_") & F.col("b_inside")).withColumn("l_embedded", (F.col("l_provenance") == EMBEDDED) & (F.col("b_provenance") == EMBEDDED))
+    of_line = of_line.withColumn("l_missing", F.col("b_id").isNull() | F.col("e_id").isNull()).drop("l_block_id", "l_provenance", "l_coordinate_space", "b_id", "b_provenance", "b_sound", "b_inside", "e_id", *[f"b_{x}" for x in _BOX])
+    of_span = part(spans, "s_", ["id", "line_id", "text", "provenance", *box]).join(of_line, F.col("s_line_id") == F.col("l_id"), "left")
+    of_span = of_span.withColumn("s_sound", _sound_box("s_") & F.col("l_sound")).withColumn("s_inside", _inside("s_", "l_") & F.col("l_inside")).withColumn("s_embedded", (F.col("s_provenance") == EMBEDDED) & F.col("l_embedded"))
+    of_span = of_span.withColumn("s_missing", F.col("l_id").isNull() | F.col("l_missing"))
+    of_span = of_span.select("s_id", "s_text", *[f"s_{x}" for x in _BOX], "s_sound", "s_inside", "s_embedded", "s_missing", "b_page_id", "e_document_id", "e_pdf_page")
+    rows = rows.join(of_table, F.col("table_id") == F.col("t_id"), "left").withColumn("_room", F.get(F.filter("_rooms", lambda x: x["column_index"] == F.col("column_index")), F.lit(0))).drop("_rooms", "_table")
+    its = lambda name: F.col(f"_room.{name}")
+    inside = (F.col("t_x_min") <= its("low_x_min")) & (F.col("t_y_min") <= its("low_y_min")) & (its("high_x_max") <= F.col("t_x_max")) & (its("high_y_max") <= F.col("t_y_max"))
+    rows = rows.withColumns({"room_sound": its("sound") & inside, "room_min": its("room_min"), "room_max": its("room_max"), "t_sound": _sound_box("t_")}).drop("_room", "t_id", "t_page_id", "t_x_min", "t_x_max", "t_y_max", "t_coordinate_space")
+    rows = rows.join(of_span, F.col("header_span_id") == F.col("s_id"), "left")
     no = lambda c: ~F.coalesce(c, F.lit(False))
     c = F.col
     page_box = (c("s_x_min") >= 0) & (c("s_y_min") >= 0) & (c("s_x_max") <= c("p_width_points")) & (c("s_y_max") <= c("p_height_points"))
     problem = (
         F.when(is_blank(c("source_name")) | is_blank(c("header_span_id")) | no((c("column_index") >= 0) & (c("column_index") < c("t_column_count"))), "invalid_binding")
         .when((c("_names") > 1) | (c("_columns") > 1) | (c("_spans") > 1), "duplicate_binding")
-        .when(c("d_id").isNull() | c("s_id").isNull() | c("l_id").isNull() | c("b_id").isNull() | c("e_id").isNull(), "missing_evidence")
+        .when(c("d_id").isNull() | c("s_id").isNull() | c("s_missing"), "missing_evidence")
         .when(no((c("p_page_number") >= 1) & (c("p_width_points") > 0) & (c("p_height_points") > 0) & (c("p_width_points") < float("inf")) & (c("p_height_points") < float("inf"))), "invalid_page")
         .when(no((c("_cells") == c("t_row_count") * c("t_column_count")) & (c("_places") == c("_cells"))), "incomplete_grid")
-        .when(no((c("s_text") == c("source_name")) & (c("s_provenance") == EMBEDDED) & (c("l_provenance") == EMBEDDED) & (c("b_provenance") == EMBEDDED)), "other_text")
+        .when(no((c("s_text") == c("source_name")) & c("s_embedded")), "other_text")
         .when(no((c("b_page_id") == c("p_id")) & (c("e_document_id") == c("p_document_id")) & (c("e_pdf_page") == c("p_page_number"))), "other_page")
-        .when(~(_sound_box("t_") & _sound_box("s_") & _sound_box("l_") & _sound_box("b_") & _sound_box("e_")), "invalid_box")
-        .when(~(_inside("s_", "l_") & _inside("l_", "b_") & _inside("b_", "e_") & page_box & (c("s_y_max") <= c("t_y_min"))), "not_above_grid")
+        .when(~(c("t_sound") & c("s_sound")), "invalid_box")
+        .when(~(c("s_inside") & page_box & (c("s_y_max") <= c("t_y_min"))), "not_above_grid")
         .when(no(c("room_sound") & (c("s_x_min") >= c("room_min") - TABLE_SLACK) & (c("s_x_max") <= c("room_max") + TABLE_SLACK)), "outside_column")
     )
     return rows.select(*bindings.columns, problem.alias("problem"))

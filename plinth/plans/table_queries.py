@@ -26,20 +26,22 @@ def _parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Grids of order, part, quantity and status; one order in ten has each kind of doubtful header."""
     b = Bridge(spark, sf_dir)
     line = b.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_returnflag")
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    # partitioned by the table's id, by which cells and headers are grouped later: these need no other shuffle
+    line = line.withColumn("table_id", F.col("l_orderkey").cast("string"))
+    order = Window.partitionBy("table_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     line = line.withColumn("r", F.row_number().over(order) - 1)
-    key, text = F.col("l_orderkey"), F.col("l_orderkey").cast("string")
+    key, text = F.col("l_orderkey"), F.col("table_id")
     place = lambda x0, y0, x1, y1: [F.lit(v).cast("double").alias(n) if not hasattr(v, "cast") else v.cast("double").alias(n) for n, v in zip(("x_min", "y_min", "x_max", "y_max"), (x0, y0, x1, y1), strict=True)] + [F.lit("pdf_points_top_left").alias("coordinate_space")]
     values = [text, F.when(F.col("l_returnflag") == "R", " 　").otherwise(F.col("l_partkey").cast("string")), F.col("l_quantity").cast("int").cast("string"), F.when(F.col("l_linestatus") == "F", F.col("l_linestatus")).otherwise("")]
-    cells = line.select(text.alias("table_id"), F.col("r").alias("row_index"), F.posexplode(F.array(*values)).alias("column_index", "text"))
+    cells = line.select("table_id", F.col("r").alias("row_index"), F.posexplode(F.array(*values)).alias("column_index", "text"))
     cells = cells.select(F.concat_ws("/", F.lit("cell"), "table_id", F.col("row_index").cast("string"), F.col("column_index").cast("string")).alias("id"), "table_id", "row_index", "column_index", "text", *place(F.col("column_index") * 100, F.col("row_index") * 20 + 100, F.col("column_index") * 100 + 100, F.col("row_index") * 20 + 120))
-    grids = line.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    grids = line.groupBy("table_id").agg(F.count("*").alias("n")).withColumn("l_orderkey", text.cast("bigint"))
     tables_ = grids.select(text.alias("id"), F.concat(F.lit("page-"), text).alias("page_id"), F.col("n").cast("int").alias("row_count"), F.lit(4).alias("column_count"), *place(0, 100, 400, F.col("n") * 20 + 100))
-    one = grids.select("l_orderkey")
+    one = grids.select("table_id", "l_orderkey")
     off = key % 10
     pages = one.select(F.concat(F.lit("page-"), text).alias("id"), F.lit("doc").alias("document_id"), F.lit(1).alias("page_number"), F.lit(600.0).alias("width_points"), F.lit(9000.0).alias("height_points"))
     names = F.posexplode(F.array(*map(F.lit, ("Order", "Part", "Qty", "Flag")))).alias("column_index", "source_name")
-    heads = one.select("l_orderkey", text.alias("table_id"), names).withColumn("header_span_id", F.concat_ws("/", F.lit("span"), "table_id", F.col("column_index").cast("string")))
+    heads = one.select("l_orderkey", "table_id", names).withColumn("header_span_id", F.concat_ws("/", F.lit("span"), "table_id", F.col("column_index").cast("string")))
     qty = F.col("column_index") == 2
     left, low = F.col("column_index") * 100 + F.when(qty & (off == 2), 70).otherwise(10), F.when(qty & (off == 3), 105).otherwise(90)
     spans = heads.filter(~(qty & (off == 5))).select(F.col("header_span_id").alias("id"), F.concat(F.lit("line-"), "table_id").alias("line_id"), F.when(qty & (off == 1), "Quantity").otherwise(F.col("source_name")).alias("text"), F.lit(tables.EMBEDDED).alias("provenance"), *place(left, 70, F.when(qty & (off == 6), left).otherwise(left + 50), low))
