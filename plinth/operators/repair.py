@@ -2,7 +2,7 @@
 
 Candidates of two extractions of the same pages are matched where their boxes overlap. A wider candidate may repair the one it matches only if it
 fills what was missing and changes nothing else: not the outline, the grid, a cell that was there, nor which text spans a cell or the table holds.
-Every candidate gets the first reason that speaks against it. All pages are judged at once: facts are counts over joins by page and cell.
+Every candidate gets the first reason that speaks against it. All pages are judged at once, each in one row of what it holds.
 """
 
 from __future__ import annotations
@@ -23,62 +23,67 @@ def _rect(prefix: str) -> tuple[Column, ...]:
     return tuple(F.col(f"{prefix}{s}") for s in _SIDES)
 
 
-def _named(rows: DataFrame, prefix: str, keep: tuple[str, ...]) -> DataFrame:
-    return rows.select(*[F.col(c).alias(c if c in keep else f"{prefix}{c}") for c in rows.columns])
+def _pages(**parts: DataFrame) -> DataFrame:
+    """One row a page with an array of structs for each of ``parts``, all in one shuffle; candidates of no page stay apart."""
+    lone = F.when(F.col("page_id").isNull(), F.col("candidate"))
+    of = {name: F.struct(*[c for c in rows.columns if c != "page_id"]) for name, rows in parts.items()}
+    none = {name: F.lit(None).cast(rows.select(of[name].alias("x")).schema["x"].dataType) for name, rows in parts.items()}
+    rows = [
+        (rows if name == "second" else rows.filter("page_id is not null")).select("page_id", (lone if name == "second" else F.lit(None).cast("string")).alias("lone"), *[(of if n == name else none)[n].alias(n) for n in parts])
+        for name, rows in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, rows).groupBy("page_id", "lone").agg(*[F.collect_list(n).alias(n) for n in parts]).drop("lone")
+
 
+def _box(x: Column) -> tuple[Column, ...]:
+    return tuple(x[s] for s in _SIDES)
 
-def anchors(first: DataFrame, second: DataFrame) -> DataFrame:
-    """``second(page_id, candidate, ...)`` with ``anchors``, how many of ``first`` each overlaps, and the one where it is one."""
-    pairs = _named(second, "w_", ("page_id",)).join(_named(first, "b_", ("page_id",)), "page_id").filter(rect_intersects(_rect("w_"), _rect("b_")))
-    found = pairs.groupBy("page_id", "w_candidate").agg(F.count("*").alias("anchors"), F.first("b_candidate").alias("anchor"))
-    out = second.join(found.withColumnRenamed("w_candidate", "candidate"), ["page_id", "candidate"], "left").fillna(0, ["anchors"])
-    return out.withColumn("anchor", F.when(F.col("anchors") == 1, F.col("anchor")))
 
+def _at(x: Column, y: Column) -> Column:
+    return (x["row"] == y["row"]) & (x["column"] == y["column"])
 
-def _held(candidates: DataFrame, cells: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Spans that each candidate's box meets, and those that each of its cells holds."""
-    linked = _named(candidates.select("page_id", "candidate", *_SIDES), "t_", ("page_id", "candidate")).join(_named(spans, "s_", ("page_id", "span_id")), "page_id").filter(rect_intersects(_rect("t_"), _rect("s_")))
-    inside = linked.join(_named(cells, "c_", ("page_id", "candidate", "row", "column")), ["page_id", "candidate"]).filter(rect_contains(_rect("c_"), _rect("s_")))
-    return linked.select("page_id", "candidate", "span_id"), inside.select("page_id", "candidate", "row", "column", "span_id")
+
+def _held(table: Column, cells: str) -> Column:
+    """``(row, column, span_id)`` of the page's spans that a table meets and one of its cells holds."""
+    met = lambda s: rect_intersects(_box(table), _box(s))
+    of = lambda c: F.transform(F.filter("spans", lambda s: met(s) & rect_contains(_box(c), _box(s))), lambda s: F.struct(c["row"].alias("row"), c["column"].alias("column"), s["span_id"].alias("span_id")))
+    return F.flatten(F.transform(cells, of))
 
 
 def decisions(first: DataFrame, first_cells: DataFrame, second: DataFrame, second_cells: DataFrame, spans: DataFrame) -> DataFrame:
     """``(page_id, candidate, anchors, anchor, eligible, reason, missing_before, missing_after, repaired, newly_assigned)``.
 
     Candidates are ``(page_id, candidate, row_count, column_count, accepted, rejection, box)``, cells that are there ``(page_id, candidate, row,
-    column, box)``, spans ``(page_id, span_id, box)``.
+    column, box)``, spans ``(page_id, span_id, box)``. What a page holds meets in one row, so that everything is shuffled once.
     """
-    count = lambda cells, name: cells.groupBy("page_id", "candidate").agg(F.count("*").alias(name))
-    matched = anchors(first, second).join(count(second_cells, "w_cells"), ["page_id", "candidate"], "left")
-    old = _named(first.join(count(first_cells, "cells"), ["page_id", "candidate"], "left"), "b_", ("page_id",)).withColumnRenamed("b_candidate", "anchor")
-    rows = matched.join(old, ["page_id", "anchor"], "left")
-    pairs = matched.filter("anchor is not null").select("page_id", "candidate", "anchor")
-    place = ["page_id", "candidate", "anchor", "row", "column"]
+    rows = _pages(first=first, first_cells=first_cells, second=second, second_cells=second_cells, spans=spans)
+    rows = rows.withColumn("w", F.explode("second")).drop("second")
+    its = lambda cells, table: F.filter(cells, lambda c: c["candidate"] == table["candidate"])
+    w, b = F.col("w"), F.col("b")
+    rows = rows.withColumn("met", F.filter("first", lambda x: rect_intersects(_box(w), _box(x)))).withColumn("b", F.when(F.size("met") == 1, F.get("met", F.lit(0))))
+    rows = rows.select("page_id", F.size("met").cast("bigint").alias("anchors"), "w", "b", F.when(b.isNotNull(), F.col("spans")).alias("spans"), its("second_cells", w).alias("now"), its("first_cells", b).alias("before"))
     # both extractions cell by cell: there before, there now, and in the same place
-    before = pairs.join(_named(first_cells, "b_", ("page_id", "row", "column")).withColumnRenamed("b_candidate", "anchor"), ["page_id", "anchor"])
-    now = pairs.join(_named(second_cells, "w_", ("page_id", "row", "column")).withColumnRenamed("w_candidate", "candidate"), ["page_id", "candidate"])
-    both = before.join(now, place, "full")
-    was, is_ = F.col("b_x_min").isNotNull(), F.col("w_x_min").isNotNull()
-    by_cell = both.groupBy("page_id", "candidate").agg(F.count_if(was & ~F.coalesce(same_rect(_rect("b_"), _rect("w_")), F.lit(False))).alias("moved"), F.count_if(~was & is_).alias("repaired"))
+    size = lambda x: F.coalesce(F.size(x), F.lit(0)).cast("bigint")
+    count = lambda x: F.when(b.isNull(), F.lit(0)).otherwise(size(x)).cast("bigint")
+    no = lambda x: ~F.coalesce(x, F.lit(False))
+    there = lambda c: c["x_min"].isNotNull()
+    same = lambda c: F.filter("now", lambda x: _at(x, c))
+    moved = F.flatten(F.transform(F.filter("before", there), lambda c: F.when(F.size(same(c)) == 0, F.array(F.lit(False))).otherwise(F.transform(same(c), lambda x: F.coalesce(same_rect(_box(c), _box(x)), F.lit(False))))))
+    was = lambda x: F.exists("before", lambda c: there(c) & F.coalesce(_at(c, x), F.lit(False)))
+    rows = rows.withColumns({"moved": count(F.filter(moved, lambda kept: ~kept)), "repaired": count(F.filter("now", lambda x: there(x) & ~was(x)))})
     # the spans of both: held by the tables, and by cells that were there before
-    b_linked, b_inside = _held(first, first_cells, spans)
-    w_linked, w_inside = _held(second, second_cells, spans)
-    mark = lambda name: F.lit(True).alias(name)
-    table = [*place[:3], "span_id"]
-    of_b = lambda held: pairs.join(held.withColumnRenamed("candidate", "anchor"), ["page_id", "anchor"])
-    of_w = lambda held: pairs.join(held, ["page_id", "candidate"])
-    linked = of_b(b_linked).select(*table, mark("b")).join(of_w(w_linked).select(*table, mark("w")), table, "full")
-    by_table = linked.groupBy("page_id", "candidate").agg(F.count_if(F.col("b").isNull() | F.col("w").isNull()).alias("other_spans"))
-    cell = [*place, "span_id"]
-    inside = of_b(b_inside).select(*cell, mark("b")).join(of_w(w_inside).select(*cell, mark("w")), cell, "full").join(both.select(*place, was.alias("was")), place)
-    preserved = inside.filter("b").select(*table, mark("kept")).distinct()
-    inside = inside.join(preserved, table, "left")
-    by_span = inside.groupBy("page_id", "candidate").agg(
-        F.count_if(F.col("was") & (F.col("b").isNull() | F.col("w").isNull())).alias("reassigned"), F.count_if(~F.col("was") & F.col("kept").isNotNull()).alias("taken"), F.count_distinct(F.when(~F.col("was") & F.col("kept").isNull(), F.col("span_id"))).alias("newly_assigned")
-    )
-    for facts in (by_cell, by_table, by_span):
-        rows = rows.join(facts, ["page_id", "candidate"], "left")
-    rows = rows.fillna(0, ["moved", "repaired", "other_spans", "reassigned", "taken", "newly_assigned", "w_cells", "b_cells"])
+    met = lambda table: F.transform(F.filter("spans", lambda s: rect_intersects(_box(table), _box(s))), lambda s: s["span_id"])
+    rows = rows.withColumns({"b_met": met(b), "w_met": met(w), "b_held": _held(b, "before"), "w_held": _held(w, "now")})
+    apart = lambda x, y: F.filter(x, lambda s: no(F.array_contains(y, s)))
+    rows = rows.withColumn("other_spans", count(apart("b_met", F.col("w_met"))) + count(apart("w_met", F.col("b_met"))))
+    rows = rows.withColumns({"lost": apart("b_held", F.col("w_held")), "come": apart("w_held", F.col("b_held")), "kept": F.transform("b_held", lambda x: x["span_id"])})
+    held_before = lambda x: F.coalesce(F.array_contains(F.col("kept"), x["span_id"]), F.lit(False))
+    rows = rows.withColumns({
+        "reassigned": count("lost") + count(F.filter("come", was)), "taken": count(F.filter("come", lambda x: ~was(x) & held_before(x))),
+        "newly_assigned": count(F.array_distinct(F.transform(F.filter("come", lambda x: ~was(x) & ~held_before(x)), lambda x: x["span_id"]))),
+    })
+    shown = ("candidate", "row_count", "column_count", "accepted", "rejection", *_SIDES)
+    rows = rows.select("page_id", "anchors", b["candidate"].alias("anchor"), *[w[n].alias(n) for n in shown], *[b[n].alias(f"b_{n}") for n in shown[1:]], size("now").alias("w_cells"), count("before").alias("b_cells"), "moved", "repaired", "other_spans", "reassigned", "taken", "newly_assigned")
     c = F.col
     after, lacked = c("row_count") * c("column_count") - c("w_cells"), c("b_row_count") * c("b_column_count") - c("b_cells")
     ladder = [

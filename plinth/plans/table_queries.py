@@ -105,7 +105,7 @@ def table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = orders.select("page_id", "way", places).select("page_id", "way", "at.*")
     corner, origin = (F.col("row") == 1) & (F.col("column") == 1), (F.col("row") == 0) & (F.col("column") == 0)
     x, y = F.col("column") * 50, F.col("row") * 20
-    before = grid.filter(~corner | (F.col("way") == 6)).join(first.select("page_id", "candidate", F.col("x_min").alias("left")), "page_id").withColumn("box", box(x + F.col("left"), y, x + F.col("left") + 50, y + 20))
+    before = grid.filter(~corner | (F.col("way") == 6)).withColumn("candidate", names).withColumn("box", box(x + aside, y, x + aside + 50, y + 20))
     moved = F.when(origin, is_(9, 5.0, is_(11, 0.1, 0.0))).otherwise(0.0)
     after = grid.filter(~corner | (F.col("way") != 8)).withColumn("box", box(x, y, x + 50 - moved, y + 20))
     spans = orders.select("page_id", "way", F.posexplode(F.array(box(5, 5, is_(11, 50.2, 45.0), 15), box(60, 25, 90, 35), F.when(F.col("way") == 10, box(99.8, 5, 140, 15)))).alias("i", "box")).filter("box is not null")
