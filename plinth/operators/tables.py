@@ -98,22 +98,31 @@ def header_spans(bindings: DataFrame, tables: DataFrame, pages: DataFrame, docum
     rows = rows.join(of_table, F.col("table_id") == F.col("t_id"), "left").withColumn("_room", F.get(F.filter("_rooms", lambda x: x["column_index"] == F.col("column_index")), F.lit(0))).drop("_rooms", "_table")
     its = lambda name: F.col(f"_room.{name}")
     inside = (F.col("t_x_min") <= its("low_x_min")) & (F.col("t_y_min") <= its("low_y_min")) & (its("high_x_max") <= F.col("t_x_max")) & (its("high_y_max") <= F.col("t_y_max"))
-    rows = rows.withColumns({"room_sound": its("sound") & inside, "room_min": its("room_min"), "room_max": its("room_max"), "t_sound": _sound_box("t_")}).drop("_room", "t_id", "t_page_id", "t_x_min", "t_x_max", "t_y_max", "t_coordinate_space")
-    rows = rows.join(of_span, F.col("header_span_id") == F.col("s_id"), "left")
     no = lambda c: ~F.coalesce(c, F.lit(False))
     c = F.col
-    page_box = (c("s_x_min") >= 0) & (c("s_y_min") >= 0) & (c("s_x_max") <= c("p_width_points")) & (c("s_y_max") <= c("p_height_points"))
-    problem = (
+    # what is known before the span, of which only the answer travels on: first what goes before a missing span, then what comes after
+    first = (
         F.when(is_blank(c("source_name")) | is_blank(c("header_span_id")) | no((c("column_index") >= 0) & (c("column_index") < c("t_column_count"))), "invalid_binding")
         .when((c("_names") > 1) | (c("_columns") > 1) | (c("_spans") > 1), "duplicate_binding")
-        .when(c("d_id").isNull() | c("s_id").isNull() | c("s_missing"), "missing_evidence")
-        .when(no((c("p_page_number") >= 1) & (c("p_width_points") > 0) & (c("p_height_points") > 0) & (c("p_width_points") < float("inf")) & (c("p_height_points") < float("inf"))), "invalid_page")
+        .when(c("d_id").isNull(), "missing_evidence")
+    )
+    after = (
+        F.when(no((c("p_page_number") >= 1) & (c("p_width_points") > 0) & (c("p_height_points") > 0) & (c("p_width_points") < float("inf")) & (c("p_height_points") < float("inf"))), "invalid_page")
         .when(no((c("_cells") == c("t_row_count") * c("t_column_count")) & (c("_places") == c("_cells"))), "incomplete_grid")
+    )
+    kept = ("p_id", "p_document_id", "p_page_number", "p_width_points", "p_height_points", "t_y_min")
+    rows = rows.select(*bindings.columns, *kept, first.alias("first"), after.alias("after"), F.when(its("sound") & inside, its("room_min")).alias("room_min"), its("room_max").alias("room_max"), _sound_box("t_").alias("t_sound"))
+    rows = rows.join(of_span, F.col("header_span_id") == F.col("s_id"), "left")
+    page_box = (c("s_x_min") >= 0) & (c("s_y_min") >= 0) & (c("s_x_max") <= c("p_width_points")) & (c("s_y_max") <= c("p_height_points"))
+    problem = (
+        F.when(c("first").isNotNull(), c("first"))
+        .when(c("s_id").isNull() | c("s_missing"), "missing_evidence")
+        .when(c("after").isNotNull(), c("after"))
         .when(no((c("s_text") == c("source_name")) & c("s_embedded")), "other_text")
         .when(no((c("b_page_id") == c("p_id")) & (c("e_document_id") == c("p_document_id")) & (c("e_pdf_page") == c("p_page_number"))), "other_page")
         .when(~(c("t_sound") & c("s_sound")), "invalid_box")
         .when(~(c("s_inside") & page_box & (c("s_y_max") <= c("t_y_min"))), "not_above_grid")
-        .when(no(c("room_sound") & (c("s_x_min") >= c("room_min") - TABLE_SLACK) & (c("s_x_max") <= c("room_max") + TABLE_SLACK)), "outside_column")
+        .when(no((c("s_x_min") >= c("room_min") - TABLE_SLACK) & (c("s_x_max") <= c("room_max") + TABLE_SLACK)), "outside_column")
     )
     return rows.select(*bindings.columns, problem.alias("problem"))
 
@@ -136,61 +145,61 @@ def project(spec: Interpretation, tables: DataFrame, cells: DataFrame, headers:
     ident = lambda kind, *parts: F.concat(F.lit(f"{kind}-"), F.sha2(F.to_json(F.array(*parts)), 256))
     by = tables.select(F.col("id").alias("table_id"), "row_count", "column_count")
     whole = cells.groupBy("table_id").agg(F.count("*").alias("n"), F.count_distinct("row_index", "column_index").alias("places"))
-    incomplete = by.join(whole, "table_id", "left").filter(~F.coalesce((F.col("n") == F.col("row_count") * F.col("column_count")) & (F.col("places") == F.col("n")), F.lit(False)))
-    told = staged(headers.join(by.select("table_id", "column_count"), "table_id"), "headers")
-    named = told.groupBy("table_id", "source_name").agg(F.count("*").alias("n"))
-    wanted = by.select("table_id", F.explode(F.array(*map(F.lit, spec.asked))).alias("source_name")).join(named, ["table_id", "source_name"], "left")
-    fatal = [
-        incomplete.select("table_id", F.lit("incomplete_grid").alias("code"), F.lit(0).alias("rank")),
-        told.filter("problem is not null").select("table_id", F.col("problem"), F.lit(2)),
-        wanted.filter("n is null").select("table_id", F.lit("missing_header"), F.lit(3)),
-        wanted.filter("n > 1").select("table_id", F.lit("ambiguous_header"), F.lit(4)),
-    ]
-    if header_rows:
-        fatal.append(by.filter((F.lit(min(header_rows)) < 0) | (F.lit(max(header_rows)) >= F.col("row_count"))).select("table_id", F.lit("header_row_outside"), F.lit(1)))
+    heads = headers.groupBy("table_id").agg(F.collect_list(F.struct("column_index", "source_name", "header_span_id", "problem")).alias("heads"))
+    # a table is judged in one row with its headers, so that cells are joined by their table alone
+    named = lambda name: F.size(F.filter("heads", lambda h: h["source_name"] == name))
+    asked = F.transform(F.array(*map(F.lit, spec.asked)), named)
+    outside = (F.lit(min(header_rows)) < 0) | (F.lit(max(header_rows)) >= F.col("row_count")) if header_rows else F.lit(False)
+    code = (
+        F.when(~F.coalesce((F.col("n") == F.col("row_count") * F.col("column_count")) & (F.col("places") == F.col("n")), F.lit(False)), "incomplete_grid")
+        .when(outside, "header_row_outside")
+        .when(F.exists("heads", lambda h: h["problem"].isNotNull()), F.array_min(F.transform("heads", lambda h: h["problem"])))
+        .when(F.exists(asked, lambda n: n == 0), "missing_header")
+        .when(F.exists(asked, lambda n: n > 1), "ambiguous_header")
+    )
     if spec.property_columns == ALL_OTHERS:
-        shown = told.filter("problem is null").join(named.withColumnRenamed("n", "same"), ["table_id", "source_name"])
-        every = by.select("table_id", F.explode(F.sequence(F.lit(0), F.col("column_count") - 1)).alias("column_index")).join(shown.select("table_id", "column_index", "source_name", "same"), ["table_id", "column_index"], "left")
-        fatal.append(every.filter("source_name is null or same > 1").select("table_id", F.lit("column_without_header"), F.lit(5)))
-    bad = staged(reduce(DataFrame.union, fatal).groupBy("table_id").agg(F.min_by("code", F.struct("rank", "code")).alias("code")), "tables-without")
-    sound = by.join(bad.select("table_id"), "table_id", "left_anti")
-    use = told.filter("problem is null").join(sound.select("table_id"), "table_id", "left_semi").select("table_id", "column_index", "source_name", "header_span_id")
+        at_column = lambda i: F.filter("heads", lambda h: (h["column_index"] == i) & h["source_name"].isNotNull())
+        code = code.when(F.exists(F.sequence(F.lit(0), F.col("column_count") - 1), lambda i: (F.size(at_column(i)) == 0) | F.exists(at_column(i), lambda h: named(h["source_name"]) > 1)), "column_without_header")
+    judged = by.join(whole, "table_id", "left").join(heads, "table_id", "left").withColumn("heads", F.coalesce("heads", F.array().cast(heads.schema["heads"].dataType)))
+    judged = staged(judged.select("table_id", code.alias("code"), "heads").withColumn("heads", F.when(F.col("code").isNull(), F.col("heads"))), "tables")
+    bad = judged.filter("code is not null").select("table_id", "code")
     named_only = [*spec.asked] if spec.property_columns != ALL_OTHERS else None
-    use = use if named_only is None else use.filter(F.col("source_name").isin(named_only))
     filled = cells.filter(~F.col("row_index").isin(list(header_rows))) if header_rows else cells
-    filled = staged(filled.join(use, ["table_id", "column_index"]).select("table_id", "row_index", "source_name", "header_span_id", F.col("id").alias("cell_id"), "text"), "table-cells")
-    at = lambda name: F.max(F.when(F.col("source_name") == name, F.col("text")))
-    rows = filled.groupBy("table_id", "row_index").agg(*[at(k).alias(f"k{i}") for i, k in enumerate(spec.key_columns)], *([at(spec.label_column).alias("label")] if spec.label_column else []), *([at(spec.number_column).alias("number")] if spec.number_column else []))
+    filled = filled.join(judged.filter("code is null").select("table_id", "heads"), "table_id").withColumn("h", F.explode(F.filter("heads", lambda h: h["column_index"] == F.col("column_index"))))
+    filled = filled if named_only is None else filled.filter(F.col("h.source_name").isin(named_only))
+    at = lambda name: F.max(F.when(F.col("h.source_name") == name, F.col("text")))
+    shown = F.struct("h.source_name", "h.header_span_id", F.col("id").alias("cell_id"), "text")
+    rows = filled.groupBy("table_id", "row_index").agg(*[at(k).alias(f"k{i}") for i, k in enumerate(spec.key_columns)], *([at(spec.label_column).alias("label")] if spec.label_column else []), *([at(spec.number_column).alias("number")] if spec.number_column else []), F.collect_list(shown).alias("cells"))
     keys = [f"k{i}" for i in range(len(spec.key_columns))]
     blank = reduce(lambda a, b: a | b, [is_blank(F.col(k)) for k in keys])
-    counts = rows.filter(~blank).groupBy("table_id", *keys).agg(F.count("*").alias("again"))
-    rows = rows.join(counts, ["table_id", *keys], "left").withColumn("code", F.when(blank, "missing_key").when(F.col("again") > 1, "duplicate_key"))
+    again = F.count("*").over(Window.partitionBy("table_id", *keys))
+    rows = staged(rows.withColumn("again", again).withColumn("code", F.when(blank, "missing_key").when(F.col("again") > 1, "duplicate_key")).drop("again"), "table-rows")
     entity_id = ident("semantic-pdf", F.lit(spec.mapping_id), F.lit(spec.namespace), F.lit(spec.entity_class), *[F.col(k) for k in keys])
-    rows = staged(rows.withColumn("id", F.when(F.col("code").isNull(), entity_id)), "table-rows")
+    rows = rows.withColumn("id", F.when(F.col("code").isNull(), entity_id))
     # the same key in two tables, or an id that is taken, would be two records of one id: neither table gives anything
-    taken = rows.filter("id is not null").select("id", "table_id")
-    twice = taken.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
-    twice = twice if existing is None else twice.unionByName(existing.select("id")).distinct()
-    clash = taken.join(twice, "id", "left_semi").select("table_id").distinct()
+    taken = rows.filter("code is null").select("table_id", *keys)
+    clash = taken.join(taken.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), keys, "left_semi").select("table_id")
+    clash = clash if existing is None else clash.unionByName(rows.filter("id is not null").join(existing.select("id"), "id", "left_semi").select("table_id"))
+    clash = staged(clash.distinct(), "tables-of-taken-ids")  # few if any: rows need no shuffle to leave them out
     bad = bad.unionByName(clash.select("table_id", F.lit("duplicate_id").alias("code")))
     rows = rows.join(clash, "table_id", "left_anti")
-    good = rows.filter("id is not null")
+    good = rows.filter("code is null")
     provenance = F.lit(f"pdf_table_mapping:{spec.mapping_id}").alias("provenance")
     optional = lambda c, has: F.when(~is_blank(F.col(c)), F.col(c)) if has else F.lit(None).cast("string")
     entities = good.select("id", F.lit(spec.entity_class).alias("entity_class"), optional("label", spec.label_column).alias("label"), optional("number", spec.number_column).alias("number"), F.lit(spec.kind).alias("instance_or_type"), F.lit("exact").alias("resolution_state"), provenance, "table_id", "row_index")
-    used = filled.join(good.select("table_id", "row_index", F.col("id").alias("semantic_entity_id")), ["table_id", "row_index"])
+    used = good.select("table_id", "row_index", F.col("id").alias("semantic_entity_id"), F.explode("cells").alias("c")).select("table_id", "row_index", "semantic_entity_id", "c.*")
     is_key = F.col("source_name").isin(list(spec.key_columns))
     is_property = ~is_key if spec.property_columns == ALL_OTHERS else F.col("source_name").isin(list(spec.property_columns))
     used = used.filter(is_key | (is_property & ~is_blank(F.col("text"))))
     sources = F.array_compact(F.array(F.struct(F.lit("pdf_table_cell").alias("source_kind"), F.col("cell_id").alias("source_id")), F.when(F.col("header_span_id").isNotNull(), F.struct(F.lit("pdf_text_span").alias("source_kind"), F.col("header_span_id").alias("source_id")))))
-    bindings = used.select("semantic_entity_id", F.explode(sources).alias("s")).select(ident("semantic-binding", F.col("semantic_entity_id"), F.col("s.source_id")).alias("id"), "semantic_entity_id", "s.source_kind", "s.source_id", F.lit("exact").alias("resolution_state"), provenance)
+    bindings = used.select("semantic_entity_id", "table_id", F.explode(sources).alias("s")).select(ident("semantic-binding", F.col("semantic_entity_id"), F.col("s.source_id")).alias("id"), "semantic_entity_id", "s.source_kind", "s.source_id", F.lit("exact").alias("resolution_state"), provenance, "table_id")
     canonical = F.create_map(*[F.lit(x) for pair in spec.canonical_names.items() for x in pair])[F.col("source_name")] if spec.canonical_names else F.lit(None).cast("string")
     properties = used.filter(is_property).select(
         ident("semantic-property", F.col("semantic_entity_id"), F.col("cell_id")).alias("id"), "semantic_entity_id", "source_name", F.col("text").alias("source_value"), F.lit(spec.scope).alias("scope"), canonical.alias("canonical_name"), provenance,
-        ident("semantic-binding", F.col("semantic_entity_id"), F.col("cell_id")).alias("source_binding_id"),
+        ident("semantic-binding", F.col("semantic_entity_id"), F.col("cell_id")).alias("source_binding_id"), "table_id",
     )
     issues = rows.filter("code is not null").select("table_id", "row_index", "code").unionByName(bad.select("table_id", F.lit(None).cast("int").alias("row_index"), "code"))
     count = lambda code: F.count_if(F.col("code") == code)
-    report = rows.groupBy("table_id").agg(F.count("id").alias("imported"), (F.count("*") - F.count("id")).alias("skipped"), count("duplicate_key").alias("ambiguous"), count("missing_key").alias("errors"))
+    report = rows.groupBy("table_id").agg(F.count_if(F.col("code").isNull()).alias("imported"), F.count("code").alias("skipped"), count("duplicate_key").alias("ambiguous"), count("missing_key").alias("errors"))
     report = by.select("table_id").join(report, "table_id", "left").fillna(0).join(bad.withColumnRenamed("code", "problem"), "table_id", "left")
     return {"entities": entities, "bindings": bindings, "properties": properties, "issues": issues, "report": report}

@@ -27,13 +27,14 @@ def _parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     b = Bridge(spark, sf_dir)
     line = b.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_returnflag")
     # partitioned by the table's id, by which cells and headers are grouped later: these need no other shuffle
-    line = line.withColumn("table_id", F.col("l_orderkey").cast("string"))
+    line = line.select(F.col("l_orderkey").cast("string").alias("table_id"), "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("quantity"), (F.col("l_returnflag") == "R").alias("blank"), (F.col("l_linestatus") == "F").alias("flag"))
     order = Window.partitionBy("table_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     line = line.withColumn("r", F.row_number().over(order) - 1)
     key, text = F.col("l_orderkey"), F.col("table_id")
     place = lambda x0, y0, x1, y1: [F.lit(v).cast("double").alias(n) if not hasattr(v, "cast") else v.cast("double").alias(n) for n, v in zip(("x_min", "y_min", "x_max", "y_max"), (x0, y0, x1, y1), strict=True)] + [F.lit("pdf_points_top_left").alias("coordinate_space")]
-    values = [text, F.when(F.col("l_returnflag") == "R", " 　").otherwise(F.col("l_partkey").cast("string")), F.col("l_quantity").cast("int").cast("string"), F.when(F.col("l_linestatus") == "F", F.col("l_linestatus")).otherwise("")]
-    cells = line.select("table_id", F.col("r").alias("row_index"), F.posexplode(F.array(*values)).alias("column_index", "text"))
+    values = [text, F.when(F.col("blank"), " 　").otherwise(F.col("l_partkey").cast("string")), F.col("quantity").cast("string"), F.when(F.col("flag"), "F").otherwise("")]
+    # texts are made after the columns, so that headers and grids read lines without them
+    cells = line.withColumn("column_index", F.explode(F.array(*map(F.lit, range(4))))).select("table_id", F.col("r").alias("row_index"), "column_index", F.get(F.array(*values), F.col("column_index")).alias("text"))
     cells = cells.select(F.concat_ws("/", F.lit("cell"), "table_id", F.col("row_index").cast("string"), F.col("column_index").cast("string")).alias("id"), "table_id", "row_index", "column_index", "text", *place(F.col("column_index") * 100, F.col("row_index") * 20 + 100, F.col("column_index") * 100 + 100, F.col("row_index") * 20 + 120))
     grids = line.groupBy("table_id").agg(F.count("*").alias("n")).withColumn("l_orderkey", text.cast("bigint"))
     tables_ = grids.select(text.alias("id"), F.concat(F.lit("page-"), text).alias("page_id"), F.col("n").cast("int").alias("row_count"), F.lit(4).alias("column_count"), *place(0, 100, 400, F.col("n") * 20 + 100))
@@ -73,8 +74,7 @@ def table_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as entities: two key cells, the quantity and a flag if there is one, each bound with the span of its header."""
     p = _parts(spark, sf_dir)
     out = tables.project(SPEC, p["tables"], p["cells"], p["headers"])
-    rows = out["entities"].select("table_id", F.col("id").alias("semantic_entity_id"))
-    count = lambda name: rows.join(out[name].groupBy("semantic_entity_id").agg(F.count("*").alias(name)), "semantic_entity_id").groupBy("table_id").agg(F.sum(name).alias(name))
+    count = lambda name: out[name].groupBy("table_id").agg(F.count("*").alias(name))
     return out["report"].join(count("bindings"), "table_id", "left").join(count("properties"), "table_id", "left").fillna(0)
 
 
