@@ -10,33 +10,38 @@ import json
 import math
 import re
 from collections.abc import Callable, Iterator
+from json.encoder import encode_basestring
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 _CELL = "place bigint, path array<string>, kind string, value string"
 
 
-def strict(text: str) -> Any:
-    """A JSON value; keys given twice and numbers that are not finite are errors."""
+def _once(pairs: list[tuple[str, Any]]) -> dict:
+    found = dict(pairs)
+    if len(found) < len(pairs):
+        raise ValueError("a key is given twice")
+    return found
+
+
+def _finite(word: str) -> float:
+    number = float(word)
+    if not math.isfinite(number):
+        raise ValueError("a number is not finite")
+    return number
 
-    def once(pairs: list[tuple[str, Any]]) -> dict:
-        found = dict(pairs)
-        if len(found) < len(pairs):
-            raise ValueError("a key is given twice")
-        return found
 
-    def finite(word: str) -> float:
-        number = float(word)
-        if not math.isfinite(number):
-            raise ValueError("a number is not finite")
-        return number
+_DECODER = json.JSONDecoder(object_pairs_hook=_once, parse_float=_finite, parse_constant=_finite)
 
-    return json.loads(text, object_pairs_hook=once, parse_float=finite, parse_constant=finite)
+
+def strict(text: str) -> Any:
+    """A JSON value; keys given twice and numbers that are not finite are errors."""
+    return json.loads(text) if text.startswith("\ufeff") else _DECODER.decode(text)  # loads has its own error for the mark
 
 
 def _plain(value: Any) -> Any:
@@ -63,6 +68,12 @@ def _read(text: str | None) -> Any:
     return strict("null" if text is None else text)
 
 
+def simple(value: Any) -> str:
+    """:func:`canonical`, faster for texts and integers."""
+    kind = type(value)
+    return encode_basestring(value) if kind is str else repr(value) if kind is int else canonical(value)
+
+
 class _Shapes:
     """Whether the path of a cell, with ``#`` for any index, is like one of some patterns; each path is tried once."""
 
@@ -209,6 +220,55 @@ class Documents:
         return _taken(asked.join(texts, self.key, "left"), self.key, ["text", "asked"], _told, StructType.fromDDL("check int, item string, rel array<string>, kind string, value string"))
 
 
+def paired(left: Documents, right: Documents, judge: Callable[[list[str | None], list[str | None]], tuple[int, ...]], names: list[str], both: bool = False) -> DataFrame:
+    """``(key, <names>)``: what ``judge`` finds, as integers, in all texts of a key on the left and all on the right, once per row on the left.
+
+    With ``both``, only keys that are on the right too. A null key meets nothing. Texts of one key follow each other, so that a task holds those of one.
+    """
+    key = left.key
+    side = lambda of, n: of.rows.select(F.col(of.key).alias(key), F.lit(n).alias("side"), F.col(of.column).alias("text"))
+    rows = side(left, 0).unionByName(side(right, 1))
+    rows = rows.select(key, "side", "text", F.row_number().over(Window.partitionBy(key).orderBy("side")).alias("n"))
+    schema = StructType([left.rows.schema[key], *[StructField(n, IntegerType()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, out, texts = [], [], ([], [])
+
+        def close() -> None:
+            if texts[0] and (texts[1] or not both):
+                found = judge(*texts)
+                at.extend([of] * len(texts[0]))
+                out.extend([found] * len(texts[0]))
+            texts[0].clear()
+            texts[1].clear()
+
+        of = None
+        for batch in batches:
+            for slice_ in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
+                for now, where, text, n in zip(*(slice_.column(i).to_pylist() for i in range(4)), strict=True):
+                    if n == 1 or now is None:
+                        close()
+                        of = now
+                    if now is not None:
+                        texts[where].append(text)
+                    elif where == 0 and not both:
+                        at.append(None)
+                        out.append(judge([], []))
+                if at:
+                    yield made(at, out)
+                    at.clear()
+                    out.clear()
+        close()
+        if at:
+            yield made(at, out)
+
+    def made(at: list, out: list) -> pa.RecordBatch:
+        types = to_arrow_schema(schema)
+        return pa.RecordBatch.from_arrays([pa.array(at, types[0].type), *(pa.array(c, pa.int32()) for c in zip(*out, strict=True))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def last(path: Column, back: int = 1) -> Column:
     """A step counted from the end; null where the path is shorter."""
     return F.try_element_at(path, F.lit(-back))

@@ -97,8 +97,8 @@ SELECT CAST(k AS VARCHAR) AS case_id, field, CASE WHEN hit IS NULL THEN 'not_app
   SELECT k, unnest(['semantic_entity_ids', 'source_references', 'pdf_pages', 'document_identities', 'sheet_ids', 'sheet_numbers', 'view_ids', 'evidence_ids', 'bbox']) AS field,
     unnest([part, ref, CASE WHEN k % 3 <> 0 THEN page END, CASE WHEN k % 3 <> 0 THEN doc END, NULL, NULL, NULL, NULL, NULL]) AS hit FROM f)""")
 def evaluation_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    want, found, got = _both(spark, sf_dir)
-    return evaluation.field_states(want, found).join(got.select("case_id"), "case_id", "left_semi")
+    want, found, _ = _both(spark, sf_dir)
+    return evaluation.field_states(want, found, answered=True)
 
 
 @query("evaluation_evidence", _LINES + """,
